@@ -16,17 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, ASCII_SPACE, ASCII_UPPER
+from .common import ASCII_LOWER, ASCII_SPACE, ASCII_UPPER, checkpointed
 
 
 def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(ASCII_SPACE)), ASCII_UPPER, ASCII_LOWER)
-
-
-def line_hash(line: Column) -> Column:
-    """Two 64-bit hashes of the key; null if the key is shorter than counted ones are, see hashed()."""
-    key = line_key(line)
-    return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("second"), key).alias("h2"))
+    bare = F.btrim(line, F.lit(ASCII_SPACE))
+    # lower() is cheap and right for a line of ASCII alone; in others only A-Z may change.
+    return F.when(F.octet_length(line) == F.char_length(line), F.lower(bare)).otherwise(F.translate(bare, ASCII_UPPER, ASCII_LOWER))
 
 
 def lines(text: Column) -> Column:
@@ -34,15 +30,20 @@ def lines(text: Column) -> Column:
 
 
 def hashed(text: Column, min_length: int) -> Column:
-    """A hash or null for each line, by position."""
-    return F.transform(lines(text), lambda x: F.when(F.char_length(line_key(x)) >= min_length, line_hash(x)))
+    """For each line, by position, two 64-bit hashes of its key; null where the key is too short to count."""
+    return F.transform(F.transform(lines(text), line_key), lambda k: F.when(F.char_length(k) >= min_length, F.struct(F.xxhash64(k).alias("h1"), F.xxhash64(F.lit("second"), k).alias("h2"))))
 
 
-def repeated_lines(docs: DataFrame, min_length: int = 20, min_docs: int = 3) -> DataFrame:
-    """(h1, h2, keeper): keys found in enough documents, and the largest doc_id among these."""
+def held_lines(docs: DataFrame, min_length: int = 20) -> DataFrame:
+    """(doc_id, h1, h2): the hashes that each row holds, once each; read twice, so written once."""
     held = docs.select("doc_id", F.explode(F.array_distinct(F.array_compact(hashed(F.col("text"), min_length)))).alias("h"))
+    return checkpointed(held.select("doc_id", "h.h1", "h.h2"))
+
+
+def repeated_lines(held: DataFrame, min_docs: int = 3) -> DataFrame:
+    """(h1, h2, keeper): keys found in enough documents, and the largest doc_id among these."""
     return (
-        held.groupBy("h.h1", "h.h2")
+        held.groupBy("h1", "h2")
         .agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
         .where(F.col("n_docs") >= min_docs)
         .select("h1", "h2", "keeper")
@@ -52,17 +53,16 @@ def repeated_lines(docs: DataFrame, min_length: int = 20, min_docs: int = 3) ->
 def drop_lines(docs: DataFrame, min_length: int = 20, min_docs: int = 3) -> DataFrame:
     """docs with text reduced, and with n_lines and n_dropped; the other columns stay as they are."""
     doc_id, text = docs["doc_id"], docs["text"]
-    slim = docs.select(doc_id.alias("doc_id"), text.alias("text"))
-    held = slim.select("doc_id", F.explode(F.array_distinct(F.array_compact(hashed(F.col("text"), min_length)))).alias("h"))
+    held = held_lines(docs.select(doc_id.alias("doc_id"), text.alias("text")), min_length)
     lost = (
-        held.select("doc_id", "h.h1", "h.h2")
-        .join(repeated_lines(slim, min_length, min_docs), ["h1", "h2"])
+        held.join(repeated_lines(held, min_docs), ["h1", "h2"])
         .where("doc_id <> keeper")
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("h1", "h2")).alias("_lost"))
         .withColumnRenamed("doc_id", "_lost_id")
     )
     joined = docs.join(lost, doc_id == lost["_lost_id"], "left")
-    stays = F.filter(lines(text), lambda x: ~F.coalesce((F.char_length(line_key(x)) >= min_length) & F.array_contains(F.col("_lost"), line_hash(x)), F.lit(False)))
+    marked = F.filter(F.arrays_zip(lines(text).alias("line"), hashed(text, min_length).alias("hash")), lambda x: F.coalesce(~F.array_contains(F.col("_lost"), x["hash"]), F.lit(True)))
+    stays = F.transform(marked, lambda x: x["line"])
     out = joined.withColumn("n_lines", F.size(lines(text)).cast("long")).withColumn("_kept", F.when(F.col("_lost").isNull(), lines(text)).otherwise(stays))
     return out.withColumn("n_dropped", F.col("n_lines") - F.size("_kept")).withColumn("text", F.array_join("_kept", "\n")).drop("_kept", "_lost", "_lost_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from public_tokenizers import path as tokenizer_path
 
-from . import ann, decontaminate, linededup, packing, simhash, toxicity
+from . import ann, decontaminate, fixity, linededup, lm, packing, quality, simhash, tokencount, toxicity
 from .common import table
 
 
@@ -15,6 +15,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.scores(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "n_words", "n_backed_off", F.round(F.col("log_score") / F.greatest(F.col("n_words"), F.lit(1)), 6).alias("mean_log_score"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.drop_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -24,10 +29,26 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.expr("vec_id % 50 = 0"))
 
 
+def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits the WARC files of the pages against a second copy in which some records have rotted and some are lost."""
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    luck = F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 2)
+    record, rotten = fixity.warc_record(F.col("url"), F.col("html")), fixity.warc_record(F.col("url"), F.concat(F.lit("#"), F.expr("substring(html, 2)")))
+    pages = pages.withColumn("rotten", F.when(luck < "03", F.sha2(rotten, 256)))
+    first = fixity.warc_index(pages, F.floor(F.col("page_id") / 2000).cast("string"), ["page_id"], record)
+    second = first.where(luck != "ff").withColumn("digest", F.coalesce("rotten", "digest"))
+    found = fixity.audit(first, second)
+    return found.join(first.select("file", "offset", "page_id"), ["file", "offset"], "left").select(F.col("file").cast("long").alias("warc_file"), "offset", "length", "page_id", "status")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -36,11 +57,53 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_toxicity, op4_line_dedup, op6_ann, op8_decontamination, op9_packing)}
+def op10_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_simhash,
+        op2_toxicity,
+        op3_lm_score,
+        op4_line_dedup,
+        op5_token_counts,
+        op6_ann,
+        op7_warc_fixity,
+        op8_decontamination,
+        op9_packing,
+        op10_quality_resampling,
+    )
+}
 
 _KEY = "translate(trim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_RECORD = "'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || {} || chr(13) || chr(10) || chr(13) || chr(10)"
+
 ORACLE = {
+    "op7_warc_fixity": f"""
+WITH records AS (SELECT page_id, {_RECORD.format("coalesce(html, '')")} AS a, {_RECORD.format("'#' || substring(html, 2)")} AS b, left(md5(page_id::VARCHAR), 2) AS luck FROM pages),
+placed AS (SELECT *, page_id // 2000 AS warc_file, strlen(a) AS length, coalesce(sum(strlen(a)) OVER (PARTITION BY page_id // 2000 ORDER BY page_id, sha256(a) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM records)
+SELECT warc_file, "offset", length, page_id, CASE WHEN luck = 'ff' THEN 'missing' ELSE 'changed' END AS status
+FROM placed WHERE luck = 'ff' OR luck < '03' AND a <> b""",
+    "op3_lm_score": """
+WITH words AS (
+  SELECT row, doc_id, w, row_number() OVER (PARTITION BY row ORDER BY pos) AS pos
+  FROM (SELECT row, doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos
+        FROM (SELECT row_number() OVER () AS row, doc_id, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') AS ws FROM documents))
+  WHERE w <> ''),
+pairs AS (SELECT *, lag(w) OVER (PARTITION BY row ORDER BY pos) AS before FROM words),
+one AS (SELECT w, count(*) AS n FROM words GROUP BY w),
+two AS (SELECT before, w, count(*) AS n FROM pairs WHERE before IS NOT NULL GROUP BY before, w),
+total AS (SELECT count(*) AS n FROM words),
+scored AS (
+  SELECT p.row, two.n >= 2 AS hit,
+         CASE WHEN two.n >= 2 THEN ln(two.n) - ln(ctx.n) WHEN p.before IS NULL THEN ln(one.n) - ln(total.n) ELSE ln(0.4) + ln(one.n) - ln(total.n) END AS s
+  FROM pairs p JOIN one ON one.w = p.w CROSS JOIN total LEFT JOIN two ON two.before = p.before AND two.w = p.w LEFT JOIN one ctx ON ctx.w = p.before),
+sums AS (SELECT row, count(*) AS n_words, count(*) FILTER (WHERE NOT coalesce(hit, false)) AS n_backed_off, sum(s) AS s FROM scored GROUP BY row)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_backed_off, 0) AS n_backed_off, round(coalesce(s, 0.0) / greatest(coalesce(n_words, 1), 1), 6) AS mean_log_score
+FROM (SELECT row_number() OVER () AS row, doc_id FROM documents) d LEFT JOIN sums USING (row)""",
     "op4_line_dedup": f"""
 WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
 keyed AS (SELECT doc_id, pos, l, {_KEY} AS k FROM lines),

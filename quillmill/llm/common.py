@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -73,3 +74,12 @@ def components(edges: DataFrame) -> DataFrame:
             break
         seen = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows, read back from a Parquet table in the folder that spark.checkpoint.dir names (a temporary one only where it is unset, as in tests)."""
+    spark = df.sparkSession
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-written-")
+    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -1,0 +1 @@
+"""Caption curation, chat data and training-corpus operators on Spark DataFrames."""

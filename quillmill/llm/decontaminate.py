@@ -2,9 +2,11 @@
 
 Texts and items are lower-cased and runs of white space become one blank. An item of m characters tolerates
 floor(budget * m) edits and is split into one piece more than that; where the item occurs within its budget, at least one
-piece occurs unchanged. All pieces of a block of items are looked up in one pass over each whole text (Aho-Corasick); a hit puts the
-item on a diagonal, hits on neighbouring diagonals share a window, and Myers' bit-parallel distance finds the best
-occurrence in the window. Documents never meet each other, so neither copies nor a hot source gather anywhere.
+piece occurs unchanged. All pieces of a block of items are looked up in one pass over each whole text (Aho-Corasick), and a hit puts the
+item on a diagonal. Halving the list of pieces again and again gives a tree, and the same principle holds in it: on the way from some
+unchanged piece to the whole item, each stretch of p pieces has less than p edits. So a hit is first verified on
+small stretches, by Myers' bit-parallel distance, and given up at the first that fails, which loses nothing. Hits that get through and
+lie on neighbouring diagonals share a window, in which the same distance finds the item's best occurrence. Documents never meet each other, so neither copies nor a hot source gather anywhere.
 
 Items are taken in blocks of at most about BLOCK_CHARS characters, by hash, and a block is broadcast; a benchmark of any size
 is so many passes, each with a bounded automaton.
@@ -79,31 +81,54 @@ def cut(item: str, budget: float) -> tuple[int, list[tuple[int, str]]]:
     return edits, [(a, item[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
 
+def stretches(item: str, parts: list[tuple[int, str]]) -> list[list[tuple[int, int, int, Pattern]]]:
+    """For each piece, the stretches of two pieces and more that hold it, smallest first, without the whole: begin, end, edits, pattern."""
+    out: list[list[tuple[int, int, int, Pattern]]] = [[] for _ in parts]
+    ends = [at for at, _ in parts] + [len(item)]
+
+    def halve(lo: int, hi: int) -> None:
+        if hi - lo > 1:
+            for a, b in ((lo, (lo + hi) // 2), ((lo + hi) // 2, hi)):
+                halve(a, b)
+                if b - a > 1:
+                    node = (ends[a], ends[b], b - a - 1, Pattern(item[ends[a] : ends[b]]))
+                    for i in range(a, b):
+                        out[i].append(node)
+
+    halve(0, len(parts))
+    return out
+
+
 class Matcher:
     def __init__(self, items: list[tuple[int, str]], budget: float) -> None:
         import ahocorasick
 
-        self.items, self.found = [], {}
+        self.items, found = [], {}
         for item_id, text in items:
             item = normal(text)
             edits, parts = cut(item, budget)
-            for at, part in parts:
-                self.found.setdefault(part, []).append((len(self.items), at))
-            self.items.append((item_id, item, Pattern(item), edits))
+            for i, (at, part) in enumerate(parts):
+                found.setdefault(part, []).append((len(self.items), at, i))
+            self.items.append((item_id, item, Pattern(item), edits, stretches(item, parts)))
         self.automaton = ahocorasick.Automaton()
-        for part, places in self.found.items():
+        for part, places in found.items():
             self.automaton.add_word(part, (len(part), places))
         self.automaton.make_automaton()
 
+    def holds(self, text: str, diagonal: int, above: list[tuple[int, int, int, Pattern]]) -> bool:
+        return all(min(pattern.distances(text[max(0, diagonal + a - e) : max(0, diagonal + b + e)]), default=e + 1) <= e for a, b, e, pattern in above)
+
     def matches(self, text: str) -> Iterator[tuple[int, int, int, int]]:
         """(item_id, distance, start, end) of each item's best occurrence, places in the normalised text."""
         text = normal(text)
         diagonals: dict[int, set[int]] = {}
         for end, (n, places) in self.automaton.iter(text):
-            for k, at in places:
-                diagonals.setdefault(k, set()).add(end + 1 - n - at)
+            for k, at, i in places:
+                diagonal = end + 1 - n - at
+                if diagonal not in diagonals.get(k, ()) and self.holds(text, diagonal, self.items[k][4][i]):
+                    diagonals.setdefault(k, set()).add(diagonal)
         for k, begins in diagonals.items():
-            item_id, item, pattern, edits = self.items[k]
+            item_id, item, pattern, edits, _ = self.items[k]
             windows: list[list[int]] = []
             for b in sorted(begins):
                 lo, hi = max(0, b - edits), b + len(item) + edits

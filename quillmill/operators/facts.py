@@ -179,25 +179,37 @@ def rule_facts(desc: Column) -> Column:
     return F.slice(F.concat(first, rest), 1, MAX_FACTS).cast(f"array<{schemas.FACT}>")
 
 
-def rule_decomposition(caption: Column) -> Column:
-    """A decomposition by fixed rules: elements sorted by keywords into main subjects, people, other things and backdrop."""
+def element_kinds(caption: Column) -> Column:
+    """For each element: people, backdrop or main, by its description's words."""
+    return F.transform(elements(caption), lambda e: F.when(e["desc"].rlike(PERSON), "people").when(e["desc"].rlike(BACKDROP), "backdrop").otherwise("main"))
+
+
+def any_vague(caption: Column) -> Column:
+    return F.exists(elements(caption), lambda e: F.coalesce(e["desc"].rlike(VAGUE), F.lit(False)))
+
+
+def rule_decomposition(caption: Column, kinds: Column | None = None, vague: Column | None = None) -> Column:
+    """A decomposition by fixed rules: elements sorted by keywords into main subjects, people, other things and backdrop.
+
+    kinds and vague are element_kinds() and any_vague(), for callers that have computed them once (they are used many times here).
+    """
     es = elements(caption)
-    people = F.filter(es, lambda e: e["desc"].rlike(PERSON))
-    backdrop = F.filter(es, lambda e: ~e["desc"].rlike(PERSON) & e["desc"].rlike(BACKDROP))
-    other = F.transform(F.filter(es, lambda e: ~F.coalesce(e["desc"].rlike(PERSON) | e["desc"].rlike(BACKDROP), F.lit(False))), lambda e: e["id"])
-    ids = lambda x: F.transform(x, lambda e: e["id"])
-    vague = F.exists(es, lambda e: F.coalesce(e["desc"].rlike(VAGUE), F.lit(False)))
+    kinds = element_kinds(caption) if kinds is None else kinds
+    vague = any_vague(caption) if vague is None else vague
+    sorted_ = F.zip_with(es, kinds, lambda e, k: F.struct(e["id"].alias("id"), k.alias("kind")))
+    of = lambda kind: F.transform(F.filter(sorted_, lambda x: x["kind"] == kind), lambda x: x["id"])
+    people, backdrop, other = of("people"), of("backdrop"), of("main")
     exact = lambda n: F.concat(F.lit("exact:"), n.cast("string"))
     group = lambda name, members, card: F.struct(F.lit(GROUP_NAMES[name]).alias("name"), members.alias("member_ids"), card.alias("cardinality"), F.lit(False).alias("cultural"))
     found = F.array_compact(
         F.array(
             F.when(F.size(other) > 0, group("main", F.slice(other, 1, 3), exact(F.least(F.size(other), F.lit(3))))),
-            F.when(F.size(people) > 0, group("people", ids(people), F.when(vague, "vague").otherwise(exact(F.size(people))))),
+            F.when(F.size(people) > 0, group("people", people, F.when(vague, "vague").otherwise(exact(F.size(people))))),
             F.when(F.size(other) > 3, group("others", F.slice(other, F.lit(4), F.greatest(F.size(other), F.lit(1))), F.lit("vague"))),
-            F.when(F.size(backdrop) > 0, group("backdrop", ids(backdrop), F.lit("vague"))),
+            F.when(F.size(backdrop) > 0, group("backdrop", backdrop, F.lit("vague"))),
         )
     )
-    groups = F.when(F.size(found) > 0, found).otherwise(F.array(group("main", ids(es), F.lit("vague"))))
+    groups = F.when(F.size(found) > 0, found).otherwise(F.array(group("main", F.transform(es, lambda e: e["id"]), F.lit("vague"))))
     ground, style = caption["compositional_deconstruction"]["background"], caption["style_description"]
     parts = lambda v: F.transform(F.filter(F.transform(F.split(F.lower(F.coalesce(v, F.lit(""))), ","), lambda c: F.trim(c)), lambda p: p != ""), lambda p, i: F.struct(i.cast("int").alias("rank"), p.alias("text")))
     return F.struct(

@@ -23,6 +23,7 @@ at all every score is zero; labels that are null are not used; repeated rows giv
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import combinations
@@ -34,26 +35,30 @@ from pyspark.sql import functions as F
 
 from .common import by_hash, checkpointed, slices, texts
 
-ORDER, SPAN, DECAY = 4, 8, 0.7
+ORDER, SPAN, DECAY = 4, 7, 0.7
 #: Starts of a window: it takes the subsequences that begin at one of so many letters in a row.
 STARTS = 4
 LANDMARKS = 256
 EDGE, CODES = 31, 32
 #: Distinct words whose values a task keeps before it begins anew.
-KEPT = 500_000
+KEPT = 700_000
 COMBOS = [(c, DECAY ** (c[-1] + 1 - ORDER)) for c in combinations(range(1, SPAN), ORDER - 1)]
 _ASCII = np.zeros(128, np.int32)
 _ASCII[97:123] = np.arange(1, 27)
 _ASCII[1] = EDGE
 
 
-def words_of(text: str) -> list[str]:
-    """The lower-cased words, and the letters of three or more single-letter words in a row as one further word."""
-    words = text.lower().split()
-    spelled = "".join([w if len(w) == 1 else " " for w in words]).split()
+def split_words(text: bytes) -> list[bytes]:
+    """The words, and the letters of three or more single-letter words in a row as one further word."""
+    words = text.split()
+    spelled = b"".join([w if len(w) == 1 else b" " for w in words]).split()
     return words + [s for s in spelled if len(s) >= 3]
 
 
+def words_of(text: str) -> list[str]:
+    return [w.decode("utf-8", "replace") for w in split_words(text.lower().encode("utf-8", "replace"))]
+
+
 def letters(word: str) -> str:
     return word if word.isalpha() else "".join(filter(str.isalpha, word))
 
@@ -70,13 +75,21 @@ def values(words: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Each word's largest window value, and the window's place in the word."""
     codes, begins = encoded(words)
     n = len(codes)
-    padded = np.concatenate([codes, np.zeros(SPAN + STARTS, np.int32)])
-    at, total = padded[: n + STARTS], np.zeros(n + STARTS, np.float32)
-    for offsets, w in COMBOS:
-        index = at
-        for o in offsets:
-            index = index * CODES + padded[o : o + n + STARTS]
-        total += np.float32(w) * weights[index]
+    padded = np.concatenate([codes, np.zeros(SPAN + STARTS, np.int32)]).astype(np.intp)
+    by_span = np.zeros((SPAN, n + STARTS), np.float32)
+
+    def walk(prefix: np.ndarray, last: int, left: int) -> None:
+        """All subsequences that go on from a prefix that ends so many letters after the start."""
+        prefix = prefix * CODES
+        for o in range(last + 1, SPAN - left + 1):
+            index = prefix + padded[o : o + n + STARTS]
+            if left > 1:
+                walk(index, o, left - 1)
+            else:
+                by_span[o] += weights.take(index)
+
+    walk(padded[: n + STARTS], 0, ORDER - 1)
+    total = np.float32([DECAY ** (o + 1 - ORDER) for o in range(SPAN)]) @ by_span
     window = sum(total[s : s + n] for s in range(STARTS))
     window[codes == 0] = -np.inf
     best = np.maximum.reduceat(window, begins)
@@ -85,42 +98,59 @@ def values(words: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class Scorer:
-    """The two largest values among a text's words; values are kept by word, up to a bound."""
+    """The two largest values among a text's words. Values are kept by white-space-separated word and by the letters in it, up to a bound."""
 
     def __init__(self, weights: np.ndarray) -> None:
-        self.weights, self.known = weights, {}
+        self.weights = weights
+        self.known: dict[bytes, float] = {}
+        self.core: dict[str, float] = {}
 
-    def look(self, rows: list[list[str]]) -> None:
-        fresh = list(dict.fromkeys(w for words in rows for w in words if w not in self.known))
+    def learn(self, fresh: set[bytes]) -> None:
         if len(self.known) + len(fresh) > KEPT:
-            self.known.clear()
-            fresh = list(dict.fromkeys(w for words in rows for w in words))
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            self.known.update(zip(part, values(part, self.weights)[0].tolist(), strict=True))
-
-    def top(self, rows: list[list[str]], n: int = 2) -> list[list[tuple[float, str]]]:
-        self.look(rows)
+            self.known, self.core = {}, {}
+        cores = {w: letters(w.decode("utf-8", "replace").lower()) for w in fresh}
+        new = list(set(cores.values()).difference(self.core))
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            self.core.update(zip(part, values(part, self.weights)[0].tolist(), strict=True))
+        self.known.update({w: self.core[c] for w, c in cores.items()})
+
+    def top(self, rows: list[bytes], n: int = 2) -> list[list[tuple[float, str]]]:
+        words = [split_words(x) for x in rows]
+        every = set().union(*words)
+        self.learn(every.difference(self.known))
+        if not self.known.keys() >= every:  # the dictionary was begun anew
+            self.learn(every.difference(self.known))
         out = []
-        for words in rows:
-            held = list(map(self.known.__getitem__, words))
-            best = []
+        for row in words:
+            held, best = list(map(self.known.__getitem__, row)), []
             for _ in range(min(n, len(held))):
                 at = held.index(max(held))
-                best.append((held[at], words[at]))
+                best.append((held[at], row[at].decode("utf-8", "replace").lower()))
                 held[at] = float("-inf")
             out.append(best)
         return out
 
 
+_SHARED: dict[str, Scorer] = {}
+
+
+def shared_scorer(name: str, weights: np.ndarray) -> Scorer:
+    """One dictionary for all tasks that a Python worker runs with the same model."""
+    if name not in _SHARED:
+        _SHARED.clear()
+        _SHARED[name] = Scorer(weights)
+    return _SHARED[name]
+
+
 def top_words(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """(doc_id, s1, s2, w1, w2): the two largest values of each row's words and these words; null where there is none."""
-    held = docs.sparkSession.sparkContext.broadcast(weights)
+    held, name = docs.sparkSession.sparkContext.broadcast(weights), uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(held.value)
-        for ids, rows in slices(batches, 64):
-            tops = scorer.top([words_of(x.decode("utf-8", "replace")) for x in rows])
+        scorer = shared_scorer(name, held.value)
+        for ids, rows in slices(batches):
+            tops = scorer.top(rows)
             tops = [[*t, (None, None), (None, None)][:2] for t in tops]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array([t[k][0] for t in tops], pa.float64()) for k in (0, 1)), *(pa.array([t[k][1] for t in tops], pa.string()) for k in (0, 1))], names=["doc_id", "s1", "s2", "w1", "w2"])
 

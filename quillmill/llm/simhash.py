@@ -103,10 +103,10 @@ def masks(bits: int, radius: int = 3) -> tuple[np.ndarray, int]:
     return np.array([0, *one, *two], np.uint64), bits + 1
 
 
-def ball_links(prints: DataFrame, bits: int = 64, chain: bool = False, radius: int = 3) -> DataFrame:
+def ball_links(prints: DataFrame, bits: int = 64, radius: int = 3) -> DataFrame:
     """(tab int, a long, b long): a star for each variant on which distinct prints (tab int, fp long) of a table met.
 
-    chain adds a link between neighbours in each bucket, for callers that verify links and may lose a star's centre.
+    Two prints meet on two variants at least, so a caller that verifies links and finds a star's centre wanting has the other star.
     """
     kind = np.uint64 if bits > 32 else np.uint32
     flips, near = masks(bits, radius)
@@ -147,9 +147,6 @@ def ball_links(prints: DataFrame, bits: int = 64, chain: bool = False, radius: i
         centre = np.repeat(first, np.diff(np.append(first, len(v))))
         use = ~far[centre] & (centre != np.arange(len(v)))
         pairs = np.stack([origin[centre][use], origin[use]], 1)
-        if chain:
-            use = np.flatnonzero(use & (centre != np.arange(len(v)) - 1))
-            pairs = np.concatenate([pairs, np.stack([origin[use - 1], origin[use]], 1)])
         pairs = np.unique(np.sort(pairs, 1), axis=0).astype(np.uint64).view(np.int64)
         return pd.DataFrame({"tab": int(key[0]), "a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -179,7 +176,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ta
     nodes = checkpointed(prints.where("shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("first"), F.max("shingles").alias("shingles")))
     cut = F.expr(f"transform(sequence(0, {tables - 1}), t -> struct(t as tab, shiftrightunsigned(fp[cast(t div 2 as int)], cast(t % 2 * 32 as int)) & 4294967295L as word))")
     held = checkpointed(nodes.select("first", F.explode(cut).alias("x")).select("first", "x.tab", "x.word"))
-    links = ball_links(held.select("tab", F.col("word").alias("fp")), bits=32, chain=True, radius=2)
+    links = ball_links(held.select("tab", F.col("word").alias("fp")), bits=32, radius=2)
     one = held.groupBy("tab", "word").agg(F.min("first").alias("least"))
     # Words that several long fingerprints share hang on one of them.
     shared = held.join(one, ["tab", "word"]).where("first <> least").select(F.col("first").alias("a"), F.col("least").alias("b"))

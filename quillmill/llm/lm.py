@@ -16,6 +16,8 @@ scored each; an empty table gives an empty result; extra columns are ignored; a
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -24,11 +26,23 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, partitions, texts
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 6_000_000
 #: Packed n-grams that a partition of the count table receives, about.
 PART_ENTRIES = 2_000_000
 
 
+def pack(counts: np.ndarray) -> bytes:
+    """Counts as a byte each, 255 for those beyond, which follow in full."""
+    return zlib.compress(np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype(np.uint64).tobytes(), 1)
+
+
+def unpack(packed: bytes, n: int) -> np.ndarray:
+    raw = zlib.decompress(packed)
+    out = np.frombuffer(raw[:n], np.uint8).astype(np.uint64)
+    out[out == 255] = np.frombuffer(raw[n:], np.uint64)
+    return out
+
+
 def word_hashes(text: str, known: dict[bytes, int]) -> np.ndarray:
     words = text.encode("utf-8", "replace").lower().split()
     for w in set(words).difference(known):
@@ -80,19 +94,20 @@ def scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, min_count: int =
     def ask(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         _, found, n, ends = entries(frame)
         full = np.flatnonzero(np.diff(ends))
-        return pd.DataFrame({"block": int(key[0]), "part": full, "grams": [found[ends[p] : ends[p + 1]].tobytes() for p in full], "counts": [n[ends[p] : ends[p + 1]].astype(np.uint32).tobytes() for p in full]})
+        return pd.DataFrame({"block": int(key[0]), "part": full, "grams": [found[ends[p] : ends[p + 1]].tobytes() for p in full], "counts": [pack(n[ends[p] : ends[p + 1]]) for p in full]})
 
     def count(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
         grams = np.frombuffer(b"".join(frame["grams"]), np.uint64)
         _, which = np.unique(grams, return_inverse=True)
-        totals = np.bincount(which, np.frombuffer(b"".join(frame["counts"]), np.uint32)).astype(np.uint64)[which]
+        totals = np.bincount(which, np.concatenate([unpack(c, len(x) // 8) for c, x in zip(frame["counts"], frame["grams"], strict=True)])).astype(np.uint64)[which]
         ends = np.cumsum([0, *(len(x) // 8 for x in frame["grams"])])
-        return pd.DataFrame({"block": frame["block"], "part": int(key[0]), "counts": [totals[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]})
+        return pd.DataFrame({"block": frame["block"], "part": int(key[0]), "counts": [pack(totals[a:b]) for a, b in zip(ends, ends[1:], strict=False)]})
 
     def tell(key: tuple, frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        grams, found, _, _ = entries(frame)
-        counts = np.frombuffer(b"".join(answers.sort_values("part")["counts"]), np.uint64)
+        answers = answers.sort_values("part")
+        grams, found, _, ends = entries(frame)
+        counts = np.concatenate([np.zeros(0, np.uint64), *(unpack(c, ends[p + 1] - ends[p]) for p, c in zip(answers["part"], answers["counts"], strict=True))])
         at = [[counts[np.searchsorted(found, g)] for g in d] for d in grams]
         done = [score_words(g, c, alpha, min_count) if len(g[0]) else (0.0, 0) for g, c in zip(grams, at, strict=True)]
         return pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "n_words": [len(g[0]) for g in grams], "n_backed_off": [x[1] for x in done], "partial": [x[0] for x in done]})

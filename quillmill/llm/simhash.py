@@ -20,7 +20,7 @@ repeated under one doc_id give a row each; an empty table gives an empty result;
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -106,11 +106,11 @@ def masks(bits: int, radius: int = 3) -> tuple[np.ndarray, int]:
 def ball_links(prints: DataFrame, bits: int = 64, radius: int = 3) -> DataFrame:
     """(tab int, a long, b long): a star for each variant on which distinct prints (tab int, fp long) of a table met.
 
-    Two prints meet on two variants at least, so a caller that verifies links and finds a star's centre wanting has the other star.
+    A star's members are not linked to each other: a caller that verifies links takes those of failed stars to bucket_pairs().
     """
     kind = np.uint64 if bits > 32 else np.uint32
     flips, near = masks(bits, radius)
-    flips = flips.astype(kind)
+    flips, small = flips.astype(kind), np.uint8 if len(flips) <= 256 else np.uint16
     prints = prints.select(F.col("tab").cast("int").alias("tab"), F.col("fp").cast("long").alias("fp")).distinct()
     prints = checkpointed(prints)
     tabs, most = prints.groupBy("tab").count().agg(F.count("*"), F.max("count")).first()
@@ -124,7 +124,7 @@ def ball_links(prints: DataFrame, bits: int = 64, radius: int = 3) -> DataFrame:
                     v = values[at : at + BATCH]
                     odd = v[np.bitwise_count(v) % 2 == 1]
                     out = np.concatenate([(v[:, None] ^ flips[:near]).ravel(), (odd[:, None] ^ flips[near:]).ravel()])
-                    code = np.concatenate([np.tile(np.arange(near, dtype=np.uint16), len(v)), np.tile(np.arange(near, len(flips), dtype=np.uint16), len(odd))])
+                    code = np.concatenate([np.tile(np.arange(near, dtype=small), len(v)), np.tile(np.arange(near, len(flips), dtype=small), len(odd))])
                     part = ((_mixed(out.astype(np.uint64), tab + 1) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
                     order = np.argsort(part, kind="stable")
                     ends = np.searchsorted(part[order], np.arange(parts + 1))
@@ -134,7 +134,7 @@ def ball_links(prints: DataFrame, bits: int = 64, radius: int = 3) -> DataFrame:
 
     def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         v = np.frombuffer(b"".join(frame["variants"]), kind)
-        code = np.frombuffer(b"".join(frame["codes"]), np.uint16)
+        code = np.frombuffer(b"".join(frame["codes"]), small)
         order = np.argsort(v)
         v = v[order]
         same = np.concatenate([[False], v[1:] == v[:-1], [False]])
@@ -154,6 +154,97 @@ def ball_links(prints: DataFrame, bits: int = 64, radius: int = 3) -> DataFrame:
     return spreading.repartition(parts * max(1, tabs), "tab", "part").groupBy("tab", "part").applyInPandas(meet, "tab int, a long, b long").distinct()
 
 
+def bucket_pairs(held: DataFrame, low: int, high: int) -> DataFrame:
+    """(a long, b long): of the (node, root) with 32-bit words (tab, word) that meet on a variant within one flip, the pairs of unlike roots that hold
+    one of the bucket's members from place low to below high, in order of node; a row of nulls says that buckets have pairs of unlike roots beyond."""
+    flips, near = masks(32, 2)
+    flips = flips.astype(np.uint32)
+    parts = partitions(held.sparkSession, held.count() * near * 4 / PART_ROWS)
+
+    def spread(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for tab, group in frame.groupby("tab"):
+                for at in range(0, len(group), BATCH):
+                    rows = group.iloc[at : at + BATCH]
+                    out = (rows["word"].to_numpy(np.int64).astype(np.uint32)[:, None] ^ flips).ravel()
+                    node, root = (np.repeat(rows[c].to_numpy(np.int64), near) for c in ("node", "root"))
+                    part = ((_mixed(out.astype(np.uint64), tab + 1) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+                    order = np.argsort(part, kind="stable")
+                    ends = np.searchsorted(part[order], np.arange(parts + 1))
+                    full = np.flatnonzero(np.diff(ends))
+                    packed = {name: [x[order[ends[p] : ends[p + 1]]].tobytes() for p in full] for name, x in (("variants", out), ("nodes", node), ("roots", root))}
+                    yield pd.DataFrame({"tab": tab, "part": full, **packed})
+
+    def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        v, node, root = (np.frombuffer(b"".join(frame[c]), kind) for c, kind in (("variants", np.uint32), ("nodes", np.int64), ("roots", np.int64)))
+        order = np.lexsort((node, v))
+        v, node, root = v[order], node[order], root[order]
+        first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
+        mixed = np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)
+        size = np.diff(np.append(first, len(v)))
+        start = np.repeat(first, size)
+        live, found = np.flatnonzero(np.repeat(mixed, size)), [np.zeros((0, 2), np.int64)]
+        for place in range(low, high):
+            live = live[live - start[live] > place]
+            if not len(live):
+                break
+            centre = start[live] + place
+            use = root[centre] != root[live]
+            found.append(np.unique(np.stack([node[centre[use]], node[live[use]]], 1), axis=0))
+        pairs = pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"], dtype="Int64")
+        live = live[live - start[live] >= high]
+        cuts = np.flatnonzero(np.concatenate([[True], start[live][1:] != start[live][:-1]])) if len(live) else []
+        beyond = len(live) and (np.minimum.reduceat(root[live], cuts) != np.maximum.reduceat(root[live], cuts)).any()
+        return pd.concat([pairs, pd.DataFrame({"a": [None], "b": [None]}, dtype="Int64")]) if beyond else pairs
+
+    spreading = held.select("tab", "word", "node", "root").mapInPandas(spread, "tab int, part int, variants binary, nodes binary, roots binary")
+    return spreading.repartition(parts, "tab", "part").groupBy("tab", "part").applyInPandas(meet, "a long, b long").distinct()
+
+
+def rooted(df: DataFrame, found: DataFrame, node: str, root: str) -> DataFrame:
+    """df with the root of a column's node: the node itself where no link has it."""
+    return df.join(found.select(F.col("node").alias(node), F.col("root").alias("_root")), node, "left").withColumn(root, F.coalesce("_root", node)).drop("_root")
+
+
+def linked(held: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, root): components of the pairs of nodes that meet and are verified. held: (tab, word, node), 32-bit words; verified: (a, b) to those that hold.
+
+    First each bucket of words is linked by its star, and the holders of a word by the least. Where such a link fails and nothing else joins its ends, all nodes of
+    the buckets concerned are compared: each bucket's first member with all others of unlike root, then the next ones, more of them in each round, until no bucket
+    has a pair of unlike roots that was not verified. So all met pairs that could join anything are, whatever a star's centre is like.
+    """
+    links = checkpointed(ball_links(held.select("tab", F.col("word").alias("fp")), bits=32, radius=2))
+    one = checkpointed(held.groupBy("tab", "word").agg(F.min("node").alias("least")))
+    # Words that several nodes share hang on one of them.
+    shared = held.join(one, ["tab", "word"]).where("node <> least").select("tab", F.col("word").alias("a_word"), F.col("word").alias("b_word"), F.col("node").alias("a"), F.col("least").alias("b"))
+    at = lambda side: one.select("tab", F.col("word").alias(f"{side}_word"), F.col("least").alias(side))
+    across = links.select("tab", F.col("a").alias("a_word"), F.col("b").alias("b_word")).join(at("a"), ["tab", "a_word"]).join(at("b"), ["tab", "b_word"])
+    met = checkpointed(shared.unionByName(across).where("a <> b"))
+    pair = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    tried = pair(met)
+    good = checkpointed(verified(tried))
+    found = checkpointed(components(good))
+    failed = rooted(rooted(met, found, "a", "a_root"), found, "b", "b_root").where("a_root <> b_root")
+    bad = checkpointed(failed.select("tab", F.explode(F.array("a_word", "b_word")).alias("word")).distinct())
+    if bad.isEmpty():
+        return found
+    ways = links.select("tab", F.col("a").alias("word"), F.col("b").alias("to")).unionByName(links.select("tab", F.col("b").alias("word"), F.col("a").alias("to")))
+    for _ in range(2):  # from a member to its centre, and to all members
+        bad = bad.unionByName(bad.join(ways, ["tab", "word"]).select("tab", F.col("to").alias("word"))).distinct()
+    open_ = checkpointed(held.join(bad, ["tab", "word"]))
+    low, high = 0, 2
+    while True:
+        more = checkpointed(bucket_pairs(rooted(open_, found, "node", "root"), low, high))
+        fresh = pair(more.where("a is not null")).join(tried, ["a", "b"], "left_anti")
+        joined = checkpointed(verified(fresh))
+        if not joined.isEmpty():
+            # What is found stands for the links before it.
+            found = checkpointed(components(joined.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b")))))
+        if more.where("a is null").isEmpty():
+            return found
+        low, high = high, high * 4
+
+
 def simhash_components(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fingerprint, component_id): 64-bit fingerprints linked at 3 or fewer differing bits; the smallest doc_id reachable."""
     prints = checkpointed(fingerprints(docs, words, seed).select("doc_id", F.col("fp")[0].alias("fp")))
@@ -176,18 +267,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ta
     nodes = checkpointed(prints.where("shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("first"), F.max("shingles").alias("shingles")))
     cut = F.expr(f"transform(sequence(0, {tables - 1}), t -> struct(t as tab, shiftrightunsigned(fp[cast(t div 2 as int)], cast(t % 2 * 32 as int)) & 4294967295L as word))")
     held = checkpointed(nodes.select("first", F.explode(cut).alias("x")).select("first", "x.tab", "x.word"))
-    links = ball_links(held.select("tab", F.col("word").alias("fp")), bits=32, radius=2)
-    one = held.groupBy("tab", "word").agg(F.min("first").alias("least"))
-    # Words that several long fingerprints share hang on one of them.
-    shared = held.join(one, ["tab", "word"]).where("first <> least").select(F.col("first").alias("a"), F.col("least").alias("b"))
-    at = lambda side: one.select("tab", F.col("word").alias(side), F.col("least").alias(f"{side}_doc"))
-    across = links.join(at("a"), ["tab", "a"]).join(at("b"), ["tab", "b"]).select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
-    pairs = shared.unionByName(across).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     full = lambda side: nodes.select(F.col("first").alias(side), F.col("fp").alias(f"{side}_fp"), F.col("shingles").alias(f"{side}_n"))
     differ = F.expr("aggregate(zip_with(a_fp, b_fp, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
     common = F.cos(differ * (np.pi / (32 * tables))) * F.sqrt(F.col("a_n") * F.col("b_n"))
-    good = pairs.join(full("a"), "a").join(full("b"), "b").where(common >= similarity * (F.col("a_n") + F.col("b_n") - common)).select("a", "b")
-    found = components(good).select(F.col("node").alias("first"), F.col("root").alias("component_id"))
+    verified = lambda pairs: pairs.join(full("a"), "a").join(full("b"), "b").where(common >= similarity * (F.col("a_n") + F.col("b_n") - common)).select("a", "b")
+    found = linked(held.withColumnRenamed("first", "node"), verified).select(F.col("node").alias("first"), F.col("root").alias("component_id"))
     placed = nodes.join(found, "first", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
     worded = prints.where("shingles > 0").join(placed, "fp").select("doc_id", "component_id")
     return worded.unionByName(prints.where("shingles = 0").select("doc_id", F.col("doc_id").alias("component_id")))

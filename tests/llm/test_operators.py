@@ -121,6 +121,26 @@ def test_near_duplicates_go(spark):
     assert out.columns == ["doc_id", "text", "fp", "part"]
 
 
+def test_failed_stars_are_bucketed_again(spark):
+    """Components of verified links equal brute force over all pairs that meet, whatever the centres and the holders of a word."""
+    rng = random.Random(8)
+    held, kind = [], {}
+    for g in range(8):
+        base = rng.getrandbits(32)
+        for k in range(14):
+            node = g * 100 + k
+            kind[node] = rng.randrange(3) if k else 3  # the least node, which stands for its word, is like no other
+            held += [(t, base ^ (1 << rng.randrange(32) if k % 2 else 0), node) for t in range(2)]
+    rows = spark.createDataFrame(held, "tab int, word long, node long")
+    kinds = spark.createDataFrame(list(kind.items()), "node long, kind int")
+    side = lambda s: kinds.select(F.col("node").alias(s), F.col("kind").alias(f"{s}_kind"))
+    found = simhash.linked(rows, lambda pairs: pairs.join(side("a"), "a").join(side("b"), "b").where("a_kind = b_kind").select("a", "b"))
+    nodes = {n: (k, {t: w for t, w, m in held if m == n}) for n, k in kind.items()}
+    roots = brute_components(nodes, lambda a, b: a[0] == b[0] and any((a[1][t] ^ b[1][t]).bit_count() <= 2 for t in a[1]))
+    size = Counter(roots.values())
+    assert {r["node"]: r["root"] for r in found.collect()} == {n: r for n, r in roots.items() if size[r] > 1}
+
+
 # --- 2
 
 

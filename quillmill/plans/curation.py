@@ -25,13 +25,14 @@ def rule_selection(sel_input: Column) -> Column:
     """A selection by rules, nested as it should be: first group's first fact; two groups' first facts and the background's first; everything."""
     first = lambda g, n: F.slice(F.flatten(g["elements"]), 1, n)
     group = lambda n: lambda g: F.struct(g["name"].alias("name"), first(g, n).alias("facts"))
+    whole = lambda g: F.struct(g["name"].alias("name"), F.flatten(g["elements"]).alias("facts"))
     none = F.array().cast("array<struct<field string, facts array<string>>>")
     level = lambda groups, ground, style, medium: F.struct(groups.alias("groups"), ground.alias("background"), style.alias("style"), F.lit(medium).alias("medium"))
     nothing = F.array().cast("array<string>")
     return F.struct(
         level(F.transform(F.slice(sel_input["groups"], 1, 1), group(1)), nothing, none, False).alias("short"),
         level(F.transform(F.slice(sel_input["groups"], 1, 2), group(2)), F.slice(sel_input["background"], 1, 1), none, False).alias("medium"),
-        level(F.transform(sel_input["groups"], group(1000)), sel_input["background"], sel_input["style"], True).alias("long"),
+        level(F.transform(sel_input["groups"], whole), sel_input["background"], sel_input["style"], True).alias("long"),
     )
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quillmill import schemas
 from quillmill.operators import chat, gate, selection, split
-from quillmill.plans import catalog, incremental, scorers
+from quillmill.plans import catalog, curation, incremental, scorers
 from quillmill.sources import chat_http, config, files
 from quillmill.streaming.resume import run_available
 
@@ -76,6 +76,14 @@ def test_faults_drop_their_level_alone(spark, levels, kept, say):
     assert any(say in e for e in row["errors"])
 
 
+def test_long_level_has_every_fact(spark):
+    """However many facts a group has."""
+    group = {**INPUT["groups"][0], "elements": [[f"fact {i} {k}" for k in range(3)] for i in range(500)]}
+    given = spark.createDataFrame([(json.dumps({**INPUT, "groups": [group]}),)], "t string").select(F.from_json("t", schemas.SELECTION_INPUT).alias("i"))
+    got = given.select(curation.rule_selection(F.col("i"))["long"]["groups"][0]["facts"].alias("facts")).first()["facts"]
+    assert got == [f for e in group["elements"] for f in e]
+
+
 def test_gate(spark):
     rows = [
         ("a", '[{"menh_de":"x","muc_do":"phu"}]', "[]", ["y"], True),

@@ -38,6 +38,8 @@ PIECE = 1 << 22
 PART_ROWS = 3_000_000
 #: Fingerprints whose variants a task holds at once.
 BATCH = 4096
+#: Rows of two longs up to which the side of a join is broadcast.
+BROADCAST_ROWS = 2_000_000
 
 
 def shingle_hashes(text: bytes, words: int, seed: int) -> Iterator[int]:
@@ -214,7 +216,7 @@ def linked(held: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataF
     has a pair of unlike roots that was not verified. So all met pairs that could join anything are, whatever a star's centre is like.
     """
     links = checkpointed(ball_links(held.select("tab", F.col("word").alias("fp")), bits=32, radius=2))
-    one = checkpointed(held.groupBy("tab", "word").agg(F.min("node").alias("least")))
+    one = held.groupBy("tab", "word").agg(F.min("node").alias("least"))
     # Words that several nodes share hang on one of them.
     shared = held.join(one, ["tab", "word"]).where("node <> least").select("tab", F.col("word").alias("a_word"), F.col("word").alias("b_word"), F.col("node").alias("a"), F.col("least").alias("b"))
     at = lambda side: one.select("tab", F.col("word").alias(f"{side}_word"), F.col("least").alias(side))
@@ -225,7 +227,7 @@ def linked(held: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataF
     good = checkpointed(verified(tried))
     found = checkpointed(components(good))
     failed = rooted(rooted(met, found, "a", "a_root"), found, "b", "b_root").where("a_root <> b_root")
-    bad = checkpointed(failed.select("tab", F.explode(F.array("a_word", "b_word")).alias("word")).distinct())
+    bad = failed.select("tab", F.explode(F.array("a_word", "b_word")).alias("word")).distinct()
     if bad.isEmpty():
         return found
     ways = links.select("tab", F.col("a").alias("word"), F.col("b").alias("to")).unionByName(links.select("tab", F.col("b").alias("word"), F.col("a").alias("to")))
@@ -256,24 +258,89 @@ def simhash_components(docs: DataFrame, words: int = 3, seed: int = 42) -> DataF
     return prints.join(placed, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = 16, seed: int = 42) -> DataFrame:
-    """(doc_id, component_id): documents whose shingle sets' similarity, as long fingerprints estimate it, is at least so much.
+def shingle_set(text: bytes, words: int, seed: int) -> np.ndarray:
+    """The distinct shingle hashes in order."""
+    return np.unique(np.fromiter(shingle_hashes(text, words, seed), np.uint64))
 
-    Long fingerprints of 32 * tables bits tell similarity within a few hundredths. Each of their words of 32 bits is searched by
-    the same ball hashing, with radius 2, for which every word emits its variants at distance 0 and 1; a pair that meets in any word is
-    verified on all bits. At similarity 0.8 a word's chance is 0.12, at 0.9 it is 0.34: with sixteen words 0.86 and 0.998; at 0.85 it is 0.96.
+
+def set_prints(docs: DataFrame, words: int, seed: int, longs: int) -> DataFrame:
+    """(doc_id, node long, fp array<long>, shingles long): a row for each row of docs; node is a hash of the set of shingles, which fp and shingles are of too."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, rows in slices(batches):
+            found = []
+            for x in rows:
+                h = shingle_set(x, words, seed)
+                counts = np.zeros((longs, 64), np.int64)
+                for at in range(0, len(h), 1 << 15):
+                    for k in range(longs):
+                        counts[k] += np.unpackbits(_mixed(h[at : at + (1 << 15)], k).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+                found.append((np.packbits(counts * 2 > len(h), axis=1, bitorder="little").view(np.int64)[:, 0].tolist(), len(h), xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63)))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([x[2] for x in found], pa.int64()), pa.array([x[0] for x in found], pa.list_(pa.int64())), pa.array([x[1] for x in found], pa.int64())], names=["doc_id", "node", "fp", "shingles"])
+
+    return docs.mapInArrow(run, "doc_id long, node long, fp array<long>, shingles long")
+
+
+def shingle_sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """(node, hashes binary) of (node, text)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, rows in slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([shingle_set(x, words, seed).tobytes() for x in rows], pa.binary())], names=["node", "hashes"])
+
+    return docs.mapInArrow(run, "node long, hashes binary")
+
+
+def similar(pairs: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of (a, b, a_set, b_set) whose sets' similarity is at least so much."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(k)[i].as_py(), np.uint64) for k in (2, 3))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                # The slack is for rounding alone: 0.8 * 10 is more than 8 in no way that counts.
+                if common >= similarity * (len(x) + len(y) - common) - 1e-9:
+                    keep.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+
+    return pairs.select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = 28, seed: int = 42) -> DataFrame:
+    """(doc_id, component_id): documents linked where the similarity of their sets of shingles is at least so much; rows of one doc_id should have one text.
+
+    Fingerprints of 32 * tables bits, of the distinct shingles, are searched: each of their words of 32 bits by the same ball hashing, with
+    radius 2, for which every word emits its variants at distance 0 and 1. A pair that meets in any word is verified exactly, on all distinct
+    shingles by 64-bit hashes. So no pair below the similarity links, and of those at least that high the ones that meet do: at similarity 0.8 a
+    word's chance is 0.12, with 28 words a pair's is 0.97; at 0.85 it is 0.996. Equal sets always link.
     """
-    prints = checkpointed(fingerprints(docs, words, seed, longs=tables // 2))
-    nodes = checkpointed(prints.where("shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("first"), F.max("shingles").alias("shingles")))
+    prints = checkpointed(set_prints(texts(docs), words, seed, tables // 2))
+    nodes = checkpointed(prints.where("shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("shingles").alias("n")))
     cut = F.expr(f"transform(sequence(0, {tables - 1}), t -> struct(t as tab, shiftrightunsigned(fp[cast(t div 2 as int)], cast(t % 2 * 32 as int)) & 4294967295L as word))")
-    held = checkpointed(nodes.select("first", F.explode(cut).alias("x")).select("first", "x.tab", "x.word"))
-    full = lambda side: nodes.select(F.col("first").alias(side), F.col("fp").alias(f"{side}_fp"), F.col("shingles").alias(f"{side}_n"))
+    held = checkpointed(nodes.select("node", F.explode(cut).alias("x")).select("node", "x.tab", "x.word"))
+    full = lambda side: nodes.select(F.col("node").alias(side), F.col("first").alias(f"{side}_first"), F.col("fp").alias(f"{side}_fp"), F.col("n").alias(f"{side}_n"))
     differ = F.expr("aggregate(zip_with(a_fp, b_fp, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
-    common = F.cos(differ * (np.pi / (32 * tables))) * F.sqrt(F.col("a_n") * F.col("b_n"))
-    verified = lambda pairs: pairs.join(full("a"), "a").join(full("b"), "b").where(common >= similarity * (F.col("a_n") + F.col("b_n") - common)).select("a", "b")
-    found = linked(held.withColumnRenamed("first", "node"), verified).select(F.col("node").alias("first"), F.col("root").alias("component_id"))
-    placed = nodes.join(found, "first", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    worded = prints.where("shingles > 0").join(placed, "fp").select("doc_id", "component_id")
+    # Six standard deviations over what the pairs at the limit differ in, for sets large enough for such an estimate; sizes alone tell others apart.
+    angle = F.acos(F.least(F.lit(1.0), similarity / (1 + similarity) * (F.col("a_n") + F.col("b_n")) / F.sqrt(F.col("a_n") * F.col("b_n")))) / np.pi
+    far = (F.least("a_n", "b_n") >= 64) & (differ > 32 * tables * angle + 6 * F.sqrt(32 * tables * angle * (1 - angle)) + 6)
+    unlike = F.least("a_n", "b_n") < similarity * F.greatest("a_n", "b_n") - 1e-9
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        likely = checkpointed(pairs.join(full("a"), "a").join(full("b"), "b").where(~unlike & ~far).select("a", "b", "a_first", "b_first"))
+        needed = likely.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("a_first").alias("first")), F.struct(F.col("b").alias("node"), F.col("b_first").alias("first")))).alias("x")).select("x.*").distinct()
+        needed = checkpointed(needed)
+        needed = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
+        held_texts = texts(docs).join(needed, F.col("doc_id") == F.col("first")).select("node", "text")
+        sets = checkpointed(shingle_sets(held_texts, words, seed).dropDuplicates(["node"]))
+        side = lambda s: sets.select(F.col("node").alias(s), F.col("hashes").alias(f"{s}_set"))
+        return similar(likely.select("a", "b").join(side("a"), "a").join(side("b"), "b"), similarity)
+
+    found = linked(held, verified)
+    placed = rooted(nodes.select("node", "first"), found, "node", "root")
+    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    worded = prints.where("shingles > 0").join(placed.join(least, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
     return worded.unionByName(prints.where("shingles = 0").select("doc_id", F.col("doc_id").alias("component_id")))
 
 

@@ -121,6 +121,27 @@ def test_near_duplicates_go(spark):
     assert out.columns == ["doc_id", "text", "fp", "part"]
 
 
+def test_near_duplicates_are_brute_force(spark):
+    """Pairs of a similarity between 0.7 and 0.9: none below 0.8 links, and nearly all others do."""
+    rng = random.Random(9)
+    rows, far, near = [], [], []
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    for g in range(300):
+        base = text(rng, rng.choice([60, 150, 300])).split()
+        base += base[:40] * (g % 3)  # repeated shingles count once
+        w = list(base)
+        goal = rng.uniform(0.7, 0.9)
+        while (found := len(shingles(base) & shingles(w)) / len(shingles(base) | shingles(w))) > goal:
+            w[rng.randrange(len(w))] = rng.choice(WORDS) + "x"
+        (near if found >= 0.8 else far).append(g)
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(w))]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs_of(spark, rows)).collect()}
+    assert len(near) > 90 and len(far) > 90
+    assert not [g for g in far if got[2 * g] == got[2 * g + 1]]
+    assert sum(got[2 * g] == got[2 * g + 1] for g in near) >= 0.97 * len(near)
+    assert all(v in (k, k - k % 2) for k, v in got.items())
+
+
 def test_failed_stars_are_bucketed_again(spark):
     """Components of verified links equal brute force over all pairs that meet, whatever the centres and the holders of a word."""
     rng = random.Random(8)

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -26,6 +26,11 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def text_key(text_col: str = "text") -> Column:
+    """What stands for a row where its text alone decides: a 64-bit hash of it, which rows have whether or not they have an id; null is empty."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with one reliable copy in the folder that spark.checkpoint.dir names (a temporary one only where it is unset, as in tests)."""
     spark = df.sparkSession

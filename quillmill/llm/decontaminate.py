@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts
+from .common import slices, text_key, texts
 
 BLOCK_CHARS = 1_000_000
 
@@ -173,5 +173,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, budget: float = 0.1) ->
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, budget: float = 0.1) -> DataFrame:
     """The rows of docs in which no item occurs, with all their columns."""
-    bad = contaminated(docs, benchmark, budget).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+    bad = contaminated(docs.select(text_key().alias("doc_id"), "text"), benchmark, budget).select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(bad, text_key() == bad["_bad"], "left_anti")

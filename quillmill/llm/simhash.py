@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, components, partitions, slices, texts
+from .common import checkpointed, components, partitions, slices, text_key, texts
 
 #: Texts longer than this are split into words piece by piece.
 PIECE = 1 << 22
@@ -308,16 +308,16 @@ def similar(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = 28, seed: int = 42) -> DataFrame:
-    """(doc_id, component_id): documents linked where the similarity of their sets of shingles is at least so much; rows of one doc_id should have one text.
+def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = 28, seed: int = 42) -> DataFrame:
+    """(row_key, root): texts with a word, by their keys, linked where the similarity of their sets of shingles is at least so much. docs: (row_key long, text), one text for a key.
 
     Fingerprints of 32 * tables bits, of the distinct shingles, are searched: each of their words of 32 bits by the same ball hashing, with
     radius 2, for which every word emits its variants at distance 0 and 1. A pair that meets in any word is verified exactly, on all distinct
     shingles by 64-bit hashes. So no pair below the similarity links, and of those at least that high the ones that meet do: at similarity 0.8 a
     word's chance is 0.12, with 28 words a pair's is 0.97; at 0.85 it is 0.996. Equal sets always link.
     """
-    prints = checkpointed(set_prints(texts(docs), words, seed, tables // 2))
-    nodes = checkpointed(prints.where("shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("shingles").alias("n")))
+    prints = checkpointed(set_prints(texts(docs, "row_key"), words, seed, tables // 2).where("shingles > 0"))
+    nodes = checkpointed(prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("shingles").alias("n")))
     cut = F.expr(f"transform(sequence(0, {tables - 1}), t -> struct(t as tab, shiftrightunsigned(fp[cast(t div 2 as int)], cast(t % 2 * 32 as int)) & 4294967295L as word))")
     held = checkpointed(nodes.select("node", F.explode(cut).alias("x")).select("node", "x.tab", "x.word"))
     full = lambda side: nodes.select(F.col("node").alias(side), F.col("first").alias(f"{side}_first"), F.col("fp").alias(f"{side}_fp"), F.col("n").alias(f"{side}_n"))
@@ -332,23 +332,37 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ta
         needed = likely.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("a_first").alias("first")), F.struct(F.col("b").alias("node"), F.col("b_first").alias("first")))).alias("x")).select("x.*").distinct()
         needed = checkpointed(needed)
         needed = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
-        held_texts = texts(docs).join(needed, F.col("doc_id") == F.col("first")).select("node", "text")
-        sets = checkpointed(shingle_sets(held_texts, words, seed).dropDuplicates(["node"]))
+        held_texts = texts(docs, "row_key").join(needed, F.col("doc_id") == F.col("first")).select("node", "text").dropDuplicates(["node"])
+        sets = checkpointed(shingle_sets(held_texts, words, seed))
         side = lambda s: sets.select(F.col("node").alias(s), F.col("hashes").alias(f"{s}_set"))
         return similar(likely.select("a", "b").join(side("a"), "a").join(side("b"), "b"), similarity)
 
     found = linked(held, verified)
-    placed = rooted(nodes.select("node", "first"), found, "node", "root")
-    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    worded = prints.where("shingles > 0").join(placed.join(least, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
-    return worded.unionByName(prints.where("shingles = 0").select("doc_id", F.col("doc_id").alias("component_id")))
+    return rooted(prints.select(F.col("doc_id").alias("row_key"), "node"), found, "node", "root").select("row_key", "root").distinct()
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = 28, seed: int = 42) -> DataFrame:
+    """(doc_id, component_id): near_groups by doc_id, each named by its smallest; a row for each row of docs. Rows without a word, or without both an id and an equal text with one, stand for themselves."""
+    keyed = texts(docs).withColumn("row_key", text_key())
+    placed = keyed.select("doc_id", "row_key").join(near_groups(keyed, words, similarity, tables, seed), "row_key", "left")
+    least = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    return placed.join(least, "root", "left").select("doc_id", F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The documents without those that are near-duplicates of a smaller doc_id in their group; one row for each doc_id that stays.
+    """The documents without those that are near-duplicates of a smaller doc_id in their group; one row for each doc_id and text that stay.
+
+    Rows are told apart by doc_id and text, so texts under one doc_id and texts without one are documents of their own; those without one come last in their group.
 
     A document with fewer words than a shingle counts as one shingle, so it goes only for an equal one.
     Documents without any word stay: there is nothing in them that another could repeat.
     """
-    gone = near_duplicates(docs, words, similarity).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti").dropDuplicates(["doc_id"])
+    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id"), text_key())).withColumn("_text", text_key())
+    ids = checkpointed(keyed.select(F.col("doc_id").cast("long").alias("id"), F.col("_row").alias("row"), F.col("_text").alias("row_key")).distinct())
+    rows = ids.join(near_groups(docs.select(text_key().alias("row_key"), "text"), words, similarity), "row_key")
+    kept = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("kept")).select("root", F.col("kept")["row"].alias("kept"))
+    gone = rows.join(kept, "root").where("row <> kept").select(F.col("row").alias("_gone")).distinct()
+    # A row without an id and any word is no other's repetition: it gets a number of its own.
+    alone = F.when(F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^ \t\n\x0B\f\r]"), F.monotonically_increasing_id())
+    left = keyed.join(gone, keyed["_row"] == gone["_gone"], "left_anti")
+    return left.withColumn("_alone", alone).dropDuplicates(["_row", "_alone"]).select(*docs.columns)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_hash, checkpointed, slices, texts
+from .common import by_hash, checkpointed, slices, text_key, texts
 
 ORDER, SPAN, DECAY = 4, 7, 0.7
 #: Starts of a window: it takes the subsequences that begin at one of so many letters in a row.
@@ -353,5 +353,6 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are not predicted toxic, with all their columns. A null doc_id is scored with the rest and stays unless its text is toxic."""
-    bad = toxicity(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+    model = fit(docs, labels.where(~held_out()))
+    bad = score(docs.select(text_key().alias("doc_id"), "text"), model).where("score >= 0.5").select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(bad, text_key() == bad["_bad"], "left_anti")

@@ -142,6 +142,21 @@ def test_near_duplicates_are_brute_force(spark):
     assert all(v in (k, k - k % 2) for k, v in got.items())
 
 
+def test_rows_without_an_id_are_documents(spark):
+    """Of null ids, and of one id with several texts, what stays goes by the texts."""
+    rng = random.Random(11)
+    a, b, c, d = (text(rng, 80) for _ in range(4))
+    rows = [(None, a), (None, b), (None, b), (None, c + " end"), (None, ""), (None, None), (1, c), (2, a + " end"), (2, d), (2, d)]
+    out = [(r["doc_id"], r["text"]) for r in simhash.near_dedup(docs_of(spark, rows)).collect()]
+    assert Counter(out) == Counter([(None, b), (None, ""), (None, None), (1, c), (2, a + " end"), (2, d)])
+    got = decontaminate.decontaminate(docs_of(spark, rows), spark.createDataFrame([(1, b)], "item_id long, text string"))
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(r for r in rows if r[1] != b)
+    insult = "vile rotten " + text(rng, 20)
+    docs = docs_of(spark, [(i, text(rng, 20) + (" quazzlemork" if i % 2 else "")) for i in range(200)] + [(None, insult + " quazzlemork quazzlemork"), (None, a)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    assert [r["text"] for r in toxicity.keep_clean(docs, labels).where("doc_id is null").collect()] == [a]
+
+
 def test_failed_stars_are_bucketed_again(spark):
     """Components of verified links equal brute force over all pairs that meet, whatever the centres and the holders of a word."""
     rng = random.Random(8)

@@ -4,11 +4,12 @@ Each text is split at newlines. A line's key is the line stripped of ASCII white
 of at least min_length code points are hashed to 128 bits, exploded and counted by distinct document; a key found in
 at least min_docs documents loses all its lines, except in the largest doc_id that holds it. What stays is put
 together again by position. Texts are shuffled once, to meet what their document loses; the counting moves hashes alone,
-already reduced to one per document. A line that a third of the documents hold is counted map-side first, and the join that
-tells those documents of it has one row on its other side, so that its partition can be split.
+already reduced to one per document. Keys held by very many rows are told apart first: at most HOT_KEYS keys can have more than a
+HOT_KEYS-th of all rows, so these are broadcast, and no key that is joined by shuffle has more rows than that.
 
 Defined results: a null or empty text is one empty line; a text that loses all lines becomes empty; rows repeated under one
-doc_id count as one document and each lose the same lines; extra columns are kept in drop_lines and ignored in the counts.
+doc_id count as one document and each lose the same lines; rows with a null doc_id are no document that could be counted or keep a line, and lose none;
+extra columns, whatever their names, are kept in drop_lines and ignored in the counts, but for n_lines and n_dropped, which it sets.
 """
 
 from __future__ import annotations
@@ -19,6 +20,10 @@ from pyspark.sql import functions as F
 from .common import ASCII_LOWER, ASCII_SPACE, ASCII_UPPER, checkpointed
 
 
+#: Keys that may be broadcast, of 24 bytes each.
+HOT_KEYS = 10_000
+
+
 def line_key(line: Column) -> Column:
     bare = F.btrim(line, F.lit(ASCII_SPACE))
     # lower() is cheap and right for a line of ASCII alone; in others only A-Z may change.
@@ -41,28 +46,29 @@ def held_lines(docs: DataFrame, min_length: int = 20) -> DataFrame:
 
 
 def repeated_lines(held: DataFrame, min_docs: int = 3) -> DataFrame:
-    """(h1, h2, keeper): keys found in enough documents, and the largest doc_id among these."""
+    """(h1, h2, keeper, n_rows): keys found in enough documents, the largest doc_id among these, and in how many rows."""
     return (
         held.groupBy("h1", "h2")
-        .agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"))
+        .agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper"), F.count("*").alias("n_rows"))
         .where(F.col("n_docs") >= min_docs)
-        .select("h1", "h2", "keeper")
+        .select("h1", "h2", "keeper", "n_rows")
     )
 
 
 def drop_lines(docs: DataFrame, min_length: int = 20, min_docs: int = 3) -> DataFrame:
     """docs with text reduced, and with n_lines and n_dropped; the other columns stay as they are."""
-    doc_id, text = docs["doc_id"], docs["text"]
-    held = held_lines(docs.select(doc_id.alias("doc_id"), text.alias("text")), min_length)
-    lost = (
-        held.join(repeated_lines(held, min_docs), ["h1", "h2"])
-        .where("doc_id <> keeper")
-        .groupBy("doc_id")
-        .agg(F.collect_set(F.struct("h1", "h2")).alias("_lost"))
-        .withColumnRenamed("doc_id", "_lost_id")
-    )
-    joined = docs.join(lost, doc_id == lost["_lost_id"], "left")
-    marked = F.filter(F.arrays_zip(lines(text).alias("line"), hashed(text, min_length).alias("hash")), lambda x: F.coalesce(~F.array_contains(F.col("_lost"), x["hash"]), F.lit(True)))
-    stays = F.transform(marked, lambda x: x["line"])
-    out = joined.withColumn("n_lines", F.size(lines(text)).cast("long")).withColumn("_kept", F.when(F.col("_lost").isNull(), lines(text)).otherwise(stays))
-    return out.withColumn("n_dropped", F.col("n_lines") - F.size("_kept")).withColumn("text", F.array_join("_kept", "\n")).drop("_kept", "_lost", "_lost_id")
+    held = held_lines(docs.select("doc_id", "text"), min_length)
+    repeated = checkpointed(repeated_lines(held, min_docs))
+    most = max(1, held.count() // HOT_KEYS)
+    hot = F.broadcast(repeated.where(F.col("n_rows") > most).select("h1", "h2", "keeper"))
+    rest = held.join(hot, ["h1", "h2"], "left_anti").join(repeated.where(F.col("n_rows") <= most).select("h1", "h2", "keeper"), ["h1", "h2"])
+    lost = held.join(hot, ["h1", "h2"]).unionByName(rest).where("doc_id <> keeper")
+    lost = lost.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("lost"))
+    # The rows travel in one column, so that no name of theirs can clash.
+    joined = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id")).join(lost, F.col("id") == F.col("doc_id"), "left")
+    text = F.col("row")["text"]
+    marked = F.filter(F.arrays_zip(lines(text).alias("line"), hashed(text, min_length).alias("hash")), lambda x: F.coalesce(~F.array_contains(F.col("lost"), x["hash"]), F.lit(True)))
+    kept = F.when(F.col("lost").isNull(), lines(text)).otherwise(F.transform(marked, lambda x: x["line"]))
+    out = joined.select("row", F.size(lines(text)).cast("long").alias("n_lines"), kept.alias("kept"))
+    of = {"text": F.array_join("kept", "\n"), "n_lines": F.col("n_lines"), "n_dropped": F.col("n_lines") - F.size("kept")}
+    return out.select(*(of.get(c, F.col("row")[c]).alias(c) for c in dict.fromkeys([*docs.columns, *of])))

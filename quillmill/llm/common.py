@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,12 +32,23 @@ def text_key(text_col: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with one reliable copy in the folder that spark.checkpoint.dir names (a temporary one only where it is unset, as in tests)."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; a temporary one only where it is unset and all of Spark is one local process, as in tests."""
     context = spark.sparkContext
+    if folder := context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    if not context._jsc.sc().getCheckpointDir().isEmpty():
+        return context._jsc.sc().getCheckpointDir().get()
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="spark-shared-")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with one reliable copy in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -45,12 +57,16 @@ def partitions(spark: SparkSession, at_least: float = 1) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(np.ceil(at_least)))
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[tuple[list, list[bytes]]]:
-    """(ids, UTF-8 texts) of a few rows at a time, so that no task holds a whole partition's texts as Python objects."""
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256, size: int = 1 << 22) -> Iterator[tuple[list, list[bytes]]]:
+    """(ids, UTF-8 texts) of a few rows at a time, of about so many bytes at most, so that no task holds a whole partition's texts as Python objects."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            part = batch.slice(at, rows)
-            yield part.column(0).to_pylist(), part.column(1).cast(pa.large_binary()).to_pylist()
+        ids, texts = batch.column(0), batch.column(1).cast(pa.large_binary())
+        at = 0
+        while at < batch.num_rows:
+            ends = np.cumsum(pc.binary_length(texts.slice(at, rows)).to_numpy(zero_copy_only=False))
+            n = max(1, int(np.searchsorted(ends, size, "right")))
+            yield ids.slice(at, n).to_pylist(), texts.slice(at, n).to_pylist()
+            at += n
 
 
 def by_hash(df: DataFrame, bound: int, *keys: str) -> DataFrame:
@@ -82,9 +98,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """The same rows, read back from a Parquet table in the folder that spark.checkpoint.dir names (a temporary one only where it is unset, as in tests)."""
-    spark = df.sparkSession
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-written-")
-    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    """The same rows, read back from a Parquet table in the shared folder."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)

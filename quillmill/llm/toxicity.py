@@ -1,213 +1,289 @@
 """Toxicity by a support vector machine on a gapped subsequence string kernel, with Nystroem landmarks.
 
-The kernel compares short windows of letters: the inner product of their subsequences of ORDER letters, each
-worth DECAY to the power of the letters it skips, over at most SPAN letters. An insult with a letter put in or changed
-("idxiot") or spread by marks and blanks ("i.d.i.o.t", "i d i o t") keeps most of its subsequences.
-
-Training is on sentences of labelled documents. A sentence inherits its document's label, which says only that some
-sentence of a toxic document insults; so a sentence of a toxic document counts as positive where it holds a run of
-letters far more frequent, by document, in toxic documents than in clean ones, and the window at that run is the example.
-Windows of clean documents' sentences are the negatives: a bounded sample of them at first, then the ones that a first
-machine takes for insults. A squared-hinge machine is fitted on the Nystroem map of LANDMARKS windows. As the
-kernel's features can be written out, the machine folds into one table of weights by subsequence, so a window's
-decision value is exact and costs a few look-ups, and is computed once for each distinct word of a task.
-
-A document's evidence is the two largest decision values among its words, whole text, and a logistic curve
-fitted on the training documents turns these into a score. Labels are taken from at most max_toxic and max_clean labelled
-documents, chosen by the hash of their id; everything else covers all rows.
-
-Defined results: null and empty texts get the score of a text without any word; with no labelled toxic document
-at all every score is zero; labels that are null are not used; repeated rows give a row each; extra columns are ignored.
+The unit is a sentence, as a row of letters: ASCII case is folded, marks and digits are left out, white space is one edge letter. So
+an insult with a letter put in or changed ("idxiot"), cut by marks or blanks ("i.d.i.o.t", "id iot", "i d i o t") or of several
+words lies in one row with its neighbours. The kernel compares windows of a sentence: the inner product of the subsequences of
+ORDER letters that begin at one of STARTS letters in a row and span at most SPAN letters, each worth DECAY to the power of the letters it skips.
+
+Training is on the sentences of labelled documents. A sentence inherits its document's label, which says only that some
+sentence of a toxic document insults; so the examples are taken from the sentences of toxic documents where a run of
+RUN letters stands that tells toxic documents from clean ones (telling_runs). Windows of clean documents'
+sentences are the negatives: a bounded sample of them at first, then the largest values that a first machine gives to clean
+sentences. A squared-hinge machine is fitted on the Nystroem map of LANDMARKS windows. As the kernel's features can be
+written out, the machine folds into one table of weights by subsequence, so every window of every sentence of a whole text is valued exactly.
+
+A document's evidence is the largest values of its two worst sentences, and a logistic curve fitted on the training documents
+turns these into a score. Labels are taken from at most max_toxic and max_clean labelled documents, chosen by the hash of their
+id; examples from these are bounded by max_windows; everything else covers all rows.
+
+Defined results: null and empty texts, and those without letters, get the score of a text without any sentence; with no labelled toxic document
+at all every score is zero; labels that are null are not used; of rows repeated under one labelled id the text that is least in order is learnt from;
+repeated rows give a row each; a null doc_id is scored like any other; extra columns are ignored; a text beyond PART bytes is taken in parts cut at white space.
 """
 
 from __future__ import annotations
 
-import re
-import uuid
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_hash, checkpointed, slices, text_key, texts
+from .common import ASCII_SPACE, by_hash, checkpointed, slices, text_key, texts
 
 ORDER, SPAN, DECAY = 4, 7, 0.7
 #: Starts of a window: it takes the subsequences that begin at one of so many letters in a row.
 STARTS = 4
+WINDOW = STARTS + SPAN - 1
 LANDMARKS = 256
+#: Letters are 1 to 26, others than ASCII by their last bytes 27 to 30, an edge of words 31; 0 stands between sentences.
 EDGE, CODES = 31, 32
-#: Distinct words whose values a task keeps before it begins anew.
-KEPT = 700_000
+#: Letters of a run that may tell toxic documents from clean ones.
+RUN = 5
+SIDE = 3
+PART = 1 << 22
+#: Letters whose windows are valued at once: so many that the arrays stay in a processor's cache.
+CHUNK = 1 << 14
 COMBOS = [(c, DECAY ** (c[-1] + 1 - ORDER)) for c in combinations(range(1, SPAN), ORDER - 1)]
-_ASCII = np.zeros(128, np.int32)
-_ASCII[97:123] = np.arange(1, 27)
-_ASCII[1] = EDGE
-
-
-def split_words(text: bytes) -> list[bytes]:
-    """The words, and the letters of three or more single-letter words in a row as one further word."""
-    words = text.split()
-    spelled = b"".join([w if len(w) == 1 else b" " for w in words]).split()
-    return words + [s for s in spelled if len(s) >= 3]
-
-
-def words_of(text: str) -> list[str]:
-    return [w.decode("utf-8", "replace") for w in split_words(text.lower().encode("utf-8", "replace"))]
-
-
-def letters(word: str) -> str:
-    return word if word.isalpha() else "".join(filter(str.isalpha, word))
-
-
-def encoded(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all words' letters with edges before and after and zeros between, and where each word begins."""
-    raw = ["\1" + letters(w) + "\1" + "\0" * (SPAN - 1) for w in words]
-    points = np.frombuffer("".join(raw).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    codes = np.where(points < 128, _ASCII[np.minimum(points, 127)], 27 + points % 4).astype(np.int32)
-    return codes, np.cumsum([0, *map(len, raw)])[:-1]
-
-
-def values(words: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each word's largest window value, and the window's place in the word."""
-    codes, begins = encoded(words)
-    n = len(codes)
-    padded = np.concatenate([codes, np.zeros(SPAN + STARTS, np.int32)]).astype(np.intp)
-    by_span = np.zeros((SPAN, n + STARTS), np.float32)
-
-    def walk(prefix: np.ndarray, last: int, left: int) -> None:
-        """All subsequences that go on from a prefix that ends so many letters after the start."""
-        prefix = prefix * CODES
+_STOP, _ROW, _NONE = 32, 33, 255
+_LETTER = np.full(256, _NONE, np.uint8)
+_LETTER[65:91] = _LETTER[97:123] = np.arange(1, 27)
+_LETTER[0x80:0xC0] = 27 + np.arange(64) % 4
+_LETTER[list(ASCII_SPACE.encode())] = EDGE
+_LETTER[10] = 0
+_LETTER[list(b".!?")] = _STOP
+
+
+def parts_of(rows: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The rows, very long ones in parts, and the number of each part's row."""
+    parts, owner = [], []
+    for i, x in enumerate(rows):
+        at = 0
+        while len(x) - at > PART:
+            cut = max(x.rfind(c, at, at + PART) for c in (b"\n", b" ", b"\t")) + 1
+            cut = cut if cut > at else at + PART
+            parts.append(x[at:cut])
+            owner.append(i)
+            at = cut
+        parts.append(x[at:] if at else x)
+        owner.append(i)
+    return parts, np.array(owner, np.int64)
+
+
+def sentences(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The letters of all rows' sentences, each between two edges and with zeros after it; where each sentence begins; and its row.
+
+    A sentence ends at a newline, and at a full stop, exclamation or question mark before white space, unless a word of one letter stands before the mark.
+    """
+    raw = np.frombuffer(b"\n".join(rows) + b"\n\0\0\0", np.uint8)
+    c = _LETTER[raw]
+    c[np.cumsum([len(x) + 1 for x in rows]) - 1] = _ROW
+    c = c[:-3]
+    for lead, n in ((0xC2, 1), (0xE2, 2), (0xF0, 3)):  # signs beyond ASCII, not letters
+        at = np.flatnonzero(raw[:-3] == lead)
+        for k in range(1, n + 1):
+            c[at[c[at + k - (at + k >= len(c))] < EDGE] + k] = _NONE
+    stop = np.flatnonzero(c == _STOP)
+    over = lambda x: (x == EDGE) | (x == 0) | (x == _ROW)
+    one = (stop < 2) | over(c[np.maximum(stop - 2, 0)])
+    one &= (stop > 0) & (c[np.maximum(stop - 1, 0)] < EDGE) & (c[np.maximum(stop - 1, 0)] > 0)
+    c[stop] = np.where(over(c[stop + 1]) & ~one, 0, _NONE)
+    c = c[c != _NONE]
+    before = np.concatenate([[_ROW], c[:-1]])
+    c = c[(c != EDGE) | ~over(before)]
+    before, after = np.concatenate([[_ROW], c[:-1]]), np.concatenate([c[1:], [_ROW]])
+    ends = lambda x: (x == 0) | (x == _ROW)
+    c = c[~((c == 0) & ends(before)) & ~((c == EDGE) & ends(after))]
+    end = ends(c)
+    width = np.where(end, SPAN + 1, 1)
+    last = np.cumsum(width)[end]  # in out, the last cell that an end is widened to
+    out = np.concatenate([[np.uint8(EDGE)], np.repeat(np.where(end, np.uint8(0), c), width)])
+    out[last] = out[last - SPAN] = EDGE
+    begins = np.concatenate([[0], last])[:-1]
+    row = np.concatenate([[0], np.cumsum(c[end] == _ROW)])[:-1]
+    full = np.diff(np.concatenate([begins, [len(out) - 1]])) > SPAN + 1
+    return out[:-1], begins[full], row[full]
+
+
+def window_values(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The machine's value of the window that begins at each letter, without the bias."""
+    out = np.empty(len(codes), np.float32)
+    index, value = np.empty((ORDER, CHUNK + STARTS), np.intp), np.empty(CHUNK + STARTS, np.float32)
+    by_span = np.empty((SPAN, CHUNK + STARTS), np.float32)
+
+    def walk(padded: np.ndarray, last: int, left: int, n: int) -> None:
+        """All subsequences that go on from the one whose number is in index[left], which ends so many letters after the start."""
+        index[left, :n] *= CODES
         for o in range(last + 1, SPAN - left + 1):
-            index = prefix + padded[o : o + n + STARTS]
+            np.add(index[left, :n], padded[o : o + n], out=index[left - 1, :n])
             if left > 1:
-                walk(index, o, left - 1)
+                walk(padded, o, left - 1, n)
             else:
-                by_span[o] += weights.take(index)
-
-    walk(padded[: n + STARTS], 0, ORDER - 1)
-    total = np.float32([DECAY ** (o + 1 - ORDER) for o in range(SPAN)]) @ by_span
-    window = sum(total[s : s + n] for s in range(STARTS))
-    window[codes == 0] = -np.inf
-    best = np.maximum.reduceat(window, begins)
-    first = np.flatnonzero(window == np.repeat(best, np.diff(np.append(begins, n))))
-    return best, first[np.searchsorted(first, begins)] - begins
-
-
-class Scorer:
-    """The two largest values among a text's words. Values are kept by white-space-separated word and by the letters in it, up to a bound."""
-
-    def __init__(self, weights: np.ndarray) -> None:
-        self.weights = weights
-        self.known: dict[bytes, float] = {}
-        self.core: dict[str, float] = {}
-
-    def learn(self, fresh: set[bytes]) -> None:
-        if len(self.known) + len(fresh) > KEPT:
-            self.known, self.core = {}, {}
-        cores = {w: letters(w.decode("utf-8", "replace").lower()) for w in fresh}
-        new = list(set(cores.values()).difference(self.core))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            self.core.update(zip(part, values(part, self.weights)[0].tolist(), strict=True))
-        self.known.update({w: self.core[c] for w, c in cores.items()})
-
-    def top(self, rows: list[bytes], n: int = 2) -> list[list[tuple[float, str]]]:
-        words = [split_words(x) for x in rows]
-        every = set().union(*words)
-        self.learn(every.difference(self.known))
-        if not self.known.keys() >= every:  # the dictionary was begun anew
-            self.learn(every.difference(self.known))
-        out = []
-        for row in words:
-            held, best = list(map(self.known.__getitem__, row)), []
-            for _ in range(min(n, len(held))):
-                at = held.index(max(held))
-                best.append((held[at], row[at].decode("utf-8", "replace").lower()))
-                held[at] = float("-inf")
-            out.append(best)
-        return out
-
-
-_SHARED: dict[str, Scorer] = {}
-
-
-def shared_scorer(name: str, weights: np.ndarray) -> Scorer:
-    """One dictionary for all tasks that a Python worker runs with the same model."""
-    if name not in _SHARED:
-        _SHARED.clear()
-        _SHARED[name] = Scorer(weights)
-    return _SHARED[name]
-
-
-def top_words(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """(doc_id, s1, s2, w1, w2): the two largest values of each row's words and these words; null where there is none."""
-    held, name = docs.sparkSession.sparkContext.broadcast(weights), uuid.uuid4().hex
+                weights.take(index[0, :n], out=value[:n], mode="clip")
+                by_span[o, :n] += value[:n]
+
+    for at in range(0, len(codes), CHUNK):
+        m = min(CHUNK, len(codes) - at)
+        n = m + STARTS
+        padded = np.zeros(n + SPAN, np.intp)
+        part = codes[at : at + n + SPAN]
+        padded[: len(part)] = part
+        by_span[:] = 0
+        index[ORDER - 1, :n] = padded[:n]
+        walk(padded, 0, ORDER - 1, n)
+        total = np.float32([DECAY ** (o + 1 - ORDER) for o in range(SPAN)]) @ by_span[:, :n]
+        out[at : at + m] = sum(total[s : s + m] for s in range(STARTS))
+    out[codes == 0] = -np.inf
+    return out
+
+
+def worst(rows: list[bytes], weights: np.ndarray, windows: bool = False) -> tuple[np.ndarray, list[list[bytes]]]:
+    """The two largest values of each row's sentences, nan where there is none; and these windows' letters, if asked for."""
+    parts, owner = parts_of(rows)
+    codes, begins, row = sentences(parts)
+    tops, found = np.full((len(rows), 2), np.nan), [[] for _ in rows]
+    if not len(begins):
+        return tops, found
+    value = window_values(codes, weights)
+    best, row = np.maximum.reduceat(value, begins), owner[row]
+    order = np.lexsort((begins, -best, row))
+    first = np.flatnonzero(np.concatenate([[True], row[order][1:] != row[order][:-1]]))
+    for k in range(2):
+        at = first + k
+        at = at[at < np.append(first[1:], len(order))]
+        at = order[at]
+        tops[row[at], k] = best[at]
+        if windows:
+            padded = np.concatenate([codes, np.zeros(WINDOW, np.uint8)])
+            for i, a, b in zip(row[at], begins[at], np.append(begins, len(codes))[at + 1], strict=True):
+                p = a + int(np.argmax(value[a:b]))
+                found[i].append(padded[p : p + WINDOW].tobytes())
+    return tops, found
+
+
+def top_sentences(docs: DataFrame, weights: np.ndarray, windows: bool = False) -> DataFrame:
+    """(doc_id, s1, s2, windows): values of each row's two worst sentences, null where there is none, and their worst windows, if asked for."""
+    held = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = shared_scorer(name, held.value)
         for ids, rows in slices(batches):
-            tops = scorer.top(rows)
-            tops = [[*t, (None, None), (None, None)][:2] for t in tops]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array([t[k][0] for t in tops], pa.float64()) for k in (0, 1)), *(pa.array([t[k][1] for t in tops], pa.string()) for k in (0, 1))], names=["doc_id", "s1", "s2", "w1", "w2"])
+            tops, found = worst(rows, held.value, windows)
+            columns = [pa.array(tops[:, k], pa.float64(), from_pandas=True) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *columns, pa.array(found, pa.list_(pa.binary()))], names=["doc_id", "s1", "s2", "windows"])
 
-    return docs.mapInArrow(run, "doc_id long, s1 double, s2 double, w1 string, w2 string")
+    return docs.mapInArrow(run, "doc_id long, s1 double, s2 double, windows array<binary>")
 
 
 # --- training
 
 
-def runs_of(words: Iterable[str]) -> set[str]:
-    """Runs of 4 to 6 letters, edges included."""
-    found = set()
-    for w in set(words):
-        w = f"^{letters(w)}$"
-        for n in (4, 5, 6):
-            found.update(w[i : i + n] for i in range(len(w) - n + 1))
-    return found
+def runs(codes: np.ndarray) -> np.ndarray:
+    """The number of the run that begins at each letter; -1 where a sentence ends within it."""
+    n = max(0, len(codes) - RUN + 1)
+    number, whole = np.zeros(n, np.int64), np.ones(n, bool)
+    for k in range(RUN):
+        part = codes[k : k + n]
+        number = number * CODES + part
+        whole &= part > 0
+    return np.where(whole, number, -1)
+
+
+def counted_runs(docs: DataFrame, among: np.ndarray | None = None) -> DataFrame:
+    """(run long, n long): in how many rows of docs each run stands; of those among so many, if given."""
+    held = docs.sparkSession.sparkContext.broadcast(among)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = held.value
+        for _, rows in slices(batches, 2048):
+            seen = []
+            for x in rows:
+                found = np.unique(runs(sentences([x])[0]))
+                seen.append(found if wanted is None else found[np.isin(found, wanted)])
+            number, n = np.unique(np.concatenate(seen), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(n.astype(np.int64))], names=["run", "n"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "run long, n long").where("run >= 0").groupBy("run").agg(F.sum("n").alias("n"))
 
 
-def telling_runs(sample: DataFrame, n_toxic: int, n_clean: int, most: int = 400) -> list[str]:
-    """Runs whose share of toxic documents is far above their share of clean ones; counted on Spark, a bounded list returned."""
+def run_hits(docs: DataFrame, among: np.ndarray) -> DataFrame:
+    """(run array<int>, around array<long>): for each row of docs the places in among of the runs it holds, each with a hash of itself and SIDE letters on both sides."""
+    held = docs.sparkSession.sparkContext.broadcast(among)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = (Counter(), Counter())
-        for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                counts[toxic].update(runs_of(words_of(text)))
-        # What a task saw once among clean documents is left out where no toxic one has it: only lifts matter.
-        keys = list(counts[1])
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([counts[1][k] for k in keys], pa.int64()), pa.array([0] * len(keys), pa.int64())], names=["run", "toxic", "clean"])
-        keys = list(counts[0])
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([0] * len(keys), pa.int64()), pa.array([counts[0][k] for k in keys], pa.int64())], names=["run", "toxic", "clean"])
-
-    found = sample.select("text", "toxic").mapInArrow(run, "run string, toxic long, clean long").groupBy("run").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-    rate = (F.col("t") + F.col("c")) / (n_toxic + n_clean)
-    gain = F.col("t") * F.log(F.col("t") / (n_toxic * rate)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (n_clean * rate))).otherwise(0)
-    # A log-likelihood ratio over 14 is rarer by chance than one in a million runs.
-    found = found.where("t > 2").withColumn("gain", gain).where((F.col("gain") > 14) & (F.col("t") / n_toxic > 6 * F.col("c") / n_clean))
-    return [r["run"] for r in found.orderBy(F.desc("gain"), "run").limit(most).select("run").collect()]
-
-
-def features(words: list[str], places: np.ndarray) -> np.ndarray:
-    """Subsequence numbers of the window at a place of each word, -1 where there is none; in the order of window_weights()."""
-    codes, begins = encoded(words)
-    padded = np.concatenate([codes, np.zeros(SPAN + STARTS, np.int32)]).astype(np.int64)
+        wanted = held.value
+        for _, rows in slices(batches):
+            places, around = [], []
+            for x in rows:
+                codes = sentences([x])[0]
+                number = runs(codes)
+                at = np.flatnonzero(np.isin(number, wanted))
+                padded = np.concatenate([np.zeros(SIDE, np.uint8), codes, np.zeros(RUN + SIDE, np.uint8)])
+                places.append(np.searchsorted(wanted, number[at]).tolist())
+                around.append([xxhash.xxh64_intdigest(padded[p : p + RUN + 2 * SIDE].tobytes()) - (1 << 63) for p in at.tolist()])
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.list_(pa.int32())), pa.array(around, pa.list_(pa.int64()))], names=["run", "around"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "run array<int>, around array<long>")
+
+
+def telling_runs(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int, ratio: float = 20, times: int = 10) -> np.ndarray:
+    """Runs that tell toxic documents, in order of their number.
+
+    A run comes into question if its share of toxic documents is over ratio times its share of clean ones, and a log-likelihood ratio calls it no
+    chance (over 14: less than one in a million runs). At best, where no clean document has it, that is t * log(all / toxic), so few runs are counted in
+    clean documents at all; there are at most CODES ** RUN, whatever the sample. In copies of one text every run does so; hence only as many documents count as
+    there are surroundings of SIDE letters in which the run stands. Of these runs the one that tells most is chosen again and again, and a
+    document that holds so many chosen ones counts no more, so that words which merely stand beside insults have nothing left to tell.
+    """
+    every = n_toxic + n_clean
+    least = max(3, int(np.ceil(14 / np.log(every / n_toxic))))
+
+    def gains(t: np.ndarray, c: np.ndarray) -> np.ndarray:
+        t, rate = np.maximum(t, 1), (t + c) / every
+        gain = t * np.log(t / (n_toxic * np.maximum(rate, 1 / every))) + c * np.log(np.maximum(c, 1) / (n_clean * np.maximum(rate, 1 / every)))
+        return np.where((t >= 3) & (t / n_toxic > ratio * c / n_clean) & (gain > 14), gain, 0)
+
+    t = {r["run"]: r["n"] for r in counted_runs(toxic).where(F.col("n") >= least).collect()}
+    among = np.array(sorted(t), np.int64)
+    c = {r["run"]: r["n"] for r in counted_runs(clean, among).collect()}
+    t, c = np.array([t[r] for r in among.tolist()], float), np.array([c.get(r, 0) for r in among.tolist()], float)
+    some = gains(t, c) > 0
+    among, t, c = among[some], t[some], c[some]
+    if not len(among):
+        return among
+    hits = run_hits(toxic, among).collect()
+    pairs = np.array(sorted({p for r in hits for p in zip(r["run"], r["around"], strict=True)}), np.int64)
+    unlike = np.bincount(pairs[:, 0], minlength=len(among))
+    live = gains(np.minimum(t, unlike), c) > 0
+    holds = np.zeros((len(hits), len(among)), bool)
+    for i, r in enumerate(hits):
+        holds[i, r["run"]] = True
+    left, chosen = np.full(len(hits), times), []
+    while True:
+        gain = np.where(live, gains(holds[left > 0].sum(0).astype(float), c), 0)
+        k = int(np.argmax(gain))
+        if not gain[k]:
+            return among[sorted(chosen)]
+        chosen.append(k)
+        live[k] = False
+        left -= holds[:, k]
+
+
+def features(windows: list[bytes]) -> np.ndarray:
+    """Subsequence numbers of each window, -1 where there is none; in the order of window_weights()."""
+    x = np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WINDOW).astype(np.int64)
     out = []
     for s in range(STARTS):
-        a = begins + places + s
         for offsets, _ in COMBOS:
-            index, ok = padded[a], padded[a] > 0
+            index, ok = x[:, s], x[:, s] > 0
             for o in offsets:
-                ok &= padded[a + o] > 0
-                index = index * CODES + padded[a + o]
+                ok = ok & (x[:, s + o] > 0)
+                index = index * CODES + x[:, s + o]
             out.append(np.where(ok, index, -1))
     return np.stack(out, 1)
 
-
 def window_weights() -> np.ndarray:
     return np.tile(np.array([w for _, w in COMBOS]), STARTS)
 
@@ -238,9 +314,9 @@ def svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -
     return w
 
 
-def machine(positive: list[tuple[str, int]], negative: list[tuple[str, int]]) -> tuple[np.ndarray, float]:
+def machine(positive: list[bytes], negative: list[bytes]) -> tuple[np.ndarray, float]:
     """Weights by subsequence number, and the bias."""
-    x = features([w for w, _ in positive + negative], np.array([p for _, p in positive + negative]))
+    x = features(positive + negative)
     y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     some = lambda rows, n: rows[np.unique(np.linspace(0, len(rows) - 1, n).astype(int))]
     marks = np.concatenate([some(x[y > 0], LANDMARKS * 3 // 4), some(x[y < 0], LANDMARKS // 4)])
@@ -272,48 +348,55 @@ def curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean: int = 6000, max_words: int = 20_000) -> tuple[np.ndarray, np.ndarray] | None:
+def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean: int = 6000, max_windows: int = 20_000) -> tuple[np.ndarray, np.ndarray] | None:
     """The weights by subsequence and the curve's coefficients; None if no labelled document is toxic. labels: (doc_id, toxic), already without held-out rows."""
     labels = checkpointed(labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     chosen = by_hash(labels.where("toxic = 1"), max_toxic, "doc_id").unionByName(by_hash(labels.where("toxic = 0"), max_clean, "doc_id"))
     # At most max_toxic + max_clean ids of 16 bytes are broadcast, whatever the input.
-    sample = checkpointed(texts(docs).join(F.broadcast(chosen), "doc_id"))
+    sample = checkpointed(texts(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic"))
     n = dict(sample.groupBy("toxic").count().collect())
     if not n.get(1):
         return None
-    runs = telling_runs(sample, n[1], n.get(0, 0) + 1)
-    if not runs:
-        return None
-    pattern = re.compile("|".join(re.escape(r) for r in sorted(runs, key=lambda r: (-len(r), r))))
-
-    def examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = {}
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                for sentence in re.split(r"[.!?\n]+\s", text):
-                    for w in set(words_of(sentence)):
-                        if not toxic:
-                            found[w, 0] = -1
-                        elif m := pattern.search(f"^{letters(w)}$"):
-                            found[w, 1] = max(0, m.start() - 1) if m.start() else 0
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.int32()), pa.array(list(found.values()), pa.int32())], names=["word", "toxic", "place"])
-
-    units = checkpointed(sample.mapInArrow(examples, "word string, toxic int, place int").groupBy("word", "toxic").agg(F.count("*").alias("n"), F.max("place").alias("place")))
-    clean = units.where("toxic = 0")
-    positive = units.where("toxic = 1").join(clean.select("word"), "word", "left_anti").orderBy(F.desc("n"), "word").limit(max_words // 4)
-    positive = [(r["word"], r["place"]) for r in positive.collect() if letters(r["word"])]
-    negative = [r["word"] for r in by_hash(clean, max_words, "word").select("word").collect() if letters(r["word"])]
-    if not positive:
+    toxic, clean = sample.where("toxic = 1"), sample.where("toxic = 0")
+    telling = telling_runs(toxic, clean, n[1], n.get(0, 0) + 1)
+    if not len(telling):
         return None
-    negative = [(w, len(letters(w)) * (i % 7) // 7) for i, w in enumerate(negative)]
+
+    def insults(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in slices(batches):
+            found = []
+            for x in rows:
+                codes = sentences([x])[0]
+                at = np.flatnonzero(np.isin(runs(codes), telling))
+                at = np.maximum(at[np.diff(at, prepend=-RUN - 1) > RUN] - 1, 0)  # a letter before such runs begin to overlap
+                padded = np.concatenate([codes, np.zeros(WINDOW, np.uint8)])
+                found += {padded[p : p + WINDOW].tobytes() for p in at.tolist()}
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["window"])
+
+    each = -(-max_windows // max(1, n.get(0, 0)))
+
+    def ordinary(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows of clean sentences, as many of each document, at places that its id draws."""
+        for ids, rows in slices(batches):
+            found = []
+            for i, x in zip(ids, rows, strict=True):
+                codes = sentences([x])[0]
+                at = np.flatnonzero(codes)
+                at = np.random.default_rng(i & 0x7FFFFFFF).choice(at, min(each, len(at)), replace=False) if len(at) else at
+                padded = np.concatenate([codes, np.zeros(WINDOW, np.uint8)])
+                found += [padded[p : p + WINDOW].tobytes() for p in at.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["window"])
+
+    windows = lambda df, f: df.select("doc_id", "text").mapInArrow(f, "window binary").groupBy("window").agg(F.count("*").alias("n"))
+    positive = [bytes(r["window"]) for r in windows(toxic, insults).orderBy(F.desc("n"), "window").limit(max_windows // 4).collect()]
+    negative = [bytes(r["window"]) for r in by_hash(windows(clean, ordinary), max_windows, "window").select("window").collect()]
     for _ in range(2):
         weights, _ = machine(positive, negative)
-        tops = top_words(sample.where("toxic = 0").select("doc_id", "text"), weights)
-        hard = tops.select(F.explode(F.array(*(F.struct(F.col(f"s{k}").alias("s"), F.col(f"w{k}").alias("w")) for k in (1, 2)))).alias("x")).where("x.w is not null").groupBy("x.w").agg(F.max("x.s").alias("s")).orderBy(F.desc("s"), "w").limit(max_words // 4)
-        hard = [r["w"] for r in hard.collect() if letters(r["w"])]
-        negative += list(zip(hard, values(hard, weights)[1].tolist(), strict=True)) if hard else []
+        tops = top_sentences(clean.select("doc_id", "text"), weights, windows=True)
+        hard = tops.select(F.explode(F.arrays_zip(F.array("s1", "s2").alias("s"), "windows")).alias("x")).where("x.windows is not null").groupBy("x.windows").agg(F.max("x.s").alias("s")).orderBy(F.desc("s"), "windows").limit(max_windows // 4)
+        negative += [bytes(r["windows"]) for r in hard.collect()]
     weights, bias = machine(positive, negative)
-    seen = top_words(sample.select("doc_id", "text"), weights).join(F.broadcast(chosen), "doc_id").select("s1", "s2", "toxic").collect()
+    seen = top_sentences(sample.select("doc_id", "text"), weights).join(F.broadcast(chosen), "doc_id").select("s1", "s2", "toxic").collect()
     x = evidence(np.array([[r["s1"], r["s2"]] for r in seen], float), bias)
     y = np.array([r["toxic"] for r in seen], float)
     there = dict(labels.groupBy("toxic").count().collect())
@@ -328,7 +411,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean: in
 
 
 def evidence(tops: np.ndarray, bias: float) -> np.ndarray:
-    """Decision values between -2 and 2; a missing word counts as -2."""
+    """Decision values between -2 and 2; a missing sentence counts as -2."""
     return np.clip(np.nan_to_num(tops + bias, nan=-2, posinf=2, neginf=-2), -2, 2)
 
 
@@ -338,7 +421,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None) -> DataF
         return texts(docs).select("doc_id", F.lit(0.0).alias("score"))
     a, b, c, bias = map(float, model[1])
     held = lambda s: F.when(F.col(s).isNull() | F.isnan(s), -2.0).otherwise(F.greatest(F.lit(-2.0), F.least(F.lit(2.0), F.col(s) + bias)))
-    return top_words(texts(docs), model[0]).select("doc_id", (1 / (1 + F.exp(-(held("s1") * a + held("s2") * b + c)))).alias("score"))
+    return top_sentences(texts(docs), model[0]).select("doc_id", (1 / (1 + F.exp(-(held("s1") * a + held("s2") * b + c)))).alias("score"))
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:

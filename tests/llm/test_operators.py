@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter
+from itertools import combinations
 from math import log
 
 import numpy as np
@@ -207,6 +208,86 @@ def test_toxicity_learns_gapped_insults(spark):
     assert [r["score"] for r in none.collect()] == [0.0] * 3
 
 
+def brute_sentences(t):
+    """Letters of each sentence of an ASCII text, edges between words."""
+    out = []
+    for line in t.split("\n"):
+        held = []
+        for w in line.split():
+            held.append([ord(c) - 96 for c in w.lower() if c.isalpha()])
+            if w[-1] in ".!?" and not (len(w) == 2 and w[0].isalpha()):
+                out.append(held)
+                held = []
+        out.append(held)
+    full = [[w for w in s if w] for s in out]
+    return [[31, *(c for w in s for c in (*w, 31))] for s in full if s]
+
+
+def brute_kernel(window):
+    """Weights of all gapped subsequences of a window, by their letters."""
+    out = Counter()
+    for start in range(toxicity.STARTS):
+        for rest in combinations(range(start + 1, start + toxicity.SPAN), toxicity.ORDER - 1):
+            at = (start, *rest)
+            if at[-1] < len(window) and all(window[p] for p in at):
+                out[tuple(window[p] for p in at)] += toxicity.DECAY ** (at[-1] - start + 1 - toxicity.ORDER)
+    return out
+
+
+def test_toxicity_values_are_brute_force(spark):
+    rng, np_rng = random.Random(4), np.random.default_rng(4)
+    weights = np_rng.standard_normal([toxicity.CODES] * toxicity.ORDER).astype(np.float32)
+    for axis in range(toxicity.ORDER):
+        weights[(slice(None),) * axis + (0,)] = 0  # no subsequence holds what stands between sentences
+    weights = weights.ravel()
+    number = lambda letters: sum(c * toxicity.CODES ** (toxicity.ORDER - 1 - i) for i, c in enumerate(letters))
+    marks = ["", "", ".", "! ", "\n", " . ", "? x. ", "-", "'s", "\n\n", "...", " 7 "]
+    rows = ["".join(rng.choice(WORDS) + rng.choice(marks) + " " for _ in range(rng.randrange(1, 40))) for _ in range(30)] + ["", " .", "7", "a", "I. d. i. o. t", "x" * 30, "\n"]
+    tops, windows = toxicity.worst([r.encode() for r in rows], weights, windows=True)
+    for r, got, found in zip(rows, tops, windows, strict=True):
+        best = []
+        for s in brute_sentences(r):
+            padded = s + [0] * toxicity.WINDOW
+            best.append(max(sum(float(weights[number(k)]) * v for k, v in brute_kernel(padded[p : p + toxicity.WINDOW]).items()) for p in range(len(s))))
+        best = sorted(best, reverse=True)[:2]
+        assert np.allclose(got[: len(best)], best, atol=1e-3) and np.isnan(got[len(best) :]).all() and len(found) == len(best)
+    held = sorted({w for ws in windows for w in ws})
+    x = toxicity.features(held)
+    vocabulary = np.unique(x[x >= 0])
+    phi = np.zeros((len(vocabulary), len(held)), np.float32)
+    brute = [{number(k): v for k, v in brute_kernel(list(w)).items()} for w in held]
+    for k, b in enumerate(brute):
+        phi[np.searchsorted(vocabulary, list(b)), k] = list(b.values())
+    want = [[sum(v * b.get(n, 0) for n, v in a.items()) for b in brute] for a in brute]
+    assert np.allclose(toxicity.kernel(x, vocabulary, phi), want, rtol=1e-3)
+    # The folded table gives what the machine gives on the Nystroem map.
+    folded, bias = toxicity.machine(held[:20], held[20:])
+    y = np.array([sum(v * folded[n] for n, v in b.items()) for b in brute]) + bias
+    assert (y[:20] > 0).mean() > 0.9 and (y[20:] < 0).mean() > 0.9
+
+
+def test_toxicity_takes_odd_tables(spark):
+    """Empty tables, one row repeated, and very long and unbroken texts; a long text's score does not hang on where it is cut."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, toxic int")
+    assert toxicity.toxicity(docs_of(spark, []), labels).count() == 0
+    rng = random.Random(5)
+    rows = [(i, text(rng, 30) + (" quazzlemork" if i % 2 else "")) for i in range(100)] * 2
+    rows += [(500, "b" * 3_000_000), (501, text(rng, 300_000) + " quazzlemork")]
+    got = toxicity.toxicity(docs_of(spark, rows), labels).collect()
+    assert len(got) == len(rows) and all(r["predicted"] == r["doc_id"] % 2 for r in got)
+    long_ = [rows[-1][1].encode()]
+    weights = np.zeros(toxicity.CODES**toxicity.ORDER, np.float32)
+    weights[np.random.default_rng(1).integers(1 << 15, 1 << 20, 50_000)] = 1
+    whole = toxicity.worst(long_, weights)[0]
+    old, toxicity.PART = toxicity.PART, 100_000
+    try:
+        parts, owner = toxicity.parts_of(long_)
+        assert len(parts) > 20 and b"".join(parts) == long_[0] and not owner.any()
+        assert abs(toxicity.worst(long_, weights)[0] - whole)[0, 0] < 1e-3
+    finally:
+        toxicity.PART = old
+
+
 # --- 3
 
 
@@ -262,6 +343,24 @@ def test_line_dedup_is_brute_force(spark):
     assert linededup.drop_lines(docs_of(spark, [])).count() == 0
 
 
+def test_line_dedup_takes_any_columns_and_ids(spark):
+    """Clashing names, null and repeated ids, and keys that are taken by broadcast or by shuffle."""
+    line = "a line of over twenty letters"
+    rows = [(None, line + "\nx", 1, "a", "b", 9), (1, line, 2, "c", "d", 9), (1, "y\n" + line, 3, "e", "f", 9), (2, line + "\n" + line, 4, "g", "h", 9), (None, None, 5, "i", "j", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _lost int, _kept string, keeper string, n_lines int")
+    for hot in (1, 10_000):
+        linededup.HOT_KEYS, old = hot, linededup.HOT_KEYS
+        try:
+            two = linededup.drop_lines(docs)
+            assert two.columns == [*docs.columns, "n_dropped"]
+            assert [tuple(r) for r in two.orderBy("_lost").collect()] == [(*r[:5], len((r[1] or "").split("\n")), 0) if r[1] else (None, "", 5, "i", "j", 1, 0) for r in rows]
+            third = docs.unionByName(docs.where("doc_id = 2").withColumn("doc_id", F.lit(3).cast("long")).withColumn("_lost", F.lit(6)))
+            got = {r["_lost"]: (r["text"], r["n_lines"], r["n_dropped"]) for r in linededup.drop_lines(third).collect()}
+            assert got == {1: (line + "\nx", 2, 0), 2: ("", 1, 1), 3: ("y", 2, 1), 4: ("", 2, 2), 5: ("", 1, 0), 6: (line + "\n" + line, 2, 0)}
+        finally:
+            linededup.HOT_KEYS = old
+
+
 # --- 5
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 #: Keys that captions carry and labels must not.
 DROPPED_KEYS = ("bbox", "color_palette")
+# What a label must have at its top.
+REQUIRED = ("high_level_description", "style_description", "compositional_deconstruction")
 
 
 def is_object(text: Column) -> Column:
@@ -109,3 +111,22 @@ def _ordered(value, order: list[str]):
     if not isinstance(value, dict):
         return value
     return {**{k: value[k] for k in order if k in value}, **{k: v for k, v in value.items() if k not in order}}
+
+
+def _marked(text: Column) -> Column:
+    """JSON, minified, with each key between two control characters, which no JSON text holds, and each text value blank."""
+    bare = F.regexp_replace(F.to_json(F.try_parse_json(text)), r"\\.", "")  # no escapes, so that a quote is where a text begins or ends
+    return F.regexp_replace(F.regexp_replace(bare, '"([^"]*+)":', "\u0001$1\u0002"), '"[^"]*+"', '""')
+
+
+def label_error(target: Column, allow_boxes: bool = False) -> Column:
+    """Why a training target (JSON text) is no label, or null: no JSON, no object, a part is missing, nulls, ids, or boxes and palettes unless allowed. JVM-side, at any depth; what follows a complete document is not looked at:
+    nulls and keys are found in the text."""
+    text = F.trim(target)
+    deep = F.get_json_object(text, "$.compositional_deconstruction")
+    top = F.json_object_keys(text)
+    lacks = lambda names, keys: F.array_except(F.array(*map(F.lit, names)), F.coalesce(keys, F.array().cast("array<string>")))
+    key = lambda names: _marked(text).rlike("\u0001(" + "|".join(names) + ")\u0002")
+    out = F.when(F.try_parse_json(text).isNull(), "not JSON").when(top.isNull(), "not an object").when(F.size(lacks(REQUIRED, top)) > 0, F.concat(F.lit("lacks "), F.array_join(lacks(REQUIRED, top), ", ")))
+    out = out.when(F.size(lacks(("background", "elements"), F.json_object_keys(deep))) > 0, "lacks background or elements").when(_marked(text).rlike("[\u0002\\[,]null[,}\\]]"), "has nulls").when(key(("id",)), "has ids")
+    return out if allow_boxes else out.when(key(DROPPED_KEYS), "has boxes or palettes")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,3 +17,13 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     held = F.explode(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))).alias("_once")
     kept = [c for c in df.columns if c not in columns]
     return df.select(*kept, held).select(*kept, *(F.col(f"_once.{n}").alias(n) for n in columns))
+
+
+def small(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """df, to be broadcast if it has so few rows; a larger one is joined by shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often use names it: for lambdas, in which common parts are not found by the optimiser."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

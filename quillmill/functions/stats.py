@@ -25,18 +25,15 @@ def _at(rank: Column) -> Column:
 
 def percentiles(df: DataFrame, value: Column, keys: list[str] | None = None) -> DataFrame:
     """min, p25, p50, p75, p90, p99, max and mean (2 decimals) per group. A percentile q of n values is the one of rank
-    floor(q (n - 1)), counted from 0; a group without values gives no row."""
+    floor(q (n - 1)), counted from 0; a group without values gives no row, and without keys there is one row, of nulls if there are no values."""
     ranked = _ranked(df, keys or [], value)
     total = F.sum(F.col("v") * F.col("n")) / F.max("total")
-    if not keys:
-        ranked = ranked.withColumn("all", F.lit(1))
-    out = ranked.groupBy(*(keys or ["all"])).agg(
+    return ranked.groupBy(*(keys or [])).agg(
         F.min("v").alias("min"),
         *(_at(F.floor(F.lit(q) * (F.col("total") - 1))).alias(name) for name, q in QUANTILES.items()),
         F.max("v").alias("max"),
         F.round(total, 2).alias("mean"),
     )
-    return out if keys else out.drop("all")
 
 
 def length_summary(df: DataFrame, value: Column, keys: list[str]) -> DataFrame:

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.plan import bound, small
+
 IGNORED = -100
 PAD_TO = 8
 
@@ -36,10 +38,10 @@ def repair_message(errors: Column, ask: str = "Correct these errors and answer w
 
 
 def with_system(rows: DataFrame, prompts: DataFrame, level: str = "mode") -> DataFrame:
-    """rows with system, by level, from (level, system). Levels are few (a handful of rows are broadcast); an unknown one fails the job."""
-    known = prompts.select(F.col("level").alias(level), "system").limit(64)
+    """rows with system, by level, from (level, system); an unknown level fails the job."""
+    known = prompts.select(F.col("level").alias(level), "system")
     unknown = F.raise_error(F.concat(F.lit("no system prompt for level "), F.coalesce(F.col(level), F.lit("null"))))
-    return rows.join(F.broadcast(known), level, "left").withColumn("system", F.coalesce("system", unknown.cast("string")))
+    return rows.join(small(known), level, "left").withColumn("system", F.coalesce("system", unknown.cast("string")))
 
 
 def drifted(prompts: DataFrame, defaults: DataFrame) -> DataFrame:
@@ -91,6 +93,57 @@ def pad_batches(rows: DataFrame, batch: str, ids: str = "input_ids", labels: str
     return out.withColumns({"attention_mask": F.concat(F.transform(ids, lambda _: F.lit(1)), F.array_repeat(F.lit(0), F.col("_n"))), ids: F.concat(ids, F.array_repeat(F.lit(pad), F.col("_n"))), labels: F.concat(labels, F.array_repeat(F.lit(IGNORED), F.col("_n")))}).drop("_n")
 
 
+def as_ids(tokens) -> list[int]:
+    """A tokenizer's answer as a list: a list, an array, an object or dict with input_ids, or one row of a batch of one."""
+    tokens = tokens["input_ids"] if isinstance(tokens, dict) else getattr(tokens, "input_ids", getattr(tokens, "ids", tokens))
+    tokens = tokens.tolist() if hasattr(tokens, "tolist") else list(tokens)
+    return [int(t) for t in (tokens[0] if len(tokens) == 1 and isinstance(tokens[0], (list, tuple)) else tokens)]
+
+
+def template(chat: Column, open_: bool, reasoned: Column) -> Column:
+    """Messages as one text, a role mark before each; open_ ends it where the answer begins. The reasoning of a direct answer is an empty block, in both, so that the one begins the other."""
+    said = F.array_join(F.transform(chat, lambda m: F.concat(F.lit("<|"), m["role"], F.lit("|>\n"), m["content"], F.lit("\n"))), "")
+    ahead = F.concat(F.lit("<|assistant|>\n<think>\n"), F.when(reasoned, "").otherwise("\n</think>\n\n"))
+    return F.concat(said, ahead) if open_ else said
+
+
+def row_errors(prompt: Column, reasoning: Column | None = None, reasoned: bool = False) -> Column:
+    """Why a row can't be encoded, or null: a blank prompt, or no reasoning where it is to be learned."""
+    blank = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
+    out = F.when(blank(prompt), "empty prompt")
+    return out.when(blank(F.lit(None).cast("string") if reasoning is None else reasoning), "no reasoning") if reasoned else out
+
+
+def encode_rows(rows: DataFrame, ids: Callable[[Column], Column], target_error: Column | None = None, prompt: str = "user_prompt", target: str = "target", system: str = "system", reasoning: str | None = None, most: int = 4096) -> DataFrame:
+    """rows with input_ids, attention_mask, labels, n_tokens, error and keep: the prefix (all up to the answer) is not learned, the answer is.
+
+    ids turns a text column into token ids. Rows with a blank prompt, without reasoning where it is asked for, or with an error of their target get no ids; keep says
+    that a row has no error and is not too long.
+    """
+    user, cot = F.trim(F.col(prompt)), F.trim(F.col(reasoning)) if reasoning else None
+    error = F.coalesce(row_errors(user, cot, reasoning is not None), target_error if target_error is not None else F.lit(None).cast("string"))
+    block = F.concat(F.lit("<think>\n"), cot if reasoning else F.lit(""), F.lit("\n</think>\n\n"))
+    answer = F.concat(block, F.col(target))
+    prefix = template(messages(F.col(system), user), True, F.lit(reasoning is not None))
+    full = template(messages(F.col(system), user, answer), False, F.lit(reasoning is not None))
+    out = rows.withColumn("error", error).withColumn("_x", F.when(F.col("error").isNull(), bound(F.struct(ids(prefix).alias("prefix"), ids(full).alias("full")), lambda x: masked(x["prefix"], x["full"]))))
+    out = out.withColumns({c: F.col("_x")[c] for c in ("input_ids", "attention_mask", "labels")}).drop("_x")
+    return out.withColumn("n_tokens", F.size("input_ids")).withColumn("keep", F.col("error").isNull() & (F.col("n_tokens") <= most))
+
+
+def kept_rows(encoded: DataFrame) -> DataFrame:
+    """Those to keep; none at all fails the call."""
+    out = encoded.where("keep")
+    if out.isEmpty():
+        raise ValueError("no valid row remains after validation and length")
+    return out
+
+
+def longest(encoded: DataFrame, length: str = "n_tokens") -> DataFrame:
+    """One row: rows and the longest sequence."""
+    return encoded.agg(F.count("*").alias("n"), F.max(length).alias("longest"))
+
+
 def prepared_counts(rows: DataFrame, error: str = "error", length: str = "n_tokens", most: int = 4096) -> DataFrame:
     """One row: valid, invalid, too long."""
     bad = F.col(error).isNotNull()

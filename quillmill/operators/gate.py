@@ -111,6 +111,15 @@ def corrected(rejected: DataFrame, prompt: str = "user_prompt", answer: str = "c
     return rejected.withColumns({"original_prompt": F.col(prompt), prompt: new, "n_words": word_count(new), "corrected": F.lit(True)}).drop(answer)
 
 
+def after_correction(rejected: DataFrame, attempts: DataFrame, keys: list[str], prompt: str = "user_prompt") -> tuple[DataFrame, DataFrame]:
+    """Rejected rows that were corrected and judged again, as (recovered, rejected_final). attempts: keys, corrected_prompt and decision. A recovered row has the new prompt in place of
+    its own; another keeps its own, with attempted_prompt and reject_after_retry. Rows without an attempt, or with a blank one, are in neither."""
+    tried = rejected.join(attempts.where(F.trim("corrected_prompt") != ""), keys)
+    good = corrected(tried.where("decision.passed"), prompt).drop("decision")
+    bad = tried.where(~F.coalesce(F.col("decision.passed"), F.lit(False)))
+    return good, bad.withColumns({"attempted_prompt": squeeze(F.col("corrected_prompt")), "reject_after_retry": F.col("decision")}).drop("corrected_prompt", "decision")
+
+
 def correction_report(attempts: DataFrame, passed: str = "passed") -> DataFrame:
     ok = F.count_if(F.coalesce(F.col(passed), F.lit(False)))
     return attempts.agg(F.count("*").alias("n_attempted"), ok.alias("n_recovered"), (F.count("*") - ok).alias("n_rejected_final"), F.coalesce(F.round(ok / F.nullif(F.count("*"), F.lit(0)), 4), F.lit(0.0)).alias("recovery_rate"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import extracted_object
@@ -15,10 +17,42 @@ def chosen(rows: DataFrame, modes: list[str] | None = None, limit: int | None =
     return out.orderBy(order).limit(limit) if limit else out
 
 
-def record(raw: Column) -> list[Column]:
-    """What an answer holds: pred_json, or why not in parse_error."""
-    found = extracted_object(raw)
-    return [found["json"].alias("pred_json"), found["error"].alias("parse_error")]
+def record(answers: DataFrame, variant: str, max_new_tokens: int) -> DataFrame:
+    """answers (id, mode, user_prompt, raw_output, n_input_tokens, n_output_tokens, gen_seconds, and target_json and sub_json where they are) as predictions: with the variant, the object in
+    the answer or why there is none, and whether the answer used up its tokens."""
+    found = extracted_object(F.col("raw_output"))
+    carried = [c for c in ("target_json", "sub_json") if c in answers.columns]
+    return answers.withColumn("_found", found).select(
+        "id",
+        "mode",
+        F.lit(variant).alias("variant"),
+        "user_prompt",
+        "raw_output",
+        F.col("_found")["json"].alias("pred_json"),
+        F.col("_found")["error"].alias("parse_error"),
+        "n_input_tokens",
+        "n_output_tokens",
+        (F.col("n_output_tokens") >= max_new_tokens).alias("hit_max_new_tokens"),
+        F.round("gen_seconds", 2).alias("gen_seconds"),
+        *carried,
+    )
+
+
+def variants(adapter: bool, baseline: bool) -> list[str]:
+    """Which variants are run, in order: with the adapter, then without. None at all is an error."""
+    out = [name for name, wanted in (("adapter", adapter), ("baseline", baseline)) if wanted]
+    if not out:
+        raise ValueError("ask for at least one variant")
+    return out
+
+
+def each_variant(rows: DataFrame, names: list[str], run: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Predictions of all variants: run answers rows as one variant, whose name is a literal of its rows."""
+    out = None
+    for name in names:
+        one = run(rows, name).withColumn("variant", F.lit(name))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
 
 
 def merge(tests: DataFrame, predictions: DataFrame, order: str = "ord") -> DataFrame:

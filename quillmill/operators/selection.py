@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.plan import once
+from ..functions.plan import bound, once
 from ..functions.text import is_plural, original_name, word_count
 from .facts import STYLE_FIELDS
 
@@ -31,16 +31,13 @@ def _or_empty(x: Column, kind: str = "string") -> Column:
 
 
 def _only(wanted: Column, allowed: Column) -> Column:
-    """Those that are allowed, each once, in the order of the wish."""
-    return F.array_distinct(F.filter(_or_empty(wanted), lambda f: F.array_contains(allowed, f)))
+    """Those that are allowed, each once, in the order of the wish. By hash, so that its cost follows the lengths."""
+    return F.array_intersect(_or_empty(wanted), _or_empty(allowed))
 
 
 def _not(wanted: Column, allowed: Column) -> Column:
-    return F.filter(_or_empty(wanted), lambda f: ~F.coalesce(F.array_contains(allowed, f), F.lit(False)))
-
-
-def source_group(sel_input: Column, name: Column) -> Column:
-    return F.get(F.filter(sel_input["groups"], lambda g: g["name"] == name), F.lit(0))
+    """Those that are not allowed, each once."""
+    return F.array_except(_or_empty(wanted), _or_empty(allowed))
 
 
 def allowed_facts(group: Column) -> Column:
@@ -48,43 +45,60 @@ def allowed_facts(group: Column) -> Column:
     return F.concat(_or_empty(F.flatten(group["elements"])), count)
 
 
-def _style(sel_input: Column, field: Column) -> Column:
-    return F.get(F.filter(sel_input["style"], lambda s: s["field"] == field), F.lit(0))["facts"]
+def sources(sel_input: Column) -> Column:
+    """For each group of an input what choices are held against: its description, the facts that may be chosen, and its elements' nouns (their first facts)."""
+    nouns = lambda g: F.transform(F.filter(g["elements"], lambda e: F.size(e) > 0), lambda e: e[0])
+    return F.transform(
+        sel_input["groups"],
+        lambda g: F.struct(g["name"].alias("name"), g["cultural"].alias("cultural"), g["cardinality"].alias("cardinality"), g["so_luong"].alias("so_luong"), (F.size(g["elements"]) > 0).alias("some"), allowed_facts(g).alias("allowed"), nouns(g).alias("nouns")),
+    )
+
+
+def named(groups: Column, name: Column) -> Column:
+    """The first group of that name; null if there is none."""
+    return F.get(F.filter(groups, lambda g: g["name"] == name), F.lit(0))
+
 
+def _facts_of(styles: Column, field: Column) -> Column:
+    return F.get(F.filter(styles, lambda s: s["field"] == field), F.lit(0))["facts"]
 
-def read_level(level: str, choice: Column, sel_input: Column) -> Column:
-    """struct<groups, background, style, medium, errors>: what of a choice is valid, and what is not; null for a missing level."""
+
+def looked_up(choice: Column, of: Column) -> Column:
+    """A choice's groups with their sources (null for an unknown name), the facts of them that are allowed and those that are not, and whether their name came before."""
     raw = _or_empty(choice["groups"], schemas.CHOSEN_GROUP)
+    names = F.transform(raw, lambda g: g["name"])
+    again = lambda g, i: F.coalesce(F.array_position(names, g["name"]) <= i, F.lit(False))
+    one = lambda g, i: lambda s: F.struct(g["name"].alias("name"), s.alias("source"), _only(g["facts"], s["allowed"]).alias("facts"), _not(g["facts"], s["allowed"]).alias("bad"), again(g, i).alias("again"))
+    return F.transform(raw, lambda g, i: bound(named(of, g["name"]), one(g, i)))
+
+
+def read_level(level: str, choice: Column, looked: Column, sel_input: Column) -> Column:
+    """struct<groups, background, style, medium, usable, errors>: what of a choice is valid, and what is not. looked: looked_up() of the choice."""
     say = lambda *parts: F.concat(F.lit(f"{level}: "), *parts)
-    known = lambda g: F.coalesce(F.array_contains(F.transform(sel_input["groups"], lambda s: s["name"]), g["name"]), F.lit(False))
-    again = lambda g, i: F.exists(F.slice(raw, F.lit(1), i), lambda h: h["name"] == g["name"])
-
-    def group_errors(g: Column, i: Column) -> Column:
-        source = source_group(sel_input, g["name"])
-        allowed = allowed_facts(source)
-        bad = _not(g["facts"], allowed)
-        silent = (F.size(source["elements"]) > 0) & ~source["cultural"] & (F.size(_only(g["facts"], allowed)) == 0)
+
+    def group_errors(g: Column) -> Column:
+        silent = g["source"]["some"] & ~g["source"]["cultural"] & (F.size(g["facts"]) == 0)
         return (
-            F.when(~known(g), F.array(say(F.lit("unknown group "), F.coalesce(g["name"], F.lit("null")))))
-            .when(again(g, i), F.array(say(F.lit("group chosen twice "), g["name"])))
-            .otherwise(F.array_compact(F.array(F.when(F.size(bad) > 0, say(F.lit("group "), g["name"], F.lit(" has strange facts "), F.array_join(bad, "; "))), F.when(silent, say(F.lit("group without facts "), g["name"])))))
+            F.when(g["source"].isNull(), F.array(say(F.lit("unknown group "), F.coalesce(g["name"], F.lit("null")))))
+            .when(g["again"], F.array(say(F.lit("group chosen twice "), g["name"])))
+            .otherwise(F.array_compact(F.array(F.when(F.size(g["bad"]) > 0, say(F.lit("group "), g["name"], F.lit(" has strange facts "), F.array_join(g["bad"], "; "))), F.when(silent, say(F.lit("group without facts "), g["name"])))))
         )
 
-    marked = F.transform(raw, lambda g, i: F.struct(g.alias("g"), (known(g) & ~again(g, i)).alias("ok")))
-    groups = F.transform(F.filter(marked, lambda m: m["ok"]), lambda m: F.struct(m["g"]["name"].alias("name"), _only(m["g"]["facts"], allowed_facts(source_group(sel_input, m["g"]["name"]))).alias("facts")))
+    fine = F.filter(looked, lambda g: g["source"].isNotNull() & ~g["again"])
+    groups = F.transform(fine, lambda g: F.struct(g["name"].alias("name"), g["facts"].alias("facts")))
     bad_ground = _not(choice["background"], sel_input["background"])
-    wishes = _or_empty(choice["style"], schemas.CHOSEN_STYLE)
-    style_errors = lambda s: F.when(_style(sel_input, s["field"]).isNull(), F.array(say(F.lit("unknown style field "), s["field"]))).otherwise(F.array_compact(F.array(F.when(F.size(_not(s["facts"], _style(sel_input, s["field"]))) > 0, say(F.lit("style "), s["field"], F.lit(" has strange facts "), F.array_join(_not(s["facts"], _style(sel_input, s["field"])), "; "))))))
-    style = F.filter(F.transform(wishes, lambda s: F.struct(s["field"].alias("field"), _only(s["facts"], _or_empty(_style(sel_input, s["field"]))).alias("facts"))), lambda s: F.size(s["facts"]) > 0)
+    wishes = F.transform(_or_empty(choice["style"], schemas.CHOSEN_STYLE), lambda s: bound(_facts_of(sel_input["style"], s["field"]), lambda there: F.struct(s["field"].alias("field"), there.isNotNull().alias("known"), _only(s["facts"], there).alias("facts"), _not(s["facts"], there).alias("bad"))))
+    style_error = lambda s: F.when(~s["known"], say(F.lit("unknown style field "), s["field"])).when(F.size(s["bad"]) > 0, say(F.lit("style "), s["field"], F.lit(" has strange facts "), F.array_join(s["bad"], "; ")))
     no_groups = choice["groups"].isNull() | ((F.size(choice["groups"]) == 0) & (F.size(sel_input["chu_de_chinh"]) == 0))
     errors = F.when(choice.isNull(), F.array(F.lit(f"{level}: missing"))).when(no_groups, F.array(say(F.lit("no groups")))).otherwise(
         F.concat(
-            F.flatten(F.transform(raw, group_errors)),
+            F.flatten(F.transform(looked, group_errors)),
             F.when(F.size(bad_ground) > 0, F.array(say(F.lit("background has strange facts "), F.array_join(bad_ground, "; ")))).otherwise(_empty()),
-            F.flatten(F.transform(wishes, style_errors)),
+            F.array_compact(F.transform(wishes, style_error)),
         )
     )
     usable = ~F.coalesce(choice.isNull() | no_groups, F.lit(True))
+    style = F.transform(F.filter(wishes, lambda s: F.size(s["facts"]) > 0), lambda s: F.struct(s["field"].alias("field"), s["facts"].alias("facts")))
     return F.struct(
         F.when(usable, groups).otherwise(_empty(schemas.CHOSEN_GROUP)).alias("groups"),
         F.when(usable, _only(choice["background"], sel_input["background"])).otherwise(_empty()).alias("background"),
@@ -95,48 +109,47 @@ def read_level(level: str, choice: Column, sel_input: Column) -> Column:
     )
 
 
-def view(level: Column, sel_input: Column) -> Column:
-    """A level's content: facts a cultural or silent group's name leads, groups that are many without a number said, style in fixed
-    order, and the checklist: theme, groups, background, style, medium, each text once, where it first stands."""
+def seen_groups(level: Column, of: Column) -> Column:
+    """A level's groups as they are shown: a cultural or silent group's name leads its facts, and groups that are many without a number say so."""
 
     def group(g: Column) -> Column:
-        source, name = source_group(sel_input, g["name"]), original_name(g["name"])
-        lead = (source["cultural"] | (F.size(g["facts"]) == 0)) & ~F.array_contains(g["facts"], name)
-        facts = F.when(lead, F.concat(F.array(name), g["facts"])).otherwise(g["facts"])
-        counted = F.coalesce(F.array_contains(facts, source["so_luong"]), F.lit(False))
-        return F.struct(name.alias("name"), source["cultural"].alias("cultural"), source["cardinality"].alias("cardinality"), (is_plural(source["cardinality"]) & ~counted).alias("so_nhieu"), facts.alias("facts"))
-
-    groups = F.transform(level["groups"], group)
-    of = lambda k: F.get(F.filter(level["style"], lambda s: s["field"] == k), F.lit(0))["facts"]
-    style = F.filter(F.array(*(F.struct(F.lit(k).alias("field"), _or_empty(of(k)).alias("facts")) for k in STYLE_FIELDS)), lambda s: F.size(s["facts"]) > 0)
+        def shown(x: Column) -> Column:
+            source, name = x["source"], x["name"]
+            lead = (source["cultural"] | (F.size(g["facts"]) == 0)) & ~F.array_contains(g["facts"], name)
+            facts = F.when(lead, F.concat(F.array(name), g["facts"])).otherwise(g["facts"])
+            counted = F.coalesce(F.array_contains(g["facts"], source["so_luong"]) | (lead & (name == source["so_luong"])), F.lit(False))
+            return F.struct(name.alias("name"), source["cultural"].alias("cultural"), source["cardinality"].alias("cardinality"), (is_plural(source["cardinality"]) & ~counted).alias("so_nhieu"), facts.alias("facts"))
+
+        return bound(F.struct(named(of, g["name"]).alias("source"), original_name(g["name"]).alias("name")), shown)
+
+    return F.transform(level["groups"], group)
+
+
+def view(level: Column, groups: Column, sel_input: Column) -> Column:
+    """A level's content: groups (its seen_groups()), style in fixed order, and the checklist: theme, groups, background, style,
+    medium, each text once, where it first stands."""
+    style = F.filter(F.array(*(F.struct(F.lit(k).alias("field"), _or_empty(_facts_of(level["style"], F.lit(k))).alias("facts")) for k in STYLE_FIELDS)), lambda s: F.size(s["facts"]) > 0)
     medium = F.when(level["medium"] & (sel_input["medium"] != ""), sel_input["medium"])
-    everything = F.concat(sel_input["chu_de_chinh"], F.flatten(F.transform(groups, lambda g: g["facts"])), level["background"], F.flatten(F.transform(style, lambda s: s["facts"])), F.when(medium.isNotNull(), F.array(medium)).otherwise(_empty()))
-    return F.struct(sel_input["chu_de_chinh"].alias("chu_de_chinh"), groups.alias("groups"), level["background"].alias("background"), style.alias("style"), medium.alias("medium"), F.array_distinct(everything).alias("checklist"))
+    theme = sel_input["chu_de_chinh"]
+    everything = F.concat(theme, F.flatten(F.transform(groups, lambda g: g["facts"])), level["background"], F.flatten(F.transform(style, lambda s: s["facts"])), F.when(medium.isNotNull(), F.array(medium)).otherwise(_empty()))
+    return F.struct(theme.alias("chu_de_chinh"), groups.alias("groups"), level["background"].alias("background"), style.alias("style"), medium.alias("medium"), F.array_distinct(everything).alias("checklist"))
 
 
 def total_words(items: Column) -> Column:
     return F.aggregate(items, F.lit(0), lambda n, x: n + word_count(x))
 
 
-def chosen_words(seen: Column) -> Column:
-    """Words of a view's checklist that were a choice: the theme's are not."""
-    return total_words(seen["checklist"]) - total_words(seen["chu_de_chinh"])
-
-
-def short_ideas(level: Column, sel_input: Column) -> Column:
+def short_ideas(level: Column, of: Column) -> Column:
     """Ideas beyond the subjects' own nouns: more groups, background, a medium, and facts that are not an element's first."""
-    nouns = lambda g: F.transform(F.filter(source_group(sel_input, g["name"])["elements"], lambda e: F.size(e) > 0), lambda e: e[0])
-    more = F.aggregate(level["groups"], F.lit(0), lambda n, g: n + F.size(_not(g["facts"], nouns(g))))
+    more = F.aggregate(level["groups"], F.lit(0), lambda n, g: n + F.size(_not(g["facts"], named(of, g["name"])["nouns"])))
     return F.greatest(F.size(level["groups"]) - 1, F.lit(0)) + F.size(level["background"]) + level["medium"].cast("int") + more
 
 
-def limits(level: str, read: Column, sel_input: Column) -> Column:
+def limits(level: str, read: Column, words: Column, ideas: Column) -> Column:
     """Errors of length, and what a short level may not have."""
     cap = ACCEPTED_WORDS[level]
-    seen = chosen_words(view(read, sel_input))
-    found = [F.when(seen > cap, F.concat(F.lit(f"{level}: "), seen.cast("string"), F.lit(f" words, over {ASKED_WORDS[level]}")))] if cap else []
+    found = [F.when(words > cap, F.concat(F.lit(f"{level}: "), words.cast("string"), F.lit(f" words, over {ASKED_WORDS[level]}")))] if cap else []
     if level == "short":
-        ideas = short_ideas(read, sel_input)
         found += [
             F.when(F.size(read["style"]) > 0, "short: has style"),
             F.when(F.size(read["background"]) > 1, "short: more than one background fact"),
@@ -148,10 +161,9 @@ def limits(level: str, read: Column, sel_input: Column) -> Column:
 def nesting(low: str, high: str, a: Column, b: Column) -> Column:
     """What level a has that the more detailed level b lacks."""
     say = lambda *parts: F.concat(F.lit(f"{low} in {high}: "), *parts)
-    of = lambda list_, key, value: F.get(F.filter(list_, lambda x: x[key] == value), F.lit(0))["facts"]
-    lost = lambda facts, there: _not(facts, _or_empty(there))
-    group = lambda g: F.when(of(b["groups"], "name", g["name"]).isNull(), say(F.lit("no group "), g["name"])).when(F.size(lost(g["facts"], of(b["groups"], "name", g["name"]))) > 0, say(F.lit("group "), g["name"], F.lit(" lacks "), F.array_join(lost(g["facts"], of(b["groups"], "name", g["name"])), "; ")))
-    style = lambda s: F.when(F.size(lost(s["facts"], of(b["style"], "field", s["field"]))) > 0, say(F.lit("style "), s["field"], F.lit(" lacks "), F.array_join(lost(s["facts"], of(b["style"], "field", s["field"])), "; ")))
+    lacks = lambda what, name: lambda lost: F.when(F.size(lost) > 0, say(F.lit(f"{what} "), name, F.lit(" lacks "), F.array_join(lost, "; ")))
+    group = lambda g: bound(named(b["groups"], g["name"])["facts"], lambda there: F.when(there.isNull(), say(F.lit("no group "), g["name"])).otherwise(bound(_not(g["facts"], there), lacks("group", g["name"]))))
+    style = lambda s: bound(_not(s["facts"], _facts_of(b["style"], s["field"])), lacks("style", s["field"]))
     ground = _not(a["background"], b["background"])
     return F.array_compact(
         F.concat(
@@ -164,36 +176,45 @@ def nesting(low: str, high: str, a: Column, b: Column) -> Column:
 
 
 def evaluate(df: DataFrame, selection: str, sel_input: str) -> DataFrame:
-    """df with read_<level> for each level, and errors, levels (those kept, from little to much) and dropped (level and reasons).
+    """df with, for each level, read_<level> (what is valid of it), seen_<level> (its view) and words_<level> (of its checklist, without the theme's), with ideas_short,
+    errors, levels (those kept, from little to much) and dropped (level and reasons).
 
     From the most detailed level down, a level without errors is kept if it is contained in the last one kept.
     """
     s, i = F.col(selection), F.col(sel_input)
-    out = once(df, **{f"read_{k}": read_level(k, s[k], i) for k in LEVELS})
+    out = once(df, _of=sources(i))
+    of = F.col("_of")
+    out = once(out, **{f"_look_{k}": looked_up(s[k], of) for k in LEVELS})
+    out = once(out, **{f"read_{k}": read_level(k, s[k], F.col(f"_look_{k}"), i) for k in LEVELS})
     read = {k: F.col(f"read_{k}") for k in LEVELS}
-    out = once(out, **{f"own_{k}": F.concat(read[k]["errors"], limits(k, read[k], i)) for k in LEVELS}, **{f"nest_{a}_{b}": nesting(a, b, read[a], read[b]) for a, b in (("short", "medium"), ("medium", "long"), ("short", "long"))})
-    fine = {k: F.size(f"own_{k}") == 0 for k in LEVELS}
-    inside = lambda a, b: F.size(f"nest_{a}_{b}") == 0
+    out = once(out, ideas_short=short_ideas(read["short"], of), **{f"_groups_{k}": seen_groups(read[k], of) for k in LEVELS})
+    out = once(out, **{f"seen_{k}": view(read[k], F.col(f"_groups_{k}"), i) for k in LEVELS})
+    out = once(out, _theme=total_words(i["chu_de_chinh"]), **{f"_all_{k}": total_words(F.col(f"seen_{k}")["checklist"]) for k in LEVELS})
+    out = out.withColumns({f"words_{k}": F.col(f"_all_{k}") - F.col("_theme") for k in LEVELS})
+    own = {f"_own_{k}": F.concat(read[k]["errors"], limits(k, read[k], F.col(f"words_{k}"), F.col("ideas_short"))) for k in LEVELS}
+    out = once(out, **own, **{f"_nest_{a}_{b}": nesting(a, b, read[a], read[b]) for a, b in (("short", "medium"), ("medium", "long"), ("short", "long"))})
+    fine = {k: F.size(f"_own_{k}") == 0 for k in LEVELS}
+    inside = lambda a, b: F.size(f"_nest_{a}_{b}") == 0
     keep_medium = fine["medium"] & (~fine["long"] | inside("medium", "long"))
     keep_short = fine["short"] & F.when(keep_medium, inside("short", "medium")).when(fine["long"], inside("short", "long")).otherwise(True)
-    out = out.withColumns({"keep_long": fine["long"], "keep_medium": keep_medium, "keep_short": keep_short})
-    why_short = F.when(~fine["short"], F.col("own_short")).when(F.col("keep_medium"), F.col("nest_short_medium")).otherwise(F.col("nest_short_long"))
-    why = {"short": why_short, "medium": F.when(~fine["medium"], F.col("own_medium")).otherwise(F.col("nest_medium_long")), "long": F.col("own_long")}
-    both = lambda a, b: F.when(read[a]["usable"] & read[b]["usable"], F.col(f"nest_{a}_{b}")).otherwise(_empty())
+    out = out.withColumns({"_keep_long": fine["long"], "_keep_medium": keep_medium, "_keep_short": keep_short})
+    why_short = F.when(~fine["short"], F.col("_own_short")).when(F.col("_keep_medium"), F.col("_nest_short_medium")).otherwise(F.col("_nest_short_long"))
+    why = {"short": why_short, "medium": F.when(~fine["medium"], F.col("_own_medium")).otherwise(F.col("_nest_medium_long")), "long": F.col("_own_long")}
+    both = lambda a, b: F.when(read[a]["usable"] & read[b]["usable"], F.col(f"_nest_{a}_{b}")).otherwise(_empty())
     out = out.withColumns(
         {
-            "errors": F.concat(*(F.col(f"own_{k}") for k in LEVELS), both("short", "medium"), both("medium", "long")),
-            "levels": F.array_compact(F.array(*(F.when(F.col(f"keep_{k}"), F.lit(k)) for k in LEVELS))),
-            "dropped": F.array_compact(F.array(*(F.when(~F.col(f"keep_{k}"), F.struct(F.lit(k).alias("level"), why[k].alias("reasons"))) for k in LEVELS))),
+            "errors": F.concat(*(F.col(f"_own_{k}") for k in LEVELS), both("short", "medium"), both("medium", "long")),
+            "levels": F.array_compact(F.array(*(F.when(F.col(f"_keep_{k}"), F.lit(k)) for k in LEVELS))),
+            "dropped": F.array_compact(F.array(*(F.when(~F.col(f"_keep_{k}"), F.struct(F.lit(k).alias("level"), why[k].alias("reasons"))) for k in LEVELS))),
         }
     )
-    return out.drop(*(c for c in out.columns if c.startswith(("own_", "nest_", "keep_"))))
+    helpers = ("_of", "_theme", "_look_", "_groups_", "_all_", "_own_", "_nest_", "_keep_")
+    return out.drop(*(c for c in out.columns if c.startswith(helpers) and c not in df.columns))
 
 
-def assemble(evaluated: DataFrame, sel_input: str, row_id: str = "id") -> DataFrame:
+def assemble(evaluated: DataFrame, row_id: str = "id") -> DataFrame:
     """A row for each level kept: id, detail_level, length_hint, the view's parts, and required_facts (the theme)."""
-    i = F.col(sel_input)
-    each = [F.when(F.array_contains("levels", k), F.struct(F.lit(k).alias("detail_level"), F.lit(LENGTH_HINTS[k]).alias("length_hint"), view(F.col(f"read_{k}"), i).alias("seen"))) for k in LEVELS]
+    each = [F.when(F.array_contains("levels", k), F.struct(F.lit(k).alias("detail_level"), F.lit(LENGTH_HINTS[k]).alias("length_hint"), F.col(f"seen_{k}").alias("seen"))) for k in LEVELS]
     rows = evaluated.select(F.col(row_id).alias("id"), F.explode(F.array_compact(F.array(*each))).alias("x"))
     return rows.select("id", "x.detail_level", "x.length_hint", "x.seen.*", F.col("x.seen.chu_de_chinh").alias("required_facts"))
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.plan import once
-from ..operators import caption, facts, selection
-from ..operators.chat import message
+from ..operators import caption, facts, persona, selection
+from ..operators.chat import message, with_examples
 
 
 def decomposed(captions: DataFrame, c: str = "caption") -> DataFrame:
@@ -45,6 +45,40 @@ def select_messages(system: Column, sel_input: Column) -> Column:
     return F.array(message("system", system), message("user", F.to_json(sel_input)))
 
 
+def write_messages(system: Column, spec: Column, examples: list[tuple[str, str]] = ()) -> Column:
+    """What a writer is asked: examples of specifications and prompts, then the specification, absent parts left out."""
+    return with_examples(system, list(examples), F.to_json(spec))
+
+
+#: Instructions of each model step, to be replaced by a user's own: (stage, level or null for all, text).
+INSTRUCTIONS = (
+    ("decompose", None, "List the theme, the groups of elements and each element's facts of this caption as JSON."),
+    ("select", None, "Choose facts for a short, a medium and a long request, each contained in the next, as JSON."),
+    ("write", "short", "Write a request of a few words that states every fact given and nothing else."),
+    ("write", "medium", "Write a request of a few sentences that states every fact given and nothing else."),
+    ("write", "long", "Write a detailed request that states every fact given and nothing else."),
+    ("judge", None, "Say as JSON which facts the request lacks and what it adds."),
+    ("correct", None, "Rewrite the request so that it states what was missing and leaves out what was added."),
+)
+
+
+def instructions(spark: SparkSession, own: DataFrame | None = None) -> DataFrame:
+    """(stage, level, system, origin): the instructions, those of own (stage, level, system) in place of the built-in ones."""
+    base = spark.createDataFrame(list(INSTRUCTIONS), "stage string, level string, system string")
+    if own is None:
+        return base.withColumn("origin", F.lit("default"))
+    o = own.select(F.col("stage").alias("s"), F.col("level").alias("l"), F.col("system").alias("own"))
+    joined = base.join(o, (F.col("s") == F.col("stage")) & F.col("l").eqNullSafe(F.col("level")), "left")
+    return joined.select("stage", "level", F.coalesce("own", "system").alias("system"), F.when(F.col("own").isNull(), "default").otherwise("own").alias("origin"))
+
+
+def prompt_rows(subs: DataFrame, written: DataFrame) -> DataFrame:
+    """Written prompts with what they were written from: subs (id, detail_level, checklist, ...) that have a row in written (id, detail_level, persona, user_prompt, n_words)."""
+    sub = F.struct(*(F.col(c) for c in subs.columns))
+    held = subs.select("id", "detail_level", "checklist", persona.content(sub).alias("menh_de_theo_nhom"), F.coalesce("required_facts", F.array().cast("array<string>")).alias("required_facts"))
+    return held.join(written.select("id", "detail_level", "persona", "user_prompt", "n_words"), ["id", "detail_level"]).select("id", "detail_level", "persona", "user_prompt", "n_words", "checklist", "menh_de_theo_nhom", "required_facts")
+
+
 def judge_messages(system: Column, prompt: Column, grouped: Column, flat: Column) -> Column:
     """The judge sees the facts grouped as the writer did, or flat where a row has no groups."""
     user = F.when(grouped.isNotNull(), F.to_json(F.struct(prompt.alias("user_prompt"), grouped.alias("menh_de_theo_nhom")))).otherwise(F.to_json(F.struct(prompt.alias("user_prompt"), flat.alias("checklist"))))
@@ -58,7 +92,7 @@ def correct_messages(system: Column, prompt: Column, checklist: Column, missing:
 def sub_rows(captions: DataFrame, choose=rule_selection, row_id: str = "id") -> DataFrame:
     """From captions with numbered elements to a row for each level kept."""
     chosen = once(selectable(decomposed(captions)), selection=choose(F.col("sel_input")))
-    return selection.assemble(selection.evaluate(chosen, "selection", "sel_input"), "sel_input", row_id)
+    return selection.assemble(selection.evaluate(chosen, "selection", "sel_input"), row_id)
 
 
 def numbered(captions: DataFrame, c: str = "caption") -> DataFrame:

@@ -28,6 +28,24 @@ def newest(cache: DataFrame, keys: list[str], better: list[Column]) -> DataFrame
     return cache.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*better)).alias("_best")).select(*keys, *(F.col(f"_best.{c}").alias(c) for c in cols))
 
 
+def matched(rows: DataFrame, others: DataFrame, key: str = "id") -> tuple[DataFrame, int]:
+    """Rows with the others' columns by key, and how many had none there; no match at all fails the call. The last of the others that share a key counts as it comes: make them unique first."""
+    out = rows.join(others, key)
+    if out.isEmpty():
+        raise ValueError(f"no {key} of the rows is among the others")
+    return out, rows.join(others, key, "left_anti").count()
+
+
+def restricted(rows: DataFrame, sampled: DataFrame, key: str = "id") -> DataFrame:
+    """Rows of the sampled keys."""
+    return rows.join(sampled.select(key), key, "left_semi")
+
+
+def common(a: DataFrame, b: DataFrame, key: str = "id") -> DataFrame:
+    """Keys that both have, each once."""
+    return a.select(key).intersect(b.select(key))
+
+
 def failures_left(failures: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """Failures of keys that gave no row after all."""
     return failures.join(rows.select(*keys).distinct(), keys, "left_anti")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.text import squeeze
 
 Scorer = Callable[[list[dict]], str]
 REGISTRY: dict[str, Callable[[], Scorer]] = {}
@@ -35,8 +36,16 @@ def echo() -> Scorer:
     return lambda messages: messages[-1]["content"]
 
 
-def score(df: DataFrame, make: Callable[[], Scorer] | str, key: str, messages: str = "messages", concurrency: int | None = None, error_length: int = 600) -> DataFrame:
-    """(key, raw_output, error): a row for each row of df; exactly one of the two is set."""
+def preview(df: DataFrame, messages: str = "messages") -> DataFrame:
+    """What a run would ask first, without asking it: (role, content) of one row's messages."""
+    return df.limit(1).select(F.inline(messages))
+
+
+def score(df: DataFrame, make: Callable[[], Scorer] | str, key: str, messages: str = "messages", concurrency: int | None = None, error_length: int = 600, batch: int = 1) -> DataFrame:
+    """(key, raw_output, error): a row for each row of df; exactly one of the two is set.
+
+    With a batch over 1 a scorer that has many() gets so many lists of messages at once and answers with as many texts; if a batch fails, its rows are asked one by one.
+    """
     maker = REGISTRY[make] if isinstance(make, str) else make
     kind = dict(df.dtypes)[key]
 
@@ -44,13 +53,23 @@ def score(df: DataFrame, make: Callable[[], Scorer] | str, key: str, messages: s
         ask = maker()
         for frame in frames:
             raw, errors = [], []
-            for text in frame["messages"]:
-                try:
-                    raw.append(ask(json.loads(text)))
-                    errors.append(None)
-                except Exception as e:  # noqa: BLE001  a row's failure is data
-                    raw.append(None)
-                    errors.append(f"{type(e).__name__}: {e}"[:error_length])
+            asked = [json.loads(text) for text in frame["messages"]]
+            for at in range(0, len(asked), batch):
+                part = asked[at : at + batch]
+                if batch > 1 and hasattr(ask, "many"):
+                    try:
+                        raw += list(ask.many(part))
+                        errors += [None] * len(part)
+                        continue
+                    except Exception:  # noqa: BLE001  asked again one by one
+                        raw, errors = raw[:at], errors[:at]
+                for one in part:
+                    try:
+                        raw.append(ask(one))
+                        errors.append(None)
+                    except Exception as e:  # noqa: BLE001  a row's failure is data
+                        raw.append(None)
+                        errors.append(f"{type(e).__name__}: {e}"[:error_length])
             yield pd.DataFrame({key: frame[key], "raw_output": raw, "error": errors})
 
     rows = df.select(key, F.to_json(messages).alias("messages"))
@@ -75,6 +94,19 @@ def repaired(df: DataFrame, make: Callable[[], Scorer] | str, key: str, check: C
     return done
 
 
+def corrected_and_judged(
+    rejected: DataFrame, writer: Callable[[], Scorer] | str, judge: Callable[[], Scorer] | str, key: str, ask: Column, ask_judge: Callable[[Column], Column], verdict: Callable[[Column], Column], hold: Callable[[DataFrame], DataFrame] = lambda d: d.checkpoint()
+) -> DataFrame:
+    """(key, corrected_prompt, decision, error): one correction of each rejected row, judged anew. ask: the writer's messages; ask_judge: the judge's, of a corrected prompt; verdict: the
+    decision from the judge's answer. A row whose writer or judge failed, or whose correction is blank, has an error and no decision."""
+    written_ = hold(score(rejected.withColumn("_ask", ask), writer, key, "_ask")).select(key, squeeze(F.col("raw_output")).alias("corrected_prompt"), F.col("error").alias("_why"))
+    tried = rejected.join(written_, key).withColumn("_why", F.coalesce("_why", F.when(F.coalesce(F.trim("corrected_prompt"), F.lit("")) == "", "empty answer")))
+    fine = tried.where("_why is null").withColumn("_ask", ask_judge(F.col("corrected_prompt")))
+    judged = score(fine, judge, key, "_ask").select(key, F.col("raw_output").alias("_verdict"), F.col("error").alias("_judge"))
+    out = tried.join(judged, key, "left").withColumn("error", F.coalesce("_why", "_judge"))
+    return out.withColumn("decision", F.when(F.col("error").isNull(), verdict(F.col("_verdict")))).select(key, "corrected_prompt", "decision", "error")
+
+
 def error_rows(scored: DataFrame) -> Column:
     """An error struct with all errors and the last answer, for a row that did not settle."""
     return F.when(F.size("errors") > 0, F.struct(F.coalesce("error", F.lit("errors remain")).alias("message"), F.col("errors"), F.col("raw_output").alias("last_output")))

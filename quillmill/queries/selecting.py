@@ -24,15 +24,13 @@ def selection_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{SELECTING} SELECT id, short_w, medium_w, short_w > 20 AS short_over, medium_w > 55 AS medium_over FROM judged")
 def word_cap_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i = F.col("sel_input")
-    words = lambda k: selection.chosen_words(selection.view(F.col(f"read_{k}"), i))
-    rows = evaluated(spark, sf_dir).select("id", words("short").alias("short_w"), words("medium").alias("medium_w"))
+    rows = evaluated(spark, sf_dir).select("id", F.col("words_short").alias("short_w"), F.col("words_medium").alias("medium_w"))
     return rows.select("*", (F.col("short_w") > selection.ACCEPTED_WORDS["short"]).alias("short_over"), (F.col("medium_w") > selection.ACCEPTED_WORDS["medium"]).alias("medium_over"))
 
 
 @query(f"{SELECTING} SELECT id, ideas, len(short_s) AS n_style, ideas > 2 OR len(short_s) > 0 AS broken FROM judged")
 def short_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read, ideas = F.col("read_short"), selection.short_ideas(F.col("read_short"), F.col("sel_input"))
+    read, ideas = F.col("read_short"), F.col("ideas_short")
     return evaluated(spark, sf_dir).select("id", ideas.alias("ideas"), F.size(read["style"]).alias("n_style"), ((ideas > selection.SHORT_MAX_IDEAS) | (F.size(read["style"]) > 0)).alias("broken"))
 
 
@@ -56,13 +54,13 @@ _LEVELS = """levels AS (
 
 @query(f"{SELECTING}, {_LEVELS} SELECT id, detail_level, len(g) AS n_groups, array_to_string(c, '|') AS checklist, list_sum(list_transform(c, lambda x: {wc('x')}))::BIGINT AS words FROM levels")
 def level_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = selection.assemble(evaluated(spark, sf_dir), "sel_input")
+    rows = selection.assemble(evaluated(spark, sf_dir))
     return rows.select("id", "detail_level", F.size("groups").alias("n_groups"), F.array_join("checklist", "|").alias("checklist"), selection.total_words(F.col("checklist")).alias("words"))
 
 
 @query(f"{SELECTING}, {_LEVELS} SELECT detail_level, count(*) AS n, round(avg(len(g)), 2) AS mean_groups, round(avg(len(c)), 2) AS mean_facts, round(avg(list_sum(list_transform(c, lambda x: {wc('x')}))), 2) AS mean_words FROM levels GROUP BY detail_level")
 def level_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.level_summary(selection.assemble(evaluated(spark, sf_dir), "sel_input"))
+    return audit.level_summary(selection.assemble(evaluated(spark, sf_dir)))
 
 
 @query(f"{SELECTING} SELECT count(*) AS n_images, sum(k)::BIGINT AS n_rows, count(*) FILTER (WHERE k > 0 AND k < 3) AS n_partial, count(*) FILTER (WHERE NOT keep_short) AS dropped_short, count(*) FILTER (WHERE NOT keep_medium) AS dropped_medium, count(*) FILTER (WHERE NOT long_ok) AS dropped_long FROM (SELECT *, keep_short::INT + keep_medium::INT + long_ok::INT AS k FROM judged)")
@@ -84,7 +82,7 @@ draws AS (SELECT id, detail_level, id || '__' || detail_level AS key, ('0x' || l
 SELECT key, CASE WHEN r < 0.6 THEN 'user phổ thông' WHEN r < 0.7 THEN 'designer' WHEN r < 0.8 THEN 'khách ngành cưới - sự kiện' WHEN r < 0.9 THEN 'sinh viên làm đồ án' ELSE 'nhân viên marketing' END AS vai,
   ['mô tả trung tính', 'ra lệnh', 'kể lể lan man'][1 + floor(t * 3)::INT] AS giong, l < 0.2 AS english FROM draws""")
 def persona_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = selection.assemble(evaluated(spark, sf_dir), "sel_input").select(F.concat_ws("__", "id", "detail_level").alias("key"))
+    rows = selection.assemble(evaluated(spark, sf_dir)).select(F.concat_ws("__", "id", "detail_level").alias("key"))
     p = rows.withColumn("p", persona.persona(F.col("key")))
     return p.select("key", F.col("p")["vai"].alias("vai"), F.col("p")["giọng"].alias("giong"), (F.col("p")["ngôn ngữ"] == persona.ENGLISH).alias("english"))
 
@@ -92,7 +90,7 @@ def persona_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{SELECTING}, {_LEVELS} SELECT id, detail_level, list_sum(list_transform(c, lambda x: {wc('x')}))::BIGINT AS spec_words FROM levels WHERE detail_level <> 'long'")
 def writer_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a writer gets holds the checklist's words, no more and no less; repeats between groups aside, which the first two levels don't have here."""
-    rows = selection.assemble(evaluated(spark, sf_dir), "sel_input").where("detail_level <> 'long'")
+    rows = selection.assemble(evaluated(spark, sf_dir)).where("detail_level <> 'long'")
     sub = F.struct(*[F.col(c) for c in rows.columns])
     spec = persona.content(sub)
     none = F.array().cast("array<string>")

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import is_object
+from ..functions.plan import small
 
 MAX_ERRORS = 500
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(id, text): a row for each .txt or .json file right in a folder, the whole file one record, its stem the id. No files fail the call."""
-    out = spark.read.text(folder, wholetext=True, pathGlobFilter="*.{txt,json}").select(F.regexp_replace(F.col("_metadata.file_name"), "\\.(txt|json)$", "").alias("id"), F.col("value").alias("text"))
+    """(id, text): a row for each .txt or .json file right in a folder, by path, the whole file one record, its stem the id. No files fail the call."""
+    read = spark.read.text(folder, wholetext=True, pathGlobFilter="*.{txt,json}")
+    out = read.select(F.col("_metadata.file_path").alias("path"), F.regexp_replace(F.col("_metadata.file_name"), "\\.(txt|json)$", "").alias("id"), F.col("value").alias("text")).orderBy("path").select("id", "text")
     if out.isEmpty():
         raise ValueError(f"no .txt or .json files in {folder}")
     return out
@@ -27,8 +31,23 @@ def parsed(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     return docs.where(fine), docs.where(~fine).select("id", F.lit("parse").alias("kind"), F.concat(why, F.substring(text, 1, 400)).alias("message"))
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Strict: blank lines are skipped, a malformed line fails the job."""
+def bad_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, line_no, text): of each JSON-lines file the first line that does not parse, its number from 1, its text cut to 200 characters.
+
+    A file's lines are numbered by where their block begins and their order in it, and only those of files that have a bad line.
+    """
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), place.alias("place"), "value")
+    wrong = lines.where((F.trim("value") != "") & F.try_parse_json("value").isNull())
+    first = wrong.groupBy("path").agg(F.min(F.struct("place", "value")).alias("bad"))
+    upto = lines.select("path", "place").join(small(first), "path").where(F.col("place") <= F.col("bad.place"))
+    return upto.groupBy("path", F.substring("bad.value", 1, 200).alias("text")).agg(F.count("*").alias("line_no")).select("path", "line_no", "text")
+
+
+def read_jsonl(spark: SparkSession, path: str, schema: str, check: bool = True) -> DataFrame:
+    """Strict: blank lines are skipped. A malformed line fails the call with its path and line number; unchecked, which saves a pass, it fails the job that meets it."""
+    if check and (bad := bad_lines(spark, path).orderBy("path").first()):
+        raise ValueError(f"{bad['path']}:{bad['line_no']}: not JSON: {bad['text']}")
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
@@ -68,6 +87,28 @@ def write_errors(errors: DataFrame, path: str) -> None:
     errors.orderBy("id").limit(MAX_ERRORS).coalesce(1).write.mode("overwrite").json(path)
 
 
+def write_config(spark: SparkSession, config: dict, path: str) -> str:
+    """What a run was made with (its options, prompts by level and their origin, whatever an adapter must carry along), as pretty JSON beside its results."""
+    text = json.dumps(config, ensure_ascii=False, indent=2, default=str)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return text
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder that spark.checkpoint.dir names; in a temporary one only where it is unset and all of Spark is one local process, as in tests."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-scratch-")
+    return f"{folder.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def write_report(report: DataFrame, path: str) -> str:
     """A report of one row as JSON text, pretty, and written beside the data."""
     row = report.limit(1).toJSON().first() or "{}"
@@ -80,11 +121,9 @@ def first_split_folder(spark: SparkSession, explicit: str | None, candidates: li
     """The explicit folder, or the first candidate that holds any split's file or folder."""
     if explicit:
         return explicit
-    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
     for folder in candidates:
         for name in (f"{s}{end}" for s in splits for end in ("", ".jsonl")):
             for child in (name, f"split={name}"):
-                path = path_of(f"{folder}/{child}")
-                if path.getFileSystem(conf).exists(path):
+                if exists(spark, f"{folder}/{child}"):
                     return folder
     raise FileNotFoundError(f"no split in {candidates}")

@@ -48,7 +48,7 @@ def test_good_selection(spark):
     df = evaluated(spark, GOOD)
     row = df.first()
     assert row["errors"] == [] and row["levels"] == ["short", "medium", "long"] and row["dropped"] == []
-    rows = {r["detail_level"]: r for r in selection.assemble(df, "i").collect()}
+    rows = {r["detail_level"]: r for r in selection.assemble(df).collect()}
     assert rows["long"]["checklist"] == ["tea", "a pot", "brown", "số lượng: 2", "ao dai", "a wall", "a window", "close", "photograph"]
     assert rows["short"]["checklist"] == ["tea", "a pot"] and rows["short"]["required_facts"] == ["tea"]
     assert [g["so_nhieu"] for g in rows["long"]["groups"]] == [False, False]
@@ -158,7 +158,7 @@ def test_catalog():
     done = []
     run = catalog.Run({k: (lambda k=k: done.append(k)) for k in catalog.ORDER})
     assert run("2a") == ["2a", "2b", "2c", "2d"] and run("2c", {"2b2"}) == ["2c", "2d"]
-    assert catalog.resolve(None, "out", "step0", "t.jsonl") == "out/step0_normalize/t.jsonl"
+    assert catalog.resolve(None, "out", "step0", "t.jsonl") == "out/step0_normalized/t.jsonl"
     with pytest.raises(KeyError):
         catalog.step_folder("out", "x")
 

@@ -27,19 +27,23 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, components, partitions, slices, text_key, texts
+from .common import checkpointed, components, partitions, slices, text_key, texts, written
 
 #: Texts longer than this are split into words piece by piece.
 PIECE = 1 << 22
 #: Variants per part that a task sorts at once.
 PART_ROWS = 3_000_000
+#: Bytes of variants that a task writes, about.
+TASK_BYTES = 32_000_000
 #: Fingerprints whose variants a task holds at once.
 BATCH = 4096
 #: Rows of two longs up to which the side of a join is broadcast.
 BROADCAST_ROWS = 2_000_000
+#: Bytes of shingle sets up to which they are broadcast to the pairs.
+BROADCAST_BYTES = 32_000_000
 
 
 def shingle_hashes(text: bytes, words: int, seed: int) -> Iterator[int]:
@@ -106,17 +110,20 @@ def masks(bits: int, radius: int = 3) -> tuple[np.ndarray, int]:
 
 
 def ball_links(prints: DataFrame, bits: int = 64, radius: int = 3) -> DataFrame:
-    """(tab int, a long, b long): a star for each variant on which distinct prints (tab int, fp long) of a table met.
+    """(tab int, a long, b long, crowd boolean): a star for each variant on which distinct prints (tab int, fp long) of a table met; crowd says that more than these two met on one.
 
-    A star's members are not linked to each other: a caller that verifies links takes those of failed stars to bucket_pairs().
+    With radius 2 the star's centre is a, the least of them. A star's members are not linked to each other: a caller that verifies links takes those of failed stars to bucket_pairs().
     """
     kind = np.uint64 if bits > 32 else np.uint32
     flips, near = masks(bits, radius)
     flips, small = flips.astype(kind), np.uint8 if len(flips) <= 256 else np.uint16
     prints = prints.select(F.col("tab").cast("int").alias("tab"), F.col("fp").cast("long").alias("fp")).distinct()
     prints = checkpointed(prints)
-    tabs, most = prints.groupBy("tab").count().agg(F.count("*"), F.max("count")).first()
-    parts = partitions(prints.sparkSession, (most or 0) * (near + (len(flips) - near) / 2) / PART_ROWS) // max(1, tabs) + 1
+    tabs, most, every = prints.groupBy("tab").count().agg(F.count("*"), F.max("count"), F.sum("count")).first()
+    each = near + (len(flips) - near) / 2
+    parts = partitions(prints.sparkSession, (most or 0) * each / PART_ROWS) // max(1, tabs) + 1
+    # Few bytes become many here, so tasks are dealt by what they write.
+    dealt = prints.repartition(partitions(prints.sparkSession, (every or 0) * each * (flips.itemsize + np.dtype(small).itemsize) / TASK_BYTES), "tab", "fp")
 
     def spread(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -146,14 +153,18 @@ def ball_links(prints: DataFrame, bits: int = 64, radius: int = 3) -> DataFrame:
         order = np.lexsort((origin, far, v))  # a bucket's first row is its smallest near member, if it has one
         v, origin, far = v[order], origin[order], far[order]
         first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.zeros(0, int)
-        centre = np.repeat(first, np.diff(np.append(first, len(v))))
+        size = np.diff(np.append(first, len(v)))
+        centre = np.repeat(first, size)
         use = ~far[centre] & (centre != np.arange(len(v)))
-        pairs = np.stack([origin[centre][use], origin[use]], 1)
-        pairs = np.unique(np.sort(pairs, 1), axis=0).astype(np.uint64).view(np.int64)
-        return pd.DataFrame({"tab": int(key[0]), "a": pairs[:, 0], "b": pairs[:, 1]})
+        a, b = np.sort(np.stack([origin[centre][use], origin[use]]), 0).astype(np.uint64)
+        crowd = np.repeat(size > 2, size)[use]
+        order = np.lexsort((~crowd, b, a))
+        a, b, crowd = a[order], b[order], crowd[order]
+        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)]
+        return pd.DataFrame({"tab": int(key[0]), "a": a[new].view(np.int64), "b": b[new].view(np.int64), "crowd": crowd[new]})
 
-    spreading = prints.mapInPandas(spread, "tab int, part int, variants binary, codes binary")
-    return spreading.repartition(parts * max(1, tabs), "tab", "part").groupBy("tab", "part").applyInPandas(meet, "tab int, a long, b long").distinct()
+    spreading = dealt.mapInPandas(spread, "tab int, part int, variants binary, codes binary")
+    return spreading.repartition(parts * max(1, tabs), "tab", "part").groupBy("tab", "part").applyInPandas(meet, "tab int, a long, b long, crowd boolean").groupBy("tab", "a", "b").agg(F.max("crowd").alias("crowd"))
 
 
 def bucket_pairs(held: DataFrame, low: int, high: int) -> DataFrame:
@@ -203,37 +214,107 @@ def bucket_pairs(held: DataFrame, low: int, high: int) -> DataFrame:
     return spreading.repartition(parts, "tab", "part").groupBy("tab", "part").applyInPandas(meet, "a long, b long").distinct()
 
 
+def alike(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, similarity: float, columns: int = 8192) -> np.ndarray:
+    """Which pairs of sets, by their numbers, are at least so similar: shared elements as bits, so many at a time."""
+    size = np.array([len(x) for x in sets])
+    every, n = np.unique(np.concatenate(sets), return_counts=True)
+    every, common = every[n > 1], np.zeros(len(i), np.int64)
+    for at in range(0, len(every), columns):
+        part = every[at : at + columns]
+        bits = np.packbits(np.stack([np.isin(part, x, assume_unique=True) for x in sets]), axis=1)
+        for k in range(0, len(i), 1 << 14):
+            common[k : k + (1 << 14)] += np.bitwise_count(bits[i[k : k + (1 << 14)]] & bits[j[k : k + (1 << 14)]]).sum(1, dtype=np.int64)
+    return common >= similarity * (size[i] + size[j] - common) - 1e-9
+
+
+def bucket_links(held: DataFrame, sets: list[tuple[int, bytes]], similarity: float) -> DataFrame:
+    """(a long, b long): of the (node, root) with 32-bit words (tab, word) that meet on a variant within one flip, the pairs of unlike roots whose sets are at least so similar. sets: all nodes'
+    elements, of a bounded size, which go to every task: so the pairs are compared where they meet, and only links leave. A pair is compared in one of the buckets that it shares in a table."""
+    flips = masks(32, 2)[0].astype(np.uint32)
+    parts = partitions(held.sparkSession, held.count() * len(flips) * 4 / PART_ROWS)
+    known = held.sparkSession.sparkContext.broadcast(dict(sets))
+
+    def spread(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for tab, rows in frame.groupby("tab"):
+                word = rows["word"].to_numpy(np.int64).astype(np.uint32)
+                out = (word[:, None] ^ flips).ravel()
+                part = ((_mixed(out.astype(np.uint64), tab + 1) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+                order = np.argsort(part, kind="stable")
+                ends = np.searchsorted(part[order], np.arange(parts + 1))
+                full = np.flatnonzero(np.diff(ends))
+                columns = {"variants": out, "words": np.repeat(word, len(flips)), **{f"{c}s": np.repeat(rows[c].to_numpy(np.int64), len(flips)) for c in ("node", "root")}}
+                yield pd.DataFrame({"tab": tab, "part": full, **{c: [x[order[ends[p] : ends[p + 1]]].tobytes() for p in full] for c, x in columns.items()}})
+
+    def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        v, word, node, root = (np.frombuffer(b"".join(frame[c]), kind) for c, kind in (("variants", np.uint32), ("words", np.uint32), ("nodes", np.int64), ("roots", np.int64)))
+        order = np.lexsort((node, v))
+        v, word, node, root = v[order], word[order], node[order], root[order]
+        first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
+        ends = np.append(first[1:], len(v))
+        mixed = np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)
+        found = [np.zeros((0, 2), np.int64)]
+        for lo, hi in zip(first[mixed], ends[mixed], strict=True):
+            w, r, where = word[lo:hi], root[lo:hi], v[lo]
+            sets = [np.frombuffer(known.value[n], np.uint64) for n in node[lo:hi].tolist()]
+            size = np.array([len(x) for x in sets])
+            for at in range(0, hi - lo, 256):
+                i, j = np.nonzero((r[at : at + 256, None] != r[None, :]) & (np.arange(at, min(at + 256, hi - lo))[:, None] < np.arange(hi - lo)[None, :]))
+                i += at
+                apart = np.bitwise_count(w[i] ^ w[j])
+                # Of the buckets that two words share, one compares them: the word's own, the lesser word's, or the lesser of the two between them.
+                here = np.where(apart == 2, where < (w[i] ^ w[j] ^ where), where == np.minimum(w[i], w[j]))
+                here &= np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-9
+                i, j = i[here], j[here]
+                if len(i):
+                    used, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+                    ok = alike([sets[u] for u in used], place[: len(i)], place[len(i) :], similarity)
+                    found.append(np.stack([node[lo:hi][i[ok]], node[lo:hi][j[ok]]], 1))
+        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+
+    spreading = held.select("tab", "word", "node", "root").mapInPandas(spread, "tab int, part int, variants binary, words binary, nodes binary, roots binary")
+    return spreading.repartition(parts, "tab", "part").groupBy("tab", "part").applyInPandas(meet, "a long, b long").distinct()
+
+
 def rooted(df: DataFrame, found: DataFrame, node: str, root: str) -> DataFrame:
     """df with the root of a column's node: the node itself where no link has it."""
     return df.join(found.select(F.col("node").alias(node), F.col("root").alias("_root")), node, "left").withColumn(root, F.coalesce("_root", node)).drop("_root")
 
 
-def linked(held: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(node, root): components of the pairs of nodes that meet and are verified. held: (tab, word, node), 32-bit words; verified: (a, b) to those that hold.
+def linked(held: DataFrame, verified: Callable[[DataFrame], DataFrame], close: Callable[[DataFrame], DataFrame] = lambda pairs: pairs, inside: Callable[[DataFrame], DataFrame | None] = lambda opened: None) -> DataFrame:
+    """(node, root): components of the pairs of nodes that meet and are verified. held: (tab, word, node), 32-bit words; verified: (a, b) to those that hold; close: (a, b) to those that lie
+    so near each other that what is linked with one of them may be linked with the other, where that can be told; inside: (a, b) of those that hold among all that meet of (tab, word,
+    node, root) and are of unlike root, or None where these are too many for it.
 
-    First each bucket of words is linked by its star, and the holders of a word by the least. Where such a link fails and nothing else joins its ends, all nodes of
-    the buckets concerned are compared: each bucket's first member with all others of unlike root, then the next ones, more of them in each round, until no bucket
+    First each bucket of words is linked by its star, and the holders of a word by the least. A member that fails may still belong to another one: to one that failed too and has
+    another root, or to one that holds, if it is close to the centre. Where neither is so, or no third node is there, nothing is left to compare. Of other stars all nodes are
+    compared: by inside, or else each bucket's first member with all others of unlike root, then the next ones, more of them in each round, until no bucket
     has a pair of unlike roots that was not verified. So all met pairs that could join anything are, whatever a star's centre is like.
     """
     links = checkpointed(ball_links(held.select("tab", F.col("word").alias("fp")), bits=32, radius=2))
-    one = held.groupBy("tab", "word").agg(F.min("node").alias("least"))
-    # Words that several nodes share hang on one of them.
-    shared = held.join(one, ["tab", "word"]).where("node <> least").select("tab", F.col("word").alias("a_word"), F.col("word").alias("b_word"), F.col("node").alias("a"), F.col("least").alias("b"))
-    at = lambda side: one.select("tab", F.col("word").alias(f"{side}_word"), F.col("least").alias(side))
-    across = links.select("tab", F.col("a").alias("a_word"), F.col("b").alias("b_word")).join(at("a"), ["tab", "a_word"]).join(at("b"), ["tab", "b_word"])
+    one = checkpointed(held.groupBy("tab", "word").agg(F.min("node").alias("least"), F.count("*").alias("n")))
+    # Words that several nodes share hang on one of them; it comes first in each pair, as a bucket's centre does.
+    shared = held.join(one.where("n > 1"), ["tab", "word"]).where("node <> least").select("tab", "word", F.col("word").alias("b_word"), F.col("least").alias("a"), F.col("node").alias("b"), (F.col("n") > 2).alias("third"))
+    at = lambda side, word: one.select("tab", F.col("word").alias(word), F.col("least").alias(side), F.col("n").alias(f"{side}_n"))
+    across = links.select("tab", F.col("a").alias("word"), F.col("b").alias("b_word"), "crowd").join(at("a", "word"), ["tab", "word"]).join(at("b", "b_word"), ["tab", "b_word"])
+    across = across.select("tab", "word", "b_word", "a", "b", (F.col("crowd") | (F.col("a_n") > 1) | (F.col("b_n") > 1)).alias("third"))
     met = checkpointed(shared.unionByName(across).where("a <> b"))
     pair = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tried = pair(met)
     good = checkpointed(verified(tried))
     found = checkpointed(components(good))
-    failed = rooted(rooted(met, found, "a", "a_root"), found, "b", "b_root").where("a_root <> b_root")
-    bad = failed.select("tab", F.explode(F.array("a_word", "b_word")).alias("word")).distinct()
+    failed = checkpointed(rooted(rooted(met.where("third"), found, "a", "a_root"), found, "b", "b_root").where("a_root <> b_root"))
+    near = close(failed.select("a", "b").distinct()).withColumn("close", F.lit(True))
+    stars = failed.join(near, ["a", "b"], "left").groupBy("tab", "word").agg(F.max(F.coalesce("close", F.lit(False))).alias("close"), F.min("b_root").alias("lo"), F.max("b_root").alias("hi"))
+    bad = written(stars.where("close or lo <> hi").select("tab", "word"))
     if bad.isEmpty():
         return found
-    ways = links.select("tab", F.col("a").alias("word"), F.col("b").alias("to")).unionByName(links.select("tab", F.col("b").alias("word"), F.col("a").alias("to")))
-    for _ in range(2):  # from a member to its centre, and to all members
-        bad = bad.unionByName(bad.join(ways, ["tab", "word"]).select("tab", F.col("to").alias("word"))).distinct()
-    open_ = checkpointed(held.join(bad, ["tab", "word"]))
+    # All members of a bucket are linked to its centre.
+    members = written(bad.join(met.where("third").select("tab", "word", "b_word"), ["tab", "word"]).select("tab", F.col("b_word").alias("word")).distinct())
+    open_ = checkpointed(held.join(bad.unionByName(members).distinct(), ["tab", "word"]))
+    if (more := inside(rooted(open_, found, "node", "root"))) is not None:
+        more = checkpointed(more)
+        return found if more.isEmpty() else components(more.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     low, high = 0, 2
     while True:
         more = checkpointed(bucket_pairs(rooted(open_, found, "node", "root"), low, high))
@@ -275,37 +356,33 @@ def set_prints(docs: DataFrame, words: int, seed: int, longs: int) -> DataFrame:
                 for at in range(0, len(h), 1 << 15):
                     for k in range(longs):
                         counts[k] += np.unpackbits(_mixed(h[at : at + (1 << 15)], k).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-                found.append((np.packbits(counts * 2 > len(h), axis=1, bitorder="little").view(np.int64)[:, 0].tolist(), len(h), xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63)))
+                bits = counts * 2 > len(h)
+                if len(h) in (2, 4, 6, 8):
+                    # So few shingles tie often, and were ties zero, unlike sets would meet by their many zeros. Two sets of one such size are equal or under 0.8.
+                    ties = np.unpackbits(np.concatenate([_mixed(h[:1], longs + k) for k in range(longs)]).view(np.uint8).reshape(longs, 8), axis=1, bitorder="little")
+                    bits = np.where(counts * 2 == len(h), ties == 1, bits)
+                found.append((np.packbits(bits, axis=1, bitorder="little").view(np.int64)[:, 0].tolist(), len(h), xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63)))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([x[2] for x in found], pa.int64()), pa.array([x[0] for x in found], pa.list_(pa.int64())), pa.array([x[1] for x in found], pa.int64())], names=["doc_id", "node", "fp", "shingles"])
 
     return docs.mapInArrow(run, "doc_id long, node long, fp array<long>, shingles long")
 
 
 def shingle_sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
-    """(node, hashes binary) of (node, text)."""
+    """(node, hashes array<long>) of (node, text)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, rows in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([shingle_set(x, words, seed).tobytes() for x in rows], pa.binary())], names=["node", "hashes"])
+            sets = [shingle_set(x, words, seed).view(np.int64) for x in rows]
+            ends = np.cumsum([0, *map(len, sets)])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.LargeListArray.from_arrays(ends, np.concatenate(sets)).cast(pa.list_(pa.int64()))], names=["node", "hashes"])
 
-    return docs.mapInArrow(run, "node long, hashes binary")
+    return docs.mapInArrow(run, "node long, hashes array<long>")
 
 
 def similar(pairs: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of (a, b, a_set, b_set) whose sets' similarity is at least so much."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(k)[i].as_py(), np.uint64) for k in (2, 3))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                # The slack is for rounding alone: 0.8 * 10 is more than 8 in no way that counts.
-                if common >= similarity * (len(x) + len(y) - common) - 1e-9:
-                    keep.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-
-    return pairs.select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long")
+    """(a, b) of (a, b, a_set, b_set) whose sets' similarity is at least so much. The slack is for rounding alone: 0.8 * 10 is more than 8 in no way that counts."""
+    common = F.size(F.array_intersect("a_set", "b_set"))
+    return pairs.where(common >= similarity * (F.size("a_set") + F.size("b_set") - common) - 1e-9).select("a", "b")
 
 
 def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = 28, seed: int = 42) -> DataFrame:
@@ -322,22 +399,41 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables
     held = checkpointed(nodes.select("node", F.explode(cut).alias("x")).select("node", "x.tab", "x.word"))
     full = lambda side: nodes.select(F.col("node").alias(side), F.col("first").alias(f"{side}_first"), F.col("fp").alias(f"{side}_fp"), F.col("n").alias(f"{side}_n"))
     differ = F.expr("aggregate(zip_with(a_fp, b_fp, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
-    # Six standard deviations over what the pairs at the limit differ in, for sets large enough for such an estimate; sizes alone tell others apart.
-    angle = F.acos(F.least(F.lit(1.0), similarity / (1 + similarity) * (F.col("a_n") + F.col("b_n")) / F.sqrt(F.col("a_n") * F.col("b_n")))) / np.pi
-    far = (F.least("a_n", "b_n") >= 64) & (differ > 32 * tables * angle + 6 * F.sqrt(32 * tables * angle * (1 - angle)) + 6)
-    unlike = F.least("a_n", "b_n") < similarity * F.greatest("a_n", "b_n") - 1e-9
+
+    def apart(limit: float) -> Column:
+        """Certainly less similar than that: by sizes alone, or, for sets large enough for such an estimate, by six standard deviations over what pairs at the limit differ in."""
+        angle = F.acos(F.least(F.lit(1.0), limit / (1 + limit) * (F.col("a_n") + F.col("b_n")) / F.sqrt(F.col("a_n") * F.col("b_n")))) / np.pi
+        far = (F.least("a_n", "b_n") >= 64) & (differ > 32 * tables * angle + 6 * F.sqrt(32 * tables * angle * (1 - angle)) + 6)
+        return far | (F.least("a_n", "b_n") < limit * F.greatest("a_n", "b_n") - 1e-9)
+
+    def close(pairs: DataFrame) -> DataFrame:
+        """One less similarity is a metric: what is linked with one of a pair, and so at most 1 - similarity from it, is linked with the other only if the two are at most twice that apart."""
+        return pairs.join(full("a"), "a").join(full("b"), "b").where(~apart(2 * similarity - 1)).select("a", "b")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        likely = checkpointed(pairs.join(full("a"), "a").join(full("b"), "b").where(~unlike & ~far).select("a", "b", "a_first", "b_first"))
+        likely = checkpointed(pairs.join(full("a"), "a").join(full("b"), "b").where(~apart(similarity)).select("a", "b", "a_first", "b_first"))
         needed = likely.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("a_first").alias("first")), F.struct(F.col("b").alias("node"), F.col("b_first").alias("first")))).alias("x")).select("x.*").distinct()
+        sets, size = sets_of(needed)
+        sets = F.broadcast(sets) if size <= BROADCAST_BYTES else sets
+        side = lambda s: sets.select(F.col("node").alias(s), F.col("hashes").alias(f"{s}_set"))
+        return similar(likely.select("a", "b").join(side("a"), "a").join(side("b"), "b"), similarity)
+
+    def sets_of(needed: DataFrame) -> tuple[DataFrame, int]:
+        """(node, hashes) of (node, first), and their bytes."""
         needed = checkpointed(needed)
         needed = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
         held_texts = texts(docs, "row_key").join(needed, F.col("doc_id") == F.col("first")).select("node", "text").dropDuplicates(["node"])
         sets = checkpointed(shingle_sets(held_texts, words, seed))
-        side = lambda s: sets.select(F.col("node").alias(s), F.col("hashes").alias(f"{s}_set"))
-        return similar(likely.select("a", "b").join(side("a"), "a").join(side("b"), "b"), similarity)
+        return sets, 8 * (sets.agg(F.sum(F.size("hashes") + F.lit(4))).first()[0] or 0)
+
+    def inside(opened: DataFrame) -> DataFrame | None:
+        needed = checkpointed(opened.select("node").distinct()).join(nodes.select("node", F.col("first"), "n"), "node")
+        if 8 * (needed.agg(F.sum(F.col("n") + 4)).first()[0] or 0) > BROADCAST_BYTES:
+            return None
+        sets = sets_of(needed.select("node", "first"))[0].collect()
+        return bucket_links(opened, [(r["node"], np.array(r["hashes"], np.int64).tobytes()) for r in sets], similarity)
 
-    found = linked(held, verified)
+    found = linked(held, verified, close, inside)
     return rooted(prints.select(F.col("doc_id").alias("row_key"), "node"), found, "node", "root").select("row_key", "root").distinct()
 
 

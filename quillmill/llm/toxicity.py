@@ -233,7 +233,7 @@ def telling_runs(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int,
 
     A run comes into question if its share of toxic documents is over ratio times its share of clean ones, and a log-likelihood ratio calls it no
     chance (over 14: less than one in a million runs). At best, where no clean document has it, that is t * log(all / toxic), so few runs are counted in
-    clean documents at all; there are at most CODES ** RUN, whatever the sample. In copies of one text every run does so; hence only as many documents count as
+    clean documents at all; there are at most CODES ** RUN, whatever the sample. In copies of one text every run does so; hence only four times as many documents count as
     there are surroundings of SIDE letters in which the run stands. Of these runs the one that tells most is chosen again and again, and a
     document that holds so many chosen ones counts no more, so that words which merely stand beside insults have nothing left to tell.
     """
@@ -256,7 +256,7 @@ def telling_runs(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int,
     hits = run_hits(toxic, among).collect()
     pairs = np.array(sorted({p for r in hits for p in zip(r["run"], r["around"], strict=True)}), np.int64)
     unlike = np.bincount(pairs[:, 0], minlength=len(among))
-    live = gains(np.minimum(t, unlike), c) > 0
+    live = gains(np.minimum(t, 4 * unlike), c) > 0
     holds = np.zeros((len(hits), len(among)), bool)
     for i, r in enumerate(hits):
         holds[i, r["run"]] = True

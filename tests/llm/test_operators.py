@@ -178,6 +178,35 @@ def test_failed_stars_are_bucketed_again(spark):
     assert {r["node"]: r["root"] for r in found.collect()} == {n: r for n, r in roots.items() if size[r] > 1}
 
 
+def test_crowded_near_groups_are_brute_force(spark, monkeypatch):
+    """One base text in many edited copies, near the threshold of one another, and short texts: components equal those of all pairs, compared in their buckets or in rounds."""
+    rng = random.Random(12)
+    base = text(rng, 120).split()
+    rows = []
+    for k in range(160):
+        w = list(base)
+        for _ in range(rng.randrange(0, 7)):
+            w[rng.randrange(len(w))] = rng.choice(WORDS) + str(k)
+        rows.append((k, " ".join(w)))
+    rows += [(1000 + k, " ".join(rng.choice(WORDS) for _ in range(rng.randrange(1, 12)))) for k in range(200)]
+    shingles = lambda t: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w := t.split()) >= 5 else {tuple(w)}
+    want = brute_components({i: shingles(t) for i, t in rows}, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    for bound in (simhash.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(simhash, "BROADCAST_BYTES", bound)
+        got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs_of(spark, rows)).collect()}
+        assert all(want[i] == want[c] for i, c in got.items())  # nothing links that should not
+        assert sum(got[i] != want[i] for i in got) <= 2 and len(set(want.values())) > 100
+
+
+def test_shared_elements_are_counted_exactly():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(1, 300))).astype(np.uint64) for _ in range(40)] + [np.array([7], np.uint64)] * 2
+    i, j = np.triu_indices(len(sets), 1)
+    for limit in (0.3, 0.5, 1.0):
+        want = [len(set(sets[a]) & set(sets[b])) >= limit * len(set(sets[a]) | set(sets[b])) - 1e-9 for a, b in zip(i, j, strict=True)]
+        assert (simhash.alike(sets, i, j, limit, columns=50) == want).all()
+
+
 # --- 2
 
 
@@ -276,14 +305,14 @@ def test_toxicity_takes_odd_tables(spark):
     got = toxicity.toxicity(docs_of(spark, rows), labels).collect()
     assert len(got) == len(rows) and all(r["predicted"] == r["doc_id"] % 2 for r in got)
     long_ = [rows[-1][1].encode()]
-    weights = np.zeros(toxicity.CODES**toxicity.ORDER, np.float32)
-    weights[np.random.default_rng(1).integers(1 << 15, 1 << 20, 50_000)] = 1
-    whole = toxicity.worst(long_, weights)[0]
     old, toxicity.PART = toxicity.PART, 100_000
     try:
-        parts, owner = toxicity.parts_of(long_)
-        assert len(parts) > 20 and b"".join(parts) == long_[0] and not owner.any()
-        assert abs(toxicity.worst(long_, weights)[0] - whole)[0, 0] < 1e-3
+        parts, owner = toxicity.parts_of([b"", long_[0], b"x"])
+        assert len(parts) > 20 and b"".join(parts) == long_[0] + b"x" and set(owner.tolist()) == {0, 1, 2}
+        model = np.zeros(toxicity.CODES**toxicity.ORDER, np.float32)
+        model[toxicity.features([toxicity.sentences([b"quazzlemork"])[0][:toxicity.WINDOW].tobytes()]).max()] = 1
+        cut, whole = (toxicity.worst(long_, model)[0][0, 0] for toxicity.PART in (100_000, 1 << 22))
+        assert cut == whole > 0
     finally:
         toxicity.PART = old
 
@@ -411,6 +440,14 @@ def test_neighbours(spark):
         hit += len({f[1] for f in found} & set(best.tolist()))
     assert hit / (5 * len(got)) >= 0.9
     assert [f[1] for f in got[250]] == [0, 200, 201, 202, 203]
+    old, ann.BATCH_BYTES, ann.BLOCK_BYTES = (ann.BATCH_BYTES, ann.BLOCK_BYTES), 2000, 1 << 18  # several batches and blocks give the same
+    try:
+        again = ann.nearest(df.select("vec_id", "embedding", F.lit(1).alias("v"), F.lit(2).alias("score")), F.expr("vec_id % 50 = 0")).collect()
+        assert {(r["query_id"], r["rank"], r["vec_id"]) for r in again} == {(q, *f[:2]) for q, found in got.items() for f in found}
+    finally:
+        ann.BATCH_BYTES, ann.BLOCK_BYTES = old
+    huge = spark.createDataFrame([(None, [1.0, 2.0]), (0, [1e200, 0.0]), (1, [1e180, 1e180]), (2, [1e-200, 1e-201]), (3, [-1.0, 0.0])], "vec_id long, embedding array<double>")
+    assert [(r["vec_id"], round(r["score"], 9)) for r in ann.nearest(huge, F.expr("vec_id = 0"), k=2).orderBy("rank").collect()] == [(2, round(1 / 1.01**0.5, 9)), (1, round(0.5**0.5, 9))]
     few = spark.createDataFrame(rows[:3], "vec_id long, embedding array<float>")
     assert ann.nearest(few, F.expr("vec_id = 0")).count() == 2
     assert ann.nearest(few.limit(0), F.lit(True)).count() == 0
@@ -539,6 +576,31 @@ def test_resampling_keeps_the_target(spark):
     assert quality.resample(docs_of(spark, []), df).count() == 0
 
 
+def test_importance_weights_are_brute_force(spark):
+    """Log weights against sums over plain counts, and the draw against all keys sorted."""
+    rng = random.Random(29)
+    rows = [(i, text(rng, rng.randrange(0, 60)) + "!?") for i in range(80)] + ODD + [(950, "x" * 200_000)]
+    good = [0, 3, 7, 11, 50, 901]
+    grams = quality.Grams()
+    bags = [(i, Counter(grams.counts(t or "").tolist())) for i, t in rows]
+    raw, target = Counter(), Counter()
+    for i, b in bags:
+        raw.update(b)
+        if i in good:
+            target.update(b)
+    p = lambda c, k: log((c[k] + 1) / (c.total() + quality.BUCKETS))
+    want = [(i, b.total(), round(sum(n * (p(target, k) - p(raw, k)) for k, n in b.items()), 5)) for i, b in bags]
+    docs = docs_of(spark, rows)
+    ratio = quality.models(docs, spark.createDataFrame([(i,) for i in good], "doc_id long"))
+    got = quality.log_weights(docs, ratio).collect()
+    assert Counter((r["doc_id"], r["n_grams"], round(r["log_weight"], 5)) for r in got) == Counter(want)
+    labels = spark.createDataFrame([(i, 1) for i in good] + [(5, 0)], "doc_id long, quality int")
+    drawn = quality.resample(docs, labels, keep=0.5, seed=3).collect()
+    noise = {r["doc_id"]: r["g"] for r in docs.select("doc_id", quality.gumbel(F.col("doc_id"), 3).alias("g")).collect()}
+    keys = sorted(((w + noise[i], i) for i, _, w in want), key=lambda x: (-x[0], x[1]))[: round(0.5 * len(rows))]
+    assert Counter(r["doc_id"] for r in drawn) == Counter(i for _, i in keys)
+
+
 def test_top_k_is_exact(spark):
     rng = random.Random(25)
     rows = [(i, float(rng.randrange(50))) for i in range(500)]

@@ -1,9 +1,8 @@
 """Quality selection by importance resampling.
 
 Texts become bags of hashed n-grams (words and word pairs, in BUCKETS buckets). Two generative models, one of
-target text and one of the raw corpus, give each document an importance weight: its n-grams' mean log ratio, as so many
-n-grams of a document of usual length tell it (SCALE). Gumbel noise on the log weights and a top k make it a sample without
-replacement, in proportion to the weights.
+target text and one of the raw corpus, give each document its importance weight, the ratio of its probabilities under the two: the log weight is the sum of
+its n-grams' log ratios. Gumbel noise on the log weights and a top k make it a sample without replacement, in proportion to the weights.
 
 The raw model counts every document. The target model counts labelled documents of good quality, at most max_target of them by the hash of
 their id: a list that size is broadcast, so texts are not shuffled. The counts are two arrays per task. The k-th largest
@@ -27,7 +26,6 @@ from pyspark.sql import functions as F
 from .common import by_hash, checkpointed, slices, texts
 
 BUCKETS = 10_000
-SCALE = 100.0
 KEPT = 1_000_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
@@ -81,7 +79,7 @@ def log_weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
         grams = Grams()
         for keys, rows in slices(batches):
             found = [grams.counts(x.decode("utf-8", "replace")) for x in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([len(x) for x in found], pa.int64()), pa.array([float(held.value[x].mean() * SCALE) if len(x) else 0.0 for x in found], pa.float64())], names=["doc_id", "n_grams", "log_weight"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([len(x) for x in found], pa.int64()), pa.array([float(held.value[x].sum()) for x in found], pa.float64())], names=["doc_id", "n_grams", "log_weight"])
 
     return texts(docs).mapInArrow(run, "doc_id long, n_grams long, log_weight double")
 

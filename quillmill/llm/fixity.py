@@ -61,8 +61,8 @@ def audit(a: DataFrame, b: DataFrame, leaf_bytes: int = LEAF_BYTES, fanout: int
         if bad is not None:
             above = bad.select("file", F.col("node").alias("up"))
             x, y = (t.withColumn("up", F.floor(F.col("node") / fanout)).join(above, ["file", "up"], "left_semi").drop("up") for t in (x, y))
-        bad = x.join(y, ["file", "node"], "full").where(~F.col("x").eqNullSafe(F.col("y"))).select("file", "node")
-    bad = checkpointed(bad)
+        # Read by the next level from both sides: written once, so that the plan does not double with each level.
+        bad = checkpointed(x.join(y, ["file", "node"], "full").where(~F.col("x").eqNullSafe(F.col("y"))).select("file", "node"))
 
     def at(records: DataFrame, name: str) -> DataFrame:
         inside = records.withColumn("node", F.floor(F.col("offset") / leaf_bytes)).join(bad, ["file", "node"], "left_semi")

@@ -75,10 +75,14 @@ def head_noun(x: str) -> str:
     return f"CASE WHEN {short} = '' THEN '{facts.NOTHING}' ELSE {short} END"
 
 
-def fact_texts(x: str) -> str:
+def later_facts(x: str) -> str:
+    """The parts after the first, which may be blank where a part is marks alone."""
     parts = f"list_filter(list_transform(string_split_regex(coalesce({x}, ''), '[,;]| with | featuring '), lambda c: trim(c)), lambda c: c <> '')"
-    later = f"list_transform({parts}[2:], lambda c: lower({joined(ws("regexp_replace(c, '\\.+$', '')") + '[1:6]')}))"
-    return f"list_filter(list_concat([{head_noun(f"coalesce({x}, '')")}], {later})[1:8], lambda t: trim(t) <> '')"
+    return f"list_transform({parts}[2:], lambda c: lower({joined(ws("regexp_replace(c, '\\.+$', '')") + '[1:6]')}))"
+
+
+def fact_texts(x: str) -> str:
+    return f"list_filter(list_concat([{head_noun(f"coalesce({x}, '')")}], {later_facts(x)})[1:8], lambda t: trim(t) <> '')"
 
 
 def style_parts(x: str) -> str:
@@ -171,17 +175,17 @@ SELECTING = f"WITH {CAPS}, {INPUTS}, {CHOICES}, {VIEWS}"
 # --- prompts and verdicts
 
 PROMPTS = f"""prompts AS (
-  SELECT caps.doc_id, id, lang, source, ['short', 'medium', 'long'][1 + doc_id % 3] AS level, {joined(ws("replace(text, chr(10), ' ')") + '[1:12]')} AS prompt, labels.quality, labels.toxic
+  SELECT caps.doc_id, id, lang, source, ['short', 'medium', 'long'][1 + doc_id % 3] AS level, {joined(ws("replace(text, chr(10), ' ')"))} AS prompt, labels.quality, labels.toxic
   FROM caps LEFT JOIN labels USING (doc_id))"""
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A prompt a document: its first words; with its level, and its labels where it has some."""
+    """A prompt a document: its words; with its level, and its labels where it has some."""
     from ..functions.text import words
 
     rows = captions(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id", "left")
     level = F.get(F.array(F.lit("short"), F.lit("medium"), F.lit("long")), (F.col("doc_id") % 3).cast("int"))
-    return rows.select("doc_id", "id", "lang", "source", level.alias("level"), F.array_join(F.slice(words(F.col("text")), 1, 12), " ").alias("prompt"), "quality", "toxic")
+    return rows.select("doc_id", "id", "lang", "source", level.alias("level"), F.array_join(words(F.col("text")), " ").alias("prompt"), "quality", "toxic")
 
 
 def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,10 +93,10 @@ def running_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.running_best(rows, "o_custkey", "o_orderkey", "loss").select("o_custkey", "o_orderkey", "best_so_far", "is_best")
 
 
-@query("SELECT c_custkey, md5(c_custkey || '|' || c_mktsegment || '|' || c_nationkey) AS fingerprint FROM customer")
+@query("SELECT c_custkey, sha1('{\"c_custkey\":' || c_custkey || ',\"c_mktsegment\":\"' || c_mktsegment || '\",\"c_nationkey\":' || c_nationkey || '}') AS fingerprint FROM customer")
 def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A portable fingerprint of a row's inputs."""
-    return table(spark, sf_dir, "customer").select("c_custkey", F.md5(F.concat_ws("|", "c_custkey", "c_mktsegment", "c_nationkey").cast("binary")).alias("fingerprint"))
+    """A fingerprint of a row's inputs."""
+    return table(spark, sf_dir, "customer").select("c_custkey", incremental.fingerprint(F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_nationkey")).alias("fingerprint"))
 
 
 @query("SELECT conv_id, turn, text || ' indeed' AS raw_output, NULL AS error FROM conversations WHERE role = 'user' AND conv_id % 5 <> 0 UNION ALL SELECT conv_id, turn, NULL, 'ValueError: refused' FROM conversations WHERE role = 'user' AND conv_id % 5 = 0")

@@ -87,10 +87,10 @@ def persona_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("key", F.col("p")["vai"].alias("vai"), F.col("p")["giọng"].alias("giong"), (F.col("p")["ngôn ngữ"] == persona.ENGLISH).alias("english"))
 
 
-@query(f"{SELECTING}, {_LEVELS} SELECT id, detail_level, list_sum(list_transform(c, lambda x: {wc('x')}))::BIGINT AS spec_words FROM levels WHERE detail_level <> 'long'")
+@query(f"{SELECTING}, {_LEVELS} SELECT id, detail_level, list_sum(list_transform(c, lambda x: {wc('x')}))::BIGINT AS spec_words FROM levels")
 def writer_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a writer gets holds the checklist's words, no more and no less; repeats between groups aside, which the first two levels don't have here."""
-    rows = selection.assemble(evaluated(spark, sf_dir)).where("detail_level <> 'long'")
+    """What a writer gets holds the checklist's words, no more and no less, repeats aside."""
+    rows = selection.assemble(evaluated(spark, sf_dir))
     sub = F.struct(*[F.col(c) for c in rows.columns])
     spec = persona.content(sub)
     none = F.array().cast("array<string>")

@@ -1,10 +1,12 @@
+import tempfile
+
 import pytest
 from pyspark.sql import SparkSession
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "3g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "3g").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-")).config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

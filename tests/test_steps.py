@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmill import schemas
-from quillmill.operators import chat, gate, selection, split
+from quillmill.operators import chat, gate, prediction, selection, split
 from quillmill.plans import catalog, curation, incremental, scorers
 from quillmill.sources import chat_http, config, files
 from quillmill.streaming.resume import run_available
@@ -196,3 +196,46 @@ def test_stream_resumes(spark, tmp_path):
     spark.range(5, 8).write.mode("append").parquet(source)
     assert run_available(spark, source, "id long", step, sink, mark) == 3
     assert spark.read.parquet(sink).count() == 8
+
+
+def test_hard_stops_and_small_tools(spark, tmp_path):
+    """What fails a call rather than giving an empty result, and helpers of a run."""
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "id string, n int")
+    with pytest.raises(ValueError, match="none of|no id"):
+        incremental.matched(rows, spark.createDataFrame([("z", 1)], "id string, m int"))
+    with pytest.raises(ValueError, match="no valid row"):
+        chat.kept_rows(rows.withColumn("keep", F.lit(False)))
+    with pytest.raises(ValueError, match="at least one"):
+        prediction.variants(False, False)
+    assert prediction.variants(True, True) == ["adapter", "baseline"]
+    path = tmp_path / "x.jsonl"
+    path.write_text('{"id": "a"}\n\n{"id": \n')
+    with pytest.raises(ValueError, match=r"x\.jsonl:3: not JSON"):
+        files.read_jsonl(spark, str(path), "id string")
+    assert files.read_jsonl(spark, str(path), "id string", check=False).schema.simpleString() == "struct<id:string>"
+    assert json.loads(files.write_config(spark, {"seed": 3407, "prompts": {"short": "x"}}, str(tmp_path / "config")))["seed"] == 3407
+    assert [chat.as_ids(x) for x in ([1, 2], {"input_ids": [[3]]}, (4,))] == [[1, 2], [3], [4]]
+    own = spark.createDataFrame([("write", "short", "mine")], "stage string, level string, system string")
+    found = {(r["stage"], r["level"]): (r["system"], r["origin"]) for r in curation.instructions(spark, own).collect()}
+    assert found["write", "short"] == ("mine", "own") and found["judge", None][1] == "default" and len(found) == len(curation.INSTRUCTIONS)
+    asked = rows.select("id", chat.messages(F.lit("s"), F.col("id")).alias("messages"))
+    assert [r["role"] for r in scorers.preview(asked).collect()] == ["system", "user"]
+    made = rows.select(curation.write_messages(F.lit("s"), F.struct("id", F.lit(None).cast("string").alias("gone")), [("in", "out")]).alias("m")).first()["m"]
+    assert [m["content"] for m in made][:3] == ["s", "in", "out"] and json.loads(made[3]["content"]) in ({"id": "a"}, {"id": "b"})
+
+
+def test_scorers_batch(spark):
+    """A batch that fails is asked again row by row, so that only its bad rows have errors."""
+
+    class Many:
+        def __call__(self, messages):
+            if messages[-1]["content"] == "7":
+                raise ValueError("seven")
+            return messages[-1]["content"] + "!"
+
+        def many(self, lists):
+            return [self(m) for m in lists]
+
+    rows = spark.range(20).select("id", chat.messages(F.lit("s"), F.col("id").cast("string")).alias("messages"))
+    got = {r["id"]: (r["raw_output"], r["error"]) for r in scorers.score(rows, Many, "id", batch=6).collect()}
+    assert got == {i: (f"{i}!", None) if i != 7 else (None, "ValueError: seven") for i in range(20)}

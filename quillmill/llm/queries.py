@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from public_tokenizers import path as tokenizer_path
 
-from . import ann, decontaminate, fixity, linededup, lm, packing, piecewise, quality, simhash, tokencount, toxicity
+from . import ann, decontaminate, fixity, linededup, lm, packing, piecewise, quality, simhash, tokencount, toxicity, whitening
 from .common import table
 
 
@@ -61,6 +61,10 @@ def op10_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piecewise.neighbours(table(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ QUERIES = {
         op8_decontamination,
         op9_packing,
         op10_quality_resampling,
+        op11_whitening,
         op13_fingerprints,
     )
 }

@@ -163,9 +163,9 @@ def pack(
     rule: str = "norm",
     rounds: int = 3,
 ) -> DataFrame:
-    """pieces() with sequence_id and offset. By default a sequence takes a document for every four tokens of its size at most, and the attention cost of one full piece; residuals of tokens, documents
+    """pieces() with sequence_id and offset. By default a sequence takes as many documents as tokens, and the attention cost of one full piece, so that neither costs a sequence; residuals of tokens, documents
     and attention cost weigh 1, 0.5 and 0.5."""
-    capacity = (float(size), float(max_documents or max(1, size // 4)), float(max_attention or size * size))
+    capacity = (float(size), float(max_documents or size), float(max_attention or size * size))
     if max_attention and max_attention < size * size:
         raise ValueError("a full piece must fit an empty sequence")
     todo = checkpointed(pieces(docs, tokenizer, size, end).withColumn("seed", F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id())))

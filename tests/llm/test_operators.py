@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -390,6 +391,19 @@ def test_line_dedup_takes_any_columns_and_ids(spark):
             linededup.HOT_KEYS = old
 
 
+def test_line_dedup_is_linear_in_lines(spark):
+    """Documents of very many lost lines; a square of them would take minutes."""
+    def took(n):
+        one = "\n".join(f"line number {i} of a long document" for i in range(n))
+        docs = docs_of(spark, [(i, one) for i in range(3)])
+        began = time.perf_counter()
+        assert sorted((r["doc_id"], r["n_lines"], r["n_dropped"], len(r["text"])) for r in linededup.drop_lines(docs).collect()) == [(0, n, n, 0), (1, n, n, 0), (2, n, 0, len(one))]
+        return time.perf_counter() - began
+
+    took(1000)
+    assert took(80_000) < 3 * took(20_000) + 20
+
+
 # --- 5
 
 
@@ -546,6 +560,14 @@ def test_packing(spark):
     assert packing.pack(docs_of(spark, []), TOKENIZER).count() == 0
 
 
+def test_short_documents_fill_sequences(spark):
+    """No constraint but tokens costs a sequence, unless one is asked for."""
+    none = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))
+    for limit, want in ((None, 2), (1000, 6)):
+        got = packing.pack(none, TOKENIZER, max_documents=limit).groupBy("sequence_id").agg(F.count("*").alias("n"), F.count_distinct("offset").alias("places")).collect()
+        assert len(got) == want and all(r["n"] == r["places"] <= (limit or 4096) for r in got)
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_constraint_holds(rule):
     rng = np.random.default_rng(2)

@@ -1,4 +1,4 @@
-"""JSON expressions. What has a fixed depth is JVM-side; walks of any depth are Arrow-batched."""
+"""JSON expressions. Walks of any depth are relations (functions.walk), but where the source's own order of keys must survive."""
 
 from __future__ import annotations
 
@@ -56,7 +56,7 @@ def chat_content(response: Column) -> Column:
     return F.get_json_object(response, "$.choices[0].message.content")
 
 
-# --- walks of any depth
+# --- texts whose order of keys stays
 
 
 def _udf(of: Callable, kind: T.DataType = T.StringType()):
@@ -80,28 +80,8 @@ def without_keys(value, keys=DROPPED_KEYS):
     return [without_keys(v, keys) for v in value] if isinstance(value, list) else value
 
 
-def keys_in(value) -> set[str]:
-    if isinstance(value, dict):
-        return set(value).union(*map(keys_in, value.values())) if value else set()
-    return set().union(*map(keys_in, value)) if isinstance(value, list) else set()
-
-
-def null_places(value, place: str = "") -> list[str]:
-    if value is None:
-        return [place or "<root>"]
-    if isinstance(value, dict):
-        return [p for k, v in value.items() for p in null_places(v, f"{place}.{k}" if place else k)]
-    return [p for i, v in enumerate(value) for p in null_places(v, f"{place}[{i}]")] if isinstance(value, list) else []
-
-
 #: JSON text without boxes and palettes at any depth, source order kept, minified, characters literal.
 drop_keys = _udf(lambda t: json.dumps(without_keys(_loaded(t)), ensure_ascii=False, separators=(",", ":")))
-#: The paths of nulls, a.b[2].c.
-null_paths = _udf(lambda t: null_places(_loaded(t)), T.ArrayType(T.StringType()))
-#: All keys at any depth, sorted.
-all_keys = _udf(lambda t: sorted(keys_in(_loaded(t))), T.ArrayType(T.StringType()))
-
-
 def reordered(order: list[str]):
     """An expression maker: an object's known keys in that order, then the others as they come."""
     return _udf(lambda t: json.dumps(_ordered(_loaded(t), order), ensure_ascii=False, separators=(",", ":")))

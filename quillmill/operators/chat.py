@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.plan import bound, small
+from ..sources.files import scratch, write_guarded
 
 IGNORED = -100
 PAD_TO = 8
@@ -68,6 +70,31 @@ def tokenised(encode: Callable[[str], list[int]]) -> Callable[[Column], Column]:
     return run
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    """One for all tasks that a Python worker runs, with its cache of words."""
+    import os
+
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
+    return Tokenizer.from_file(path)
+
+
+def token_ids(path: str) -> Callable[[Column], Column]:
+    """The ids of a tokenizer file, as an expression maker: whole Arrow batches go to the tokenizer, marks of its own are plain text and none are added."""
+
+    @F.pandas_udf("array<int>")
+    def run(texts: pd.Series) -> pd.Series:
+        tokenizer = _tokenizer(path)
+        tokenizer.encode_special_tokens = True
+        out, there = pd.Series([None] * len(texts), index=texts.index, dtype=object), texts.notna()
+        out[there] = pd.Series([as_ids(x) for x in tokenizer.encode_batch(texts[there].tolist(), add_special_tokens=False)], index=texts.index[there], dtype=object)
+        return out
+
+    return run
+
+
 def masked(prefix: Column, full: Column) -> Column:
     """struct<input_ids, attention_mask, labels>: only what follows the prefix is learned. The full sequence must begin with the prefix."""
     n = F.size(prefix)
@@ -131,12 +158,12 @@ def encode_rows(rows: DataFrame, ids: Callable[[Column], Column], target_error:
     return out.withColumn("n_tokens", F.size("input_ids")).withColumn("keep", F.col("error").isNull() & (F.col("n_tokens") <= most))
 
 
-def kept_rows(encoded: DataFrame) -> DataFrame:
-    """Those to keep; none at all fails the call."""
-    out = encoded.where("keep")
-    if out.isEmpty():
-        raise ValueError("no valid row remains after validation and length")
-    return out
+def kept_rows(encoded: DataFrame, path: str | None = None) -> tuple[DataFrame, dict]:
+    """Those to keep, written, and how many were valid, invalid and too long, counted in the same job, so that rows are encoded once; none at all fails the call and leaves nothing."""
+    path, bad = path or scratch(encoded.sparkSession), F.col("error").isNotNull()
+    counts = {"valid": F.count_if("keep"), "invalid": F.count_if(bad), "too_long": F.count_if(~bad & ~F.col("keep"))}
+    seen = write_guarded(encoded, path, counts, lambda n: None if n["valid"] else "no valid row remains after validation and length", F.col("keep"))
+    return encoded.sparkSession.read.parquet(path), seen
 
 
 def longest(encoded: DataFrame, length: str = "n_tokens") -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import extracted_object
 from ..functions.text import composite_key
+from . import split
 
 
 def chosen(rows: DataFrame, modes: list[str] | None = None, limit: int | None = None, order: str = "ord") -> DataFrame:
@@ -55,10 +56,31 @@ def each_variant(rows: DataFrame, names: list[str], run: Callable[[DataFrame, st
     return out
 
 
-def merge(tests: DataFrame, predictions: DataFrame, order: str = "ord") -> DataFrame:
-    """Test rows with their prediction, those without one left out, in test order."""
+def merge(tests: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Test rows with their prediction; those without one are left out."""
     held = predictions.withColumn("key", composite_key(F.col("id"), F.col("mode"))).drop("id", "mode")
-    return tests.withColumn("key", composite_key(F.col("id"), F.col("mode"))).join(held, "key").orderBy(order)
+    return tests.withColumn("key", composite_key(F.col("id"), F.col("mode"))).join(held, "key")
+
+
+def write_in_order(rows: DataFrame, path: str, order: list[str], per_file: int = 100_000) -> DataFrame:
+    """Writes rows as JSON lines in an order, so many a file: folder file=0 holds the first, and each row its place in it. Gives the manifest, (file, n_rows, first, last), which is
+    written beside the files. Rows are numbered by ranges, and a file is written by a task of its own."""
+    spark = rows.sparkSession
+    placed = split.numbered(rows, order, "_ord").withColumns({"file": F.floor(F.col("_ord") / per_file), "place": F.col("_ord") % per_file})
+    placed.drop("_ord").repartition("file").sortWithinPartitions("file", "place").write.mode("overwrite").partitionBy("file").json(path)
+    manifest = spark.read.schema("file long, place long").json(path).groupBy("file").agg(F.count("*").alias("n_rows"), F.min("place").alias("first"), F.max("place").alias("last"))
+    manifest.coalesce(1).write.json(f"{path}/_manifest")
+    return spark.read.schema("file long, n_rows long, first long, last long").json(f"{path}/_manifest")
+
+
+def read_in_order(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What write_in_order wrote, with file and place; a file whose rows are not what the manifest says fails the job."""
+    rows = spark.read.schema(f"{schema}, place long, file long").json(path)
+    said = spark.read.schema("file long, n_rows long").json(f"{path}/_manifest")
+    wrong = rows.groupBy("file").count().join(said, "file", "full").where("count is null or n_rows is null or count <> n_rows").limit(1).collect()
+    if wrong:
+        raise ValueError(f"file {wrong[0]['file']} of {path} has {wrong[0]['count']} rows, not {wrong[0]['n_rows']}")
+    return rows
 
 
 def merge_counts(tests: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import composite_key, seeded_rank
+from ..sources.files import scratch, write_guarded
 from .caption import label_text, leftover_ids, without_ids
 
 SPLITS = ("train", "val", "test")
@@ -76,6 +77,15 @@ def finalise(rows: DataFrame, target: str = "target_json") -> DataFrame:
     return rows.withColumn(target, without_ids(F.col(target)))
 
 
+def finalised(rows: DataFrame, target: str = "target_json", path: str | None = None) -> tuple[DataFrame, dict]:
+    """finalise() written, and how many ids were stripped and remain, counted in the same job. One that remains fails the call and leaves nothing."""
+    path = path or scratch(rows.sparkSession)
+    counts = {"rows": F.count(F.lit(1)), "stripped": F.coalesce(F.sum("_had"), F.lit(0)), "remaining": F.coalesce(F.sum("_left"), F.lit(0))}
+    out = finalise(rows.withColumn("_had", leftover_ids(F.to_json(target))), target).withColumn("_left", leftover_ids(label_text(F.col(target))))
+    seen = write_guarded(out, path, counts, lambda n: f"{n['remaining']} ids remain in the labels" if n["remaining"] else None, drop=["_had", "_left"])
+    return rows.sparkSession.read.parquet(path), seen
+
+
 def split_report(rows: DataFrame, split: str = "split", mode: str = "mode", group: str = "id") -> DataFrame:
     """Per split: rows, rows of each mode, distinct groups."""
     return rows.groupBy(split).agg(F.count("*").alias("n_rows"), *(F.count_if(F.col(mode) == m).alias(f"n_{m}") for m in ("short", "medium", "long")), F.count_distinct(group).alias("n_images"))
@@ -99,11 +109,14 @@ def strided_shard(df: DataFrame, order: str, world: int) -> DataFrame:
 
 
 def numbered(df: DataFrame, order: list[str], name: str = "ord") -> DataFrame:
-    """Rows numbered from 0 in an order, partition by partition: ranges are sorted apart, their sizes summed, and no task gets all rows."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    sizes = ranged.groupBy("_part").count().withColumn("_before", F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return ranged.withColumn("_in", within).join(F.broadcast(sizes.select("_part", F.coalesce("_before", F.lit(0)).alias("_before"))), "_part").withColumn(name, (F.col("_before") + F.col("_in")).cast("long")).drop("_part", "_in", "_before")
+    """Rows numbered from 0 in an order: ranges are sorted apart and written once, as another run of them may cut them elsewhere; then their sizes are summed. No task gets all rows."""
+    spark, path = df.sparkSession, scratch(df.sparkSession)
+    df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}).write.parquet(path)
+    ranged = spark.read.parquet(path)
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))  # a row for each partition
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_part", (before - F.col("_first")).alias("_shift"))
+    return ranged.join(F.broadcast(starts), "_part").withColumn(name, F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift")
 
 
 def key(row_id: Column, level: Column) -> Column:

@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.files import scratch, write_guarded
+
+
+def canonical(text: Column) -> Column:
+    """JSON text with the keys of every object sorted, without white space, and decimals without zeros at their end; text that does not parse fails the job."""
+    return F.to_json(F.parse_json(text))
+
 
 def fingerprint(*parts: Column) -> Column:
-    """Of what a result depends on; limits that only judge results are left out, so that changing them keeps results."""
-    return F.sha1(F.to_json(F.struct(*parts)).cast("binary"))
+    """Of what a result depends on, whatever the order of fields at any depth; limits that only judge results are left out, so that changing them keeps results."""
+    return F.sha1(canonical(F.to_json(F.struct(*parts))).cast("binary"))
 
 
 def todo(rows: DataFrame, cache: DataFrame, keys: list[str], stamp: str = "fingerprint", retry: Column | None = None) -> DataFrame:
@@ -28,12 +35,13 @@ def newest(cache: DataFrame, keys: list[str], better: list[Column]) -> DataFrame
     return cache.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*better)).alias("_best")).select(*keys, *(F.col(f"_best.{c}").alias(c) for c in cols))
 
 
-def matched(rows: DataFrame, others: DataFrame, key: str = "id") -> tuple[DataFrame, int]:
-    """Rows with the others' columns by key, and how many had none there; no match at all fails the call. The last of the others that share a key counts as it comes: make them unique first."""
-    out = rows.join(others, key)
-    if out.isEmpty():
-        raise ValueError(f"no {key} of the rows is among the others")
-    return out, rows.join(others, key, "left_anti").count()
+def matched(rows: DataFrame, others: DataFrame, key: str = "id", path: str | None = None) -> tuple[DataFrame, int]:
+    """Rows with the others' columns by key, written in the job that counts how many had none there; no match at all fails the call and leaves nothing. The last of the others that share a key counts as it comes: make them unique first."""
+    out = rows.join(others.withColumn("_there", F.lit(True)), key, "left")
+    there = F.coalesce(F.col("_there"), F.lit(False))
+    path = path or scratch(rows.sparkSession)
+    seen = write_guarded(out, path, {"matched": F.count_if(there), "missing": F.count_if(~there)}, lambda n: None if n["matched"] else f"no {key} of the rows is among the others", there, drop=["_there"])
+    return rows.sparkSession.read.parquet(path), seen["missing"]
 
 
 def restricted(rows: DataFrame, sampled: DataFrame, key: str = "id") -> DataFrame:
@@ -51,10 +59,6 @@ def failures_left(failures: DataFrame, rows: DataFrame, keys: list[str]) -> Data
     return failures.join(rows.select(*keys).distinct(), keys, "left_anti")
 
 
-def append(results: DataFrame, path: str) -> None:
-    results.write.mode("append").parquet(path)
-
-
 def usable_levels(levels: Column, order: tuple[str, ...] = ("short", "medium", "long")) -> Column:
     """A cached entry's levels in order; entries from before levels were noted have all."""
     every = F.array(*map(F.lit, order))

@@ -232,10 +232,3 @@ def extract_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = table(spark, sf_dir, "pages").select("page_id", jsonx.extracted_object(raw).alias("x"))
     return rows.select("page_id", "x.json", "x.error")
-
-
-@query()
-def null_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paths of nulls, and keys, at any depth of JSON documents."""
-    rows = captions(spark, sf_dir).select("id", F.to_json(cap(), {"ignoreNullFields": "false"}).alias("json"))
-    return rows.select("id", jsonx.null_paths("json").alias("nulls"), jsonx.all_keys("json").alias("keys"))

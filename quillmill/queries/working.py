@@ -103,17 +103,21 @@ def topic_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.with_hint(rows, known).select("n_nationkey", "id", "goi_y_chu_de.thuat_ngu", F.col("goi_y_chu_de.ten_thu_muc").alias("ten"))
 
 
-@query("SELECT * FROM (VALUES ('short', 'Own words.', 'file', true), ('medium', 'Some.', 'default', false), ('long', 'All.', 'default', false)) AS t(level, system, origin, drifted)")
+_PROMPT = "(SELECT upper(left(c_mktsegment, 1)) || lower(c_mktsegment[2:]) || '.' FROM customer WHERE c_custkey = 1)"
+
+
+@query(f"SELECT c_custkey, level, CASE WHEN level = 'short' THEN {_PROMPT} ELSE 'All.' END AS system, CASE WHEN level = 'short' THEN 'file' ELSE 'default' END AS origin, level = 'short' AND {_PROMPT} <> 'Few.' AS drifted FROM (SELECT c_custkey, ['short', 'long'][1 + c_custkey % 2] AS level FROM customer)")
 def prompt_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompts by level from a folder, the default where it has none, and which of them drifted from the default."""
-    folder = files.scratch(spark)
-    spark.createDataFrame([("Own words.",)], "value string").coalesce(1).write.text(folder)
+    """Each customer's prompt by level: from a folder, where one is written from the table, the default where it has none, and whether it drifted from the default."""
+    folder, customers = files.scratch(spark), table(spark, sf_dir, "customer")
+    customers.where("c_custkey = 1").select(F.concat(F.initcap("c_mktsegment"), F.lit("."))).coalesce(1).write.text(folder)
     held = spark.read.text(folder).inputFiles()[0].rpartition("/")[2].removesuffix(".txt")
-    defaults = {held: "Few.", "medium": "Some.", "long": "All."}
+    defaults = {held: "Few.", "long": "All."}
     read = topics.system_prompts(spark, folder, defaults)
     gone = chat.drifted(read, spark.createDataFrame(list(defaults.items()), "level string, system string")).select("level", F.lit(True).alias("d"))
-    name = F.when(F.col("level") == held, "short").otherwise(F.col("level"))
-    return read.join(gone, "level", "left").select(name.alias("level"), F.trim(F.regexp_replace("system", "\\n", "")).alias("system"), "origin", F.coalesce("d", F.lit(False)).alias("drifted"))
+    prompts = read.join(gone, "level", "left").select("level", F.trim(F.regexp_replace("system", "\\n", "")).alias("system"), "origin", F.coalesce("d", F.lit(False)).alias("drifted"))
+    rows = customers.select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, held).otherwise("long").alias("level"))
+    return chat.with_system(rows, prompts, "level").join(F.broadcast(prompts.drop("system")), "level").select("c_custkey", F.when(F.col("level") == held, "short").otherwise("long").alias("level"), "system", "origin", "drifted")
 
 
 # --- caches
@@ -191,7 +195,7 @@ def encode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_TEMPLATE} SELECT count(*) AS n, max(n_masked + n_learned)::INT AS longest FROM enc WHERE error IS NULL AND n_masked + n_learned <= 200")
 def longest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.longest(chat.kept_rows(encoded_rows(spark, sf_dir)))
+    return chat.longest(chat.kept_rows(encoded_rows(spark, sf_dir))[0])
 
 
 _FAULTS = ("NULL", "'not JSON'", "'not an object'", "'lacks style_description'", "'lacks background or elements'", "'has nulls'", "'has ids'", "'has boxes or palettes'")
@@ -244,7 +248,7 @@ def correct_and_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = decided(spark, sf_dir).where("not decision.passed").select("doc_id", F.col("prompt").alias("user_prompt"))
     ask = lambda c: chat.messages(F.col("doc_id").cast("string"), c)
     verdict = lambda raw: gate.decide(gate.missing_items(F.get_json_object(raw, "$.missing")), gate.extra_items(F.get_json_object(raw, "$.extra")))
-    attempts = scorers.corrected_and_judged(bad, writer, judge, "doc_id", ask(F.col("user_prompt")), ask, verdict, hold=lambda d: d)
+    attempts = scorers.corrected_and_judged(bad, writer, judge, "doc_id", ask(F.col("user_prompt")), ask, verdict)
     good, final = gate.after_correction(bad, attempts.where("error is null").drop("error"), ["doc_id"])
     good = good.select("doc_id", "user_prompt", F.lit(None).cast("string").alias("attempted_prompt"), F.lit(True).alias("recovered"), F.lit(None).cast("string").alias("why"))
     return good.unionByName(final.select("doc_id", "user_prompt", "attempted_prompt", F.lit(False).alias("recovered"), F.array_join("reject_after_retry.reasons", "; ").alias("why")))
@@ -281,7 +285,7 @@ def repair_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), chat.messages(F.col("o_orderkey").cast("string"), F.lit("go")).alias("messages"))
     check = lambda raw: F.when(F.char_length(raw) < 5, F.array(F.lit("short"))).otherwise(F.array().cast("array<string>"))
-    done = scorers.repaired(rows, make, "id", check, lambda e: chat.repair_message(e), hold=lambda d: d)
+    done = scorers.repaired(rows, make, "id", check, chat.repair_message)
     return done.select("id", F.col("attempt").cast("long").alias("attempt"), F.array_join("errors", ";").alias("errors"))
 
 
@@ -312,7 +316,7 @@ def chat_client(spark: SparkSession, sf_dir: str) -> DataFrame:
         return chat_http.client("http://model.invalid/v1", "m", send=send, sleep=lambda s: None)
 
     rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), chat.messages(F.lit("s"), F.col("c_custkey").cast("string")).alias("messages"))
-    return scorers.score(rows, make, "id")
+    return scorers.score(rows, make, "id", workers=4)
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name WHEN c_custkey % 3 = 1 THEN c_mktsegment ELSE '' END AS required, CASE WHEN c_custkey % 4 = 0 THEN '-' ELSE printf('%.1f%%', (c_custkey % 100)::DOUBLE) END AS rate FROM customer")

@@ -5,23 +5,25 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import is_object
 from ..functions.plan import small
+from . import store
+from .store import exists
 
 MAX_ERRORS = 500
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(id, text): a row for each .txt or .json file right in a folder, by path, the whole file one record, its stem the id. No files fail the call."""
+    """(id, text): a row for each .txt or .json file right in a folder, the whole file one record, its stem the id. No files fail the call, which lists names and reads no text."""
     read = spark.read.text(folder, wholetext=True, pathGlobFilter="*.{txt,json}")
-    out = read.select(F.col("_metadata.file_path").alias("path"), F.regexp_replace(F.col("_metadata.file_name"), "\\.(txt|json)$", "").alias("id"), F.col("value").alias("text")).orderBy("path").select("id", "text")
-    if out.isEmpty():
+    if not read.inputFiles():
         raise ValueError(f"no .txt or .json files in {folder}")
-    return out
+    return read.select(F.regexp_replace(F.col("_metadata.file_name"), "\\.(txt|json)$", "").alias("id"), F.col("value").alias("text"))
 
 
 def parsed(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -45,10 +47,24 @@ def bad_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, check: bool = True) -> DataFrame:
-    """Strict: blank lines are skipped. A malformed line fails the call with its path and line number; unchecked, which saves a pass, it fails the job that meets it."""
-    if check and (bad := bad_lines(spark, path).orderBy("path").first()):
-        raise ValueError(f"{bad['path']}:{bad['line_no']}: not JSON: {bad['text']}")
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    """Strict: blank lines are skipped. A malformed line fails the call with its path and line number; unchecked, it fails the job that meets it.
+
+    Checked, the rows are parsed and written in one pass over the file, which also counts what does not parse; only if there is such a line are lines numbered.
+    """
+    if not check:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    held = scratch(spark)
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    rows = lines.select(F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("x")).select("x.*")
+
+    def why(seen: dict) -> str | None:
+        if not seen["bad"]:
+            return None
+        bad = bad_lines(spark, path).orderBy("path").first()
+        return f"{bad['path']}:{bad['line_no']}: not JSON: {bad['text']}" if bad else "a line does not fit the schema"
+
+    write_guarded(rows, held, {"bad": F.count_if(F.col("_corrupt_record").isNotNull())}, why, drop=["_corrupt_record"])
+    return spark.read.parquet(held)
 
 
 def read_jsonl_lenient(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -70,13 +86,25 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
 
 def write_jsonl(df: DataFrame, path: str) -> int:
     """Overwrites; the number of rows written, counted while they are."""
-    from pyspark.sql import Observation
-
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(path)
     return seen.get["n"]
 
 
+def write_guarded(df: DataFrame, path: str, counts: dict[str, Column], refuse: Callable[[dict], str | None], keep: Column | None = None, drop: list[str] | None = None, kind: str = "parquet") -> dict:
+    """Writes df (where keep holds, without the columns to drop) and gives counts of all its rows, taken in the same job. If refuse finds a reason in them the call fails
+    with it, and what path held before stays."""
+    spark, seen, draft = df.sparkSession, Observation(), f"{path.rstrip('/')}-draft-{uuid.uuid4().hex}"
+    rows = df.observe(seen, *(c.alias(n) for n, c in counts.items()))
+    (rows if keep is None else rows.where(keep)).drop(*(drop or [])).write.format(kind).save(draft)
+    found = seen.get
+    if why := refuse(found):
+        store.remove(spark, draft)
+        raise ValueError(why)
+    store.replace(spark, draft, path)
+    return found
+
+
 def write_split(df: DataFrame, path: str, split: str = "split") -> None:
     """One folder for each split."""
     df.write.mode("overwrite").partitionBy(split).json(path)
@@ -104,11 +132,6 @@ def scratch(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/scratch-{uuid.uuid4().hex}"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-
-
 def write_report(report: DataFrame, path: str) -> str:
     """A report of one row as JSON text, pretty, and written beside the data."""
     row = report.limit(1).toJSON().first() or "{}"

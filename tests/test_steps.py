@@ -7,7 +7,6 @@ from quillmill import schemas
 from quillmill.operators import chat, gate, prediction, selection, split
 from quillmill.plans import catalog, curation, incremental, scorers
 from quillmill.sources import chat_http, config, files
-from quillmill.streaming.resume import run_available
 
 INPUT = {
     "high_level_description": "h",
@@ -131,7 +130,7 @@ def test_repair_rounds_shrink(spark):
         return lambda messages: "good" if len(messages) > 3 or messages[0]["content"] == "easy" else "bad"
 
     rows = spark.createDataFrame([("1", [("user", "easy")]), ("2", [("user", "hard")]), ("3", [("user", "hard")])], f"k string, messages {schemas.MESSAGES}")
-    out = scorers.repaired(rows, make, "k", lambda raw: F.when(raw == "bad", F.array(F.lit("is bad"))).otherwise(F.array().cast("array<string>")), chat.repair_message, 3, hold=lambda d: d.cache())
+    out = scorers.repaired(rows, make, "k", lambda raw: F.when(raw == "bad", F.array(F.lit("is bad"))).otherwise(F.array().cast("array<string>")), chat.repair_message, 3)
     got = {r["k"]: (r["raw_output"], r["attempt"]) for r in out.collect()}
     assert got == {"1": ("good", 1), "2": ("good", 3), "3": ("good", 3)}
 
@@ -188,23 +187,13 @@ def test_incremental(spark):
     assert {r["k"]: r["n"] for r in best.collect()} == {1: 3, 2: 3, 3: 2}
 
 
-def test_stream_resumes(spark, tmp_path):
-    source, sink, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
-    spark.range(5).write.parquet(source)
-    step = lambda df: df.withColumn("y", F.col("id") * 2)
-    assert run_available(spark, source, "id long", step, sink, mark) == 5
-    spark.range(5, 8).write.mode("append").parquet(source)
-    assert run_available(spark, source, "id long", step, sink, mark) == 3
-    assert spark.read.parquet(sink).count() == 8
-
-
 def test_hard_stops_and_small_tools(spark, tmp_path):
     """What fails a call rather than giving an empty result, and helpers of a run."""
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "id string, n int")
     with pytest.raises(ValueError, match="none of|no id"):
         incremental.matched(rows, spark.createDataFrame([("z", 1)], "id string, m int"))
     with pytest.raises(ValueError, match="no valid row"):
-        chat.kept_rows(rows.withColumn("keep", F.lit(False)))
+        chat.kept_rows(rows.select(F.lit("bad").alias("error"), F.lit(False).alias("keep")))
     with pytest.raises(ValueError, match="at least one"):
         prediction.variants(False, False)
     assert prediction.variants(True, True) == ["adapter", "baseline"]

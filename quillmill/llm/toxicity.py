@@ -7,13 +7,13 @@ ORDER letters that begin at one of STARTS letters in a row and span at most SPAN
 
 Training is on the sentences of labelled documents. A sentence inherits its document's label, which says only that some
 sentence of a toxic document insults; so the examples are taken from the sentences of toxic documents where a run of
-RUN letters stands that tells toxic documents from clean ones (telling_runs). Windows of clean documents'
+one of LENGTHS letters stands that tells toxic documents from clean ones (telling_runs). Windows of clean documents'
 sentences are the negatives: a bounded sample of them at first, then the largest values that a first machine gives to clean
 sentences. A squared-hinge machine is fitted on the Nystroem map of LANDMARKS windows. As the kernel's features can be
 written out, the machine folds into one table of weights by subsequence, so every window of every sentence of a whole text is valued exactly.
 
-A document's evidence is the largest values of its two worst sentences, and a logistic curve fitted on the training documents
-turns these into a score. Labels are taken from at most max_toxic and max_clean labelled documents, chosen by the hash of their
+A document's evidence is the largest values of its two worst sentences and, against it, how long its text is, as a long one holds any
+run of letters sooner by chance. A logistic curve fitted on the training documents turns these into a score. Labels are taken from at most max_toxic and max_clean labelled documents, chosen by the hash of their
 id; examples from these are bounded by max_windows; everything else covers all rows.
 
 Defined results: null and empty texts, and those without letters, get the score of a text without any sentence; with no labelled toxic document
@@ -36,22 +36,30 @@ from .common import ASCII_SPACE, by_hash, checkpointed, slices, text_key, texts
 
 ORDER, SPAN, DECAY = 4, 7, 0.7
 #: Starts of a window: it takes the subsequences that begin at one of so many letters in a row.
-STARTS = 4
+STARTS = 6
 WINDOW = STARTS + SPAN - 1
-LANDMARKS = 256
-#: Letters are 1 to 26, others than ASCII by their last bytes 27 to 30, an edge of words 31; 0 stands between sentences.
-EDGE, CODES = 31, 32
-#: Letters of a run that may tell toxic documents from clean ones.
-RUN = 5
+LANDMARKS = 512
+#: Letters are 1 to 26, those of ACCENTED 27 to 30 and 32 to 43, any other 44, an edge of words 31; 0 stands between sentences.
+EDGE, OTHER, CODES = 31, 44, 48
+# Frequent letters beyond ASCII, each with a code of its own, capitals with them.
+ACCENTED = "äöüßéèêçàñáíóúôî"
+#: Letters of runs that may tell toxic documents from clean ones: where short ones stand in clean words as well, a longer one may not.
+LENGTHS = (5, 7, 9, 11)
+RUN = LENGTHS[0]
 SIDE = 3
+#: Bounds of a sentence's decision value as evidence.
+LOWEST, HIGHEST = -2.0, 4.0
 PART = 1 << 22
 #: Letters whose windows are valued at once: so many that the arrays stay in a processor's cache.
 CHUNK = 1 << 14
 COMBOS = [(c, DECAY ** (c[-1] + 1 - ORDER)) for c in combinations(range(1, SPAN), ORDER - 1)]
-_STOP, _ROW, _NONE = 32, 33, 255
+_STOP, _ROW, _NONE = 60, 61, 255
 _LETTER = np.full(256, _NONE, np.uint8)
 _LETTER[65:91] = _LETTER[97:123] = np.arange(1, 27)
-_LETTER[0x80:0xC0] = 27 + np.arange(64) % 4
+_LETTER[0x80:0xC0] = OTHER
+for _i, _c in enumerate(ACCENTED):  # of two bytes, the last tells the letter; a capital's is lower by 32
+    for _b in {_c.encode()[1], _c.upper().encode()[1] if _c != "ß" else _c.encode()[1]}:
+        _LETTER[_b] = 27 + _i + (_i > 3)
 _LETTER[list(ASCII_SPACE.encode())] = EDGE
 _LETTER[10] = 0
 _LETTER[list(b".!?")] = _STOP
@@ -73,6 +81,10 @@ def parts_of(rows: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return parts, np.array(owner, np.int64)
 
 
+def _is_letter(c: np.ndarray) -> np.ndarray:
+    return (c > 0) & (c < CODES) & (c != EDGE)
+
+
 def sentences(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The letters of all rows' sentences, each between two edges and with zeros after it; where each sentence begins; and its row.
 
@@ -85,11 +97,11 @@ def sentences(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for lead, n in ((0xC2, 1), (0xE2, 2), (0xF0, 3)):  # signs beyond ASCII, not letters
         at = np.flatnonzero(raw[:-3] == lead)
         for k in range(1, n + 1):
-            c[at[c[at + k - (at + k >= len(c))] < EDGE] + k] = _NONE
+            c[at[_is_letter(c[at + k - (at + k >= len(c))])] + k] = _NONE
     stop = np.flatnonzero(c == _STOP)
     over = lambda x: (x == EDGE) | (x == 0) | (x == _ROW)
     one = (stop < 2) | over(c[np.maximum(stop - 2, 0)])
-    one &= (stop > 0) & (c[np.maximum(stop - 1, 0)] < EDGE) & (c[np.maximum(stop - 1, 0)] > 0)
+    one &= (stop > 0) & _is_letter(c[np.maximum(stop - 1, 0)])
     c[stop] = np.where(over(c[stop + 1]) & ~one, 0, _NONE)
     c = c[c != _NONE]
     before = np.concatenate([[_ROW], c[:-1]])
@@ -165,26 +177,26 @@ def worst(rows: list[bytes], weights: np.ndarray, windows: bool = False) -> tupl
 
 
 def top_sentences(docs: DataFrame, weights: np.ndarray, windows: bool = False) -> DataFrame:
-    """(doc_id, s1, s2, windows): values of each row's two worst sentences, null where there is none, and their worst windows, if asked for."""
+    """(doc_id, s1, s2, size, windows): values of each row's two worst sentences, null where there is none, the bytes of its text, and these sentences' worst windows, if asked for."""
     held = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, rows in slices(batches):
             tops, found = worst(rows, held.value, windows)
             columns = [pa.array(tops[:, k], pa.float64(), from_pandas=True) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *columns, pa.array(found, pa.list_(pa.binary()))], names=["doc_id", "s1", "s2", "windows"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *columns, pa.array(map(len, rows), pa.int64()), pa.array(found, pa.list_(pa.binary()))], names=["doc_id", "s1", "s2", "size", "windows"])
 
-    return docs.mapInArrow(run, "doc_id long, s1 double, s2 double, windows array<binary>")
+    return docs.mapInArrow(run, "doc_id long, s1 double, s2 double, size long, windows array<binary>")
 
 
 # --- training
 
 
-def runs(codes: np.ndarray) -> np.ndarray:
-    """The number of the run that begins at each letter; -1 where a sentence ends within it."""
-    n = max(0, len(codes) - RUN + 1)
+def runs(codes: np.ndarray, length: int) -> np.ndarray:
+    """The number of the run that begins at each letter; -1 where a sentence ends within it. As no code in a run is zero, runs of unlike lengths have unlike numbers."""
+    n = max(0, len(codes) - length + 1)
     number, whole = np.zeros(n, np.int64), np.ones(n, bool)
-    for k in range(RUN):
+    for k in range(length):
         part = codes[k : k + n]
         number = number * CODES + part
         whole &= part > 0
@@ -200,7 +212,8 @@ def counted_runs(docs: DataFrame, among: np.ndarray | None = None) -> DataFrame:
         for _, rows in slices(batches, 2048):
             seen = []
             for x in rows:
-                found = np.unique(runs(sentences([x])[0]))
+                codes = sentences([x])[0]
+                found = np.unique(np.concatenate([runs(codes, n) for n in LENGTHS]))
                 seen.append(found if wanted is None else found[np.isin(found, wanted)])
             number, n = np.unique(np.concatenate(seen), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(n.astype(np.int64))], names=["run", "n"])
@@ -217,12 +230,15 @@ def run_hits(docs: DataFrame, among: np.ndarray) -> DataFrame:
         for _, rows in slices(batches):
             places, around = [], []
             for x in rows:
-                codes = sentences([x])[0]
-                number = runs(codes)
-                at = np.flatnonzero(np.isin(number, wanted))
-                padded = np.concatenate([np.zeros(SIDE, np.uint8), codes, np.zeros(RUN + SIDE, np.uint8)])
-                places.append(np.searchsorted(wanted, number[at]).tolist())
-                around.append([xxhash.xxh64_intdigest(padded[p : p + RUN + 2 * SIDE].tobytes()) - (1 << 63) for p in at.tolist()])
+                codes, place, seen = sentences([x])[0], [], []
+                padded = np.concatenate([np.zeros(SIDE, np.uint8), codes, np.zeros(LENGTHS[-1] + SIDE, np.uint8)])
+                for n in LENGTHS:
+                    number = runs(codes, n)
+                    at = np.flatnonzero(np.isin(number, wanted))
+                    place += np.searchsorted(wanted, number[at]).tolist()
+                    seen += [xxhash.xxh64_intdigest(padded[p : p + n + 2 * SIDE].tobytes()) - (1 << 63) for p in at.tolist()]
+                places.append(place)
+                around.append(seen)
             yield pa.RecordBatch.from_arrays([pa.array(places, pa.list_(pa.int32())), pa.array(around, pa.list_(pa.int64()))], names=["run", "around"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "run array<int>, around array<long>")
@@ -363,15 +379,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean: in
         return None
 
     def insults(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows around what telling runs cover together: one that begins a letter before it, and one that ends a letter after."""
         for _, rows in slices(batches):
-            found = []
+            found = set()
             for x in rows:
                 codes = sentences([x])[0]
-                at = np.flatnonzero(np.isin(runs(codes), telling))
-                at = np.maximum(at[np.diff(at, prepend=-RUN - 1) > RUN] - 1, 0)  # a letter before such runs begin to overlap
+                inside = np.zeros(len(codes) + 2, np.int64)
+                for n in LENGTHS:
+                    at = np.flatnonzero(np.isin(runs(codes, n), telling))
+                    np.add.at(inside, at + 1, 1)
+                    np.add.at(inside, at + 1 + n, -1)
+                change = np.flatnonzero(np.diff((np.cumsum(inside) > 0).astype(np.int8), prepend=0))  # in pairs: where a stretch begins and ends, a letter late
                 padded = np.concatenate([codes, np.zeros(WINDOW, np.uint8)])
-                found += {padded[p : p + WINDOW].tobytes() for p in at.tolist()}
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["window"])
+                for a, e in zip((change[::2] - 1).tolist(), (change[1::2] - 1).tolist(), strict=True):
+                    found |= {padded[p : p + WINDOW].tobytes() for p in (max(0, a - 1), max(0, e + 1 - WINDOW))}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(w for w in found if w[0]), pa.binary())], names=["window"])
 
     each = -(-max_windows // max(1, n.get(0, 0)))
 
@@ -396,32 +418,33 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean: in
         hard = tops.select(F.explode(F.arrays_zip(F.array("s1", "s2").alias("s"), "windows")).alias("x")).where("x.windows is not null").groupBy("x.windows").agg(F.max("x.s").alias("s")).orderBy(F.desc("s"), "windows").limit(max_windows // 4)
         negative += [bytes(r["windows"]) for r in hard.collect()]
     weights, bias = machine(positive, negative)
-    seen = top_sentences(sample.select("doc_id", "text"), weights).join(F.broadcast(chosen), "doc_id").select("s1", "s2", "toxic").collect()
-    x = evidence(np.array([[r["s1"], r["s2"]] for r in seen], float), bias)
+    seen = top_sentences(sample.select("doc_id", "text"), weights).join(F.broadcast(chosen), "doc_id").select("s1", "s2", "size", "toxic").collect()
+    x = np.hstack([evidence(np.array([[r["s1"], r["s2"]] for r in seen], float), bias), -np.log1p([[r["size"]] for r in seen])])
     y = np.array([r["toxic"] for r in seen], float)
     there = dict(labels.groupBy("toxic").count().collect())
     share = there[1] / sum(there.values())
     weight = np.where(y > 0, share / y.mean(), (1 - share) / max(1e-9, 1 - y.mean()))
-    w = curve(x, y, weight)
-    if w[:2].min() < 0:  # more evidence never lowers a score: the value that misleads is left out
-        k = int(w[1] > w[0])
-        one = curve(x[:, [k]], y, weight)
-        w = np.array([one[0] * (k == 0), one[0] * (k == 1), one[1]])
-    return weights, np.append(w, bias)
+    # More evidence never lowers a score, more text never raises it: what misleads is left out.
+    use = [0, 1, 2]
+    while (w := curve(x[:, use], y, weight))[:-1].min(initial=0) < 0:
+        use.pop(int(np.argmin(w[:-1])))
+    full = np.zeros(4)
+    full[[*use, 3]] = w
+    return weights, np.append(full, bias)
 
 
 def evidence(tops: np.ndarray, bias: float) -> np.ndarray:
-    """Decision values between -2 and 2; a missing sentence counts as -2."""
-    return np.clip(np.nan_to_num(tops + bias, nan=-2, posinf=2, neginf=-2), -2, 2)
+    """Decision values between LOWEST and HIGHEST; a missing sentence counts as LOWEST."""
+    return np.clip(np.nan_to_num(tops + bias, nan=LOWEST, posinf=HIGHEST, neginf=LOWEST), LOWEST, HIGHEST)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
     """(doc_id, score double): a row for each row of docs."""
     if model is None:
         return texts(docs).select("doc_id", F.lit(0.0).alias("score"))
-    a, b, c, bias = map(float, model[1])
-    held = lambda s: F.when(F.col(s).isNull() | F.isnan(s), -2.0).otherwise(F.greatest(F.lit(-2.0), F.least(F.lit(2.0), F.col(s) + bias)))
-    return top_sentences(texts(docs), model[0]).select("doc_id", (1 / (1 + F.exp(-(held("s1") * a + held("s2") * b + c)))).alias("score"))
+    a, b, g, c, bias = map(float, model[1])
+    held = lambda s: F.when(F.col(s).isNull() | F.isnan(s), LOWEST).otherwise(F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.col(s) + bias)))
+    return top_sentences(texts(docs), model[0]).select("doc_id", (1 / (1 + F.exp(-(held("s1") * a + held("s2") * b - F.log1p("size") * g + c)))).alias("score"))
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:

@@ -238,6 +238,27 @@ def test_toxicity_learns_gapped_insults(spark):
     assert [r["score"] for r in none.collect()] == [0.0] * 3
 
 
+def test_toxicity_tells_insults_of_common_syllables(spark):
+    """Each five letters of these insults stand in clean words as well; capitals beyond ASCII are their small letters, and unlike letters are unlike."""
+    rng = random.Random(31)
+    syllables = ["ach", "lich", "ein", "zu", "keit", "er", "un", "schö", "schä", "gen", "be", "ver"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randrange(1, 5)))
+    rows, labels = [], []
+    for i in range(600):
+        words = [word() for _ in range(rng.randrange(40, 90))]
+        words = [w for w in words if not w.startswith(("achlicheinzu", "schökeitun"))]
+        if i % 4 == 0:
+            for _ in range(2):
+                words.insert(rng.randrange(len(words)), rng.choice(("achlicheinzu", "schökeitun", "SCHÖKEITUN")))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    got = toxicity.toxicity(docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out").collect()
+    hit = [r["predicted"] for r in got if r["doc_id"] % 4 == 0]
+    assert len(hit) > 20 and sum(hit) / len(hit) > 0.85 and sum(r["predicted"] for r in got if r["doc_id"] % 4) / len(got) < 0.03
+    one = lambda t: toxicity.sentences([t.encode()])[0].tolist()
+    assert one("schön") == one("SCHÖN") != one("schän") and one("é") != one("è") and toxicity.OTHER in one("日")
+
+
 def brute_sentences(t):
     """Letters of each sentence of an ASCII text, edges between words."""
     out = []

@@ -42,6 +42,8 @@ TASK_BYTES = 32_000_000
 BATCH = 4096
 #: Rows of two longs up to which the side of a join is broadcast.
 BROADCAST_ROWS = 2_000_000
+#: Tables whose links are verified before those of the others.
+FIRST_TABLES = 4
 #: Bytes of shingle sets up to which they are broadcast to the pairs.
 BROADCAST_BYTES = 32_000_000
 
@@ -286,7 +288,7 @@ def linked(held: DataFrame, verified: Callable[[DataFrame], DataFrame], close: C
     so near each other that what is linked with one of them may be linked with the other, where that can be told; inside: (a, b) of those that hold among all that meet of (tab, word,
     node, root) and are of unlike root, or None where these are too many for it.
 
-    First each bucket of words is linked by its star, and the holders of a word by the least. A member that fails may still belong to another one: to one that failed too and has
+    First each bucket of words is linked by its star, and the holders of a word by the least: those of FIRST_TABLES tables, and then of the others what is still of unlike root. A member that fails may still belong to another one: to one that failed too and has
     another root, or to one that holds, if it is close to the centre. Where neither is so, or no third node is there, nothing is left to compare. Of other stars all nodes are
     compared: by inside, or else each bucket's first member with all others of unlike root, then the next ones, more of them in each round, until no bucket
     has a pair of unlike roots that was not verified. So all met pairs that could join anything are, whatever a star's centre is like.
@@ -300,10 +302,18 @@ def linked(held: DataFrame, verified: Callable[[DataFrame], DataFrame], close: C
     across = across.select("tab", "word", "b_word", "a", "b", (F.col("crowd") | (F.col("a_n") > 1) | (F.col("b_n") > 1)).alias("third"))
     met = checkpointed(shared.unionByName(across).where("a <> b"))
     pair = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    tried = pair(met)
-    good = checkpointed(verified(tried))
-    found = checkpointed(components(good))
-    failed = checkpointed(rooted(rooted(met.where("third"), found, "a", "a_root"), found, "b", "b_root").where("a_root <> b_root"))
+    apart = lambda df, found: checkpointed(rooted(rooted(df, found, "a", "a_root"), found, "b", "b_root").where("a_root <> b_root"))
+    links_of = lambda found: found.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    # A few tables join most of a group; what the others link of one root needs no look at fingerprints or sets.
+    tried = checkpointed(pair(met.where(F.col("tab") < FIRST_TABLES)))
+    found = checkpointed(components(verified(tried)))
+    open_met = apart(met, found)
+    later = checkpointed(pair(open_met.where(F.col("tab") >= FIRST_TABLES)).join(tried, ["a", "b"], "left_anti"))
+    good = checkpointed(verified(later))
+    if not good.isEmpty():
+        found = checkpointed(components(good.unionByName(links_of(found))))
+    tried = tried.unionByName(later)
+    failed = apart(open_met.where("third").drop("a_root", "b_root"), found)
     near = close(failed.select("a", "b").distinct()).withColumn("close", F.lit(True))
     stars = failed.join(near, ["a", "b"], "left").groupBy("tab", "word").agg(F.max(F.coalesce("close", F.lit(False))).alias("close"), F.min("b_root").alias("lo"), F.max("b_root").alias("hi"))
     bad = written(stars.where("close or lo <> hi").select("tab", "word"))
@@ -314,7 +324,7 @@ def linked(held: DataFrame, verified: Callable[[DataFrame], DataFrame], close: C
     open_ = checkpointed(held.join(bad.unionByName(members).distinct(), ["tab", "word"]))
     if (more := inside(rooted(open_, found, "node", "root"))) is not None:
         more = checkpointed(more)
-        return found if more.isEmpty() else components(more.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        return found if more.isEmpty() else components(more.unionByName(links_of(found)))
     low, high = 0, 2
     while True:
         more = checkpointed(bucket_pairs(rooted(open_, found, "node", "root"), low, high))
@@ -322,7 +332,7 @@ def linked(held: DataFrame, verified: Callable[[DataFrame], DataFrame], close: C
         joined = checkpointed(verified(fresh))
         if not joined.isEmpty():
             # What is found stands for the links before it.
-            found = checkpointed(components(joined.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b")))))
+            found = checkpointed(components(joined.unionByName(links_of(found))))
         if more.where("a is null").isEmpty():
             return found
         low, high = high, high * 4
@@ -453,12 +463,13 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Data
     A document with fewer words than a shingle counts as one shingle, so it goes only for an equal one.
     Documents without any word stay: there is nothing in them that another could repeat.
     """
-    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id"), text_key())).withColumn("_text", text_key())
-    ids = checkpointed(keyed.select(F.col("doc_id").cast("long").alias("id"), F.col("_row").alias("row"), F.col("_text").alias("row_key")).distinct())
+    # The rows travel in one column, so that no name of theirs can clash.
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("text"), F.xxhash64(F.col("doc_id"), text_key()).alias("key"), text_key().alias("row_key"))
+    ids = checkpointed(keyed.select(F.col("id").cast("long").alias("id"), "key", "row_key").distinct())
     rows = ids.join(near_groups(docs.select(text_key().alias("row_key"), "text"), words, similarity), "row_key")
-    kept = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("kept")).select("root", F.col("kept")["row"].alias("kept"))
-    gone = rows.join(kept, "root").where("row <> kept").select(F.col("row").alias("_gone")).distinct()
+    kept = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("kept")).select("root", F.col("kept")["key"].alias("kept"))
+    gone = rows.join(kept, "root").where("key <> kept").select("key").distinct()
     # A row without an id and any word is no other's repetition: it gets a number of its own.
-    alone = F.when(F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^ \t\n\x0B\f\r]"), F.monotonically_increasing_id())
-    left = keyed.join(gone, keyed["_row"] == gone["_gone"], "left_anti")
-    return left.withColumn("_alone", alone).dropDuplicates(["_row", "_alone"]).select(*docs.columns)
+    alone = F.when(F.col("id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^ \t\n\x0B\f\r]"), F.monotonically_increasing_id())
+    left = keyed.withColumn("alone", alone).join(gone, "key", "left_anti")
+    return left.dropDuplicates(["key", "alone"]).select("row.*")

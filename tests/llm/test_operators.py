@@ -123,6 +123,16 @@ def test_near_duplicates_go(spark):
     assert out.columns == ["doc_id", "text", "fp", "part"]
 
 
+def test_near_dedup_takes_any_columns(spark):
+    """Names that the operator uses itself keep their values; repeated rows stay once; an empty table stays empty."""
+    names = ["doc_id", "text", "row", "key", "row_key", "alone", "_row", "id"]
+    rows = [(1, "one two three four five six", *range(6)), (1, "one two three four five six", *range(6)), (2, "One two three four five six", *range(6, 12)), (3, None, *range(12, 18)), (None, "", *range(18, 24))]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} int" for n in names[2:])
+    out = simhash.near_dedup(spark.createDataFrame(rows, schema))
+    assert out.columns == names and sorted(map(tuple, out.collect()), key=str) == sorted([rows[0], *rows[3:]], key=str)
+    assert simhash.near_dedup(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_near_duplicates_are_brute_force(spark):
     """Pairs of a similarity between 0.7 and 0.9: none below 0.8 links, and nearly all others do."""
     rng = random.Random(9)
@@ -159,8 +169,10 @@ def test_rows_without_an_id_are_documents(spark):
     assert [r["text"] for r in toxicity.keep_clean(docs, labels).where("doc_id is null").collect()] == [a]
 
 
-def test_failed_stars_are_bucketed_again(spark):
-    """Components of verified links equal brute force over all pairs that meet, whatever the centres and the holders of a word."""
+@pytest.mark.parametrize("first", [1, 4])
+def test_failed_stars_are_bucketed_again(spark, monkeypatch, first):
+    """Components of verified links equal brute force over all pairs that meet, whatever the centres and the holders of a word, and whichever tables come first."""
+    monkeypatch.setattr(simhash, "FIRST_TABLES", first)
     rng = random.Random(8)
     held, kind = [], {}
     for g in range(8):

@@ -28,11 +28,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, by_hash, checkpointed, slices, text_key, texts
+from .common import ASCII_SPACE, by_hash, checkpointed, slices, texts
 
 ORDER, SPAN, DECAY = 4, 7, 0.7
 #: Starts of a window: it takes the subsequences that begin at one of so many letters in a row.
@@ -261,10 +262,17 @@ def telling_runs(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int,
         gain = t * np.log(t / (n_toxic * np.maximum(rate, 1 / every))) + c * np.log(np.maximum(c, 1) / (n_clean * np.maximum(rate, 1 / every)))
         return np.where((t >= 3) & (t / n_toxic > ratio * c / n_clean) & (gain > 14), gain, 0)
 
-    t = {r["run"]: r["n"] for r in counted_runs(toxic).where(F.col("n") >= least).collect()}
-    among = np.array(sorted(t), np.int64)
-    c = {r["run"]: r["n"] for r in counted_runs(clean, among).collect()}
-    t, c = np.array([t[r] for r in among.tolist()], float), np.array([c.get(r, 0) for r in among.tolist()], float)
+    def told(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Runs in order and their counts, 16 bytes for each."""
+        found = counts.toArrow()
+        run, n = (found.column(k).to_numpy() for k in (0, 1))
+        order = np.argsort(run)
+        return run[order], n[order].astype(float)
+
+    among, t = told(counted_runs(toxic).where(F.col("n") >= least))
+    there, n = told(counted_runs(clean, among))
+    c = np.zeros(len(among))
+    c[np.searchsorted(among, there)] = n
     some = gains(t, c) > 0
     among, t, c = among[some], t[some], c[some]
     if not len(among):
@@ -313,14 +321,23 @@ def kernel(x: np.ndarray, vocabulary: np.ndarray, landmarks: np.ndarray) -> np.n
 
 def svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Squared-hinge linear machine by Newton steps; the last coefficient is the bias."""
-    z = np.hstack([z, np.ones((len(z), 1))])
+    z = np.hstack([z, np.ones((len(z), 1), z.dtype)])
     w = np.zeros(z.shape[1])
+
+    def curvature(act: np.ndarray) -> np.ndarray:
+        """Of the rows at act, a few of them at a time."""
+        out = ridge * np.eye(len(w))
+        for at in range(0, len(act), 2048):
+            part = z[act[at : at + 2048]].astype(float)
+            out += (part * weight[act[at : at + 2048], None]).T @ part
+        return out
+
     loss = lambda w: ridge / 2 * w @ w + weight @ np.maximum(0, 1 - y * (z @ w)) ** 2 / 2
     for _ in range(30):
         miss = np.maximum(0, 1 - y * (z @ w))
-        act = miss > 0
+        act = np.flatnonzero(miss > 0)
         grad = ridge * w - z.T @ (weight * y * miss)
-        step = np.linalg.solve(ridge * np.eye(len(w)) + (z[act] * weight[act, None]).T @ z[act], grad)
+        step = np.linalg.solve(curvature(act), grad)
         size, now = 1.0, loss(w)
         while size > 1e-3 and loss(w - size * step) > now:
             size /= 2
@@ -345,7 +362,7 @@ def machine(positive: list[bytes], negative: list[bytes]) -> tuple[np.ndarray, f
     s, u = np.linalg.eigh(phi.T.astype(float) @ phi)
     keep = s > s.max() * 1e-4
     root = u[:, keep] / np.sqrt(s[keep])
-    w = svm(kernel(x, vocabulary, phi) @ root, y, np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum())) * 1000)
+    w = svm(kernel(x, vocabulary, phi) @ root.astype(np.float32), y, np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum())) * 1000)
     weights = np.zeros(CODES**ORDER, np.float32)
     weights[vocabulary] = phi @ (root @ w[:-1])
     return weights, float(w[-1])
@@ -438,13 +455,23 @@ def evidence(tops: np.ndarray, bias: float) -> np.ndarray:
     return np.clip(np.nan_to_num(tops + bias, nan=LOWEST, posinf=HIGHEST, neginf=LOWEST), LOWEST, HIGHEST)
 
 
+def scores(rows: list[bytes], model: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+    if model is None:
+        return np.zeros(len(rows))
+    weights, (a, b, g, c, bias) = model
+    held = evidence(worst(rows, weights)[0], bias)
+    return 1 / (1 + np.exp(-(held @ [a, b] - g * np.log1p([len(x) for x in rows]) + c)))
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
     """(doc_id, score double): a row for each row of docs."""
-    if model is None:
-        return texts(docs).select("doc_id", F.lit(0.0).alias("score"))
-    a, b, g, c, bias = map(float, model[1])
-    held = lambda s: F.when(F.col(s).isNull() | F.isnan(s), LOWEST).otherwise(F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.col(s) + bias)))
-    return top_sentences(texts(docs), model[0]).select("doc_id", (1 / (1 + F.exp(-(held("s1") * a + held("s2") * b - F.log1p("size") * g + c)))).alias("score"))
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, rows in slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(scores(rows, held.value))], names=["doc_id", "score"])
+
+    return texts(docs).mapInArrow(run, "doc_id long, score double")
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:
@@ -458,7 +485,14 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that are not predicted toxic, with all their columns. A null doc_id is scored with the rest and stays unless its text is toxic."""
-    model = fit(docs, labels.where(~held_out()))
-    bad = score(docs.select(text_key().alias("doc_id"), "text"), model).where("score >= 0.5").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, text_key() == bad["_bad"], "left_anti")
+    """The rows of docs that are not predicted toxic, with all their columns, which are filtered where they are scored. A row with a null doc_id is scored with the rest; repeated rows stay or go together."""
+    held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels.where(~held_out())))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows), pc.fill_null(batch.column(at).cast(pa.large_string()), "")], names=["none", "text"])
+            clean = [x < 0.5 for _, rows in slices([text]) for x in scores(rows, held.value)]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

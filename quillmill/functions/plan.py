@@ -27,3 +27,9 @@ def small(df: DataFrame, rows: int = 10_000) -> DataFrame:
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), with value computed once however often use names it: for lambdas, in which common parts are not found by the optimiser."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt to as many tasks as the session runs at once, if it comes in fewer files than that: for work that is long for each row. Tables of many files are left as they are, so nothing large is moved."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if len(df.inputFiles()) < n else df

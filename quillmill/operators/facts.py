@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.text import count_fact, word_count, words
+from ..functions.plan import bound
+from ..functions.text import count_fact, word_count
 from .caption import elements
 
 # Kinds of facts; style fields that are decomposed, in checklist order; limits of a theme.
@@ -158,45 +159,61 @@ def whole_words(words_: str) -> str:
     return f"(?i)(^|[^\\p{{L}}\\p{{N}}_])({words_})($|[^\\p{{L}}\\p{{N}}_])"
 
 
-PERSON, VAGUE, BACKDROP, PLACE = map(whole_words, (PERSON_WORDS, VAGUE_WORDS, BACKDROP_WORDS, PLACE_WORDS))
+def parted(text: Column) -> Column:
+    """The words of a text as whole_words() sees them, lower-cased: cut once, they are held against any list by hash."""
+    return F.split(F.lower(text), "[^\\p{L}\\p{N}_]+")
+
+
+def has_word(parts: Column, words_: str) -> Column:
+    """Whether parted() words hold one of a list of single words."""
+    return F.arrays_overlap(parts, F.array(*(F.lit(w) for w in words_.split("|") if " " not in w)))
+
+
+VAGUE_PHRASES = [w for w in VAGUE_WORDS.split("|") if " " in w]
 NOTHING = "vật thể"
 GROUP_NAMES = {"main": "chủ thể chính", "people": "nhóm người", "others": "vật thể phụ", "backdrop": "cảnh nền"}
 
 
+def first_words(text: Column, n: int) -> Column:
+    """The first words() of a text, which is cut no further than that: one piece before them may be empty, and what is left is the last."""
+    return F.slice(F.filter(F.split(F.coalesce(text, F.lit("")), "(?U)\\s+", n + 2), lambda w: w != ""), 1, n)
+
+
 def head_noun(desc: Column) -> Column:
     """The first three words without an article, lower-cased, marks at the end off."""
     bare = F.regexp_replace(F.trim(desc), "(?i)^(a|an|the)\\s+", "")
-    short = F.lower(F.regexp_replace(F.array_join(F.slice(words(bare), 1, 3), " "), "[,.]+$", ""))
+    short = F.lower(F.regexp_replace(F.array_join(first_words(bare, 3), " "), "[,.]+$", ""))
     return F.when(short == "", NOTHING).otherwise(short)
 
 
 def rule_facts(desc: Column) -> Column:
     """A description cut at commas, semicolons and a few joining words: its head noun first, then the parts after the first."""
     parts = F.filter(F.transform(F.split(F.coalesce(desc, F.lit("")), "[,;]| with | featuring "), lambda c: F.trim(c)), lambda c: c != "")
-    later = F.slice(parts, F.lit(2), F.greatest(F.size(parts), F.lit(1)))
+    later = F.slice(parts, 2, MAX_FACTS - 1)
     first = F.array(F.struct(F.lit(0).alias("rank"), F.lit("subject").alias("kind"), head_noun(F.coalesce(desc, F.lit(""))).alias("text")))
-    rest = F.transform(later, lambda c, i: F.struct((i + 1).cast("int").alias("rank"), F.when(c.rlike(PLACE), "position").otherwise("attribute").alias("kind"), F.lower(F.array_join(F.slice(words(F.regexp_replace(c, "\\.+$", "")), 1, MAX_FACT_WORDS), " ")).alias("text")))
+    rest = F.transform(later, lambda c, i: F.struct((i + 1).cast("int").alias("rank"), F.when(has_word(parted(c), PLACE_WORDS), "position").otherwise("attribute").alias("kind"), F.lower(F.array_join(first_words(F.regexp_replace(c, "\\.+$", ""), MAX_FACT_WORDS), " ")).alias("text")))
     return F.slice(F.concat(first, rest), 1, MAX_FACTS).cast(f"array<{schemas.FACT}>")
 
 
-def element_kinds(caption: Column) -> Column:
-    """For each element: people, backdrop or main, by its description's words."""
-    return F.transform(elements(caption), lambda e: F.when(e["desc"].rlike(PERSON), "people").when(e["desc"].rlike(BACKDROP), "backdrop").otherwise("main"))
+def element_signs(caption: Column) -> Column:
+    """For each element its kind (people, backdrop or main) and whether its description is vague in number, by its words."""
 
+    def of(e: Column) -> Column:
+        vague = lambda ws: has_word(ws, VAGUE_WORDS) | (F.lower(e["desc"]).rlike("|".join(VAGUE_PHRASES)) & e["desc"].rlike(whole_words("|".join(VAGUE_PHRASES))))
+        return bound(parted(e["desc"]), lambda ws: F.struct(F.when(has_word(ws, PERSON_WORDS), "people").when(has_word(ws, BACKDROP_WORDS), "backdrop").otherwise("main").alias("kind"), F.coalesce(vague(ws), F.lit(False)).alias("vague")))
 
-def any_vague(caption: Column) -> Column:
-    return F.exists(elements(caption), lambda e: F.coalesce(e["desc"].rlike(VAGUE), F.lit(False)))
+    return F.transform(elements(caption), of)
 
 
-def rule_decomposition(caption: Column, kinds: Column | None = None, vague: Column | None = None) -> Column:
+def rule_decomposition(caption: Column, signs: Column | None = None) -> Column:
     """A decomposition by fixed rules: elements sorted by keywords into main subjects, people, other things and backdrop.
 
-    kinds and vague are element_kinds() and any_vague(), for callers that have computed them once (they are used many times here).
+    signs: element_signs(), for callers that have computed it once (it is used many times here).
     """
     es = elements(caption)
-    kinds = element_kinds(caption) if kinds is None else kinds
-    vague = any_vague(caption) if vague is None else vague
-    sorted_ = F.zip_with(es, kinds, lambda e, k: F.struct(e["id"].alias("id"), k.alias("kind")))
+    signs = element_signs(caption) if signs is None else signs
+    vague = F.exists(signs, lambda x: x["vague"])
+    sorted_ = F.zip_with(es, signs, lambda e, x: F.struct(e["id"].alias("id"), x["kind"].alias("kind")))
     of = lambda kind: F.transform(F.filter(sorted_, lambda x: x["kind"] == kind), lambda x: x["id"])
     people, backdrop, other = of("people"), of("backdrop"), of("main")
     exact = lambda n: F.concat(F.lit("exact:"), n.cast("string"))

@@ -12,9 +12,9 @@ from ..operators.chat import message, with_examples
 
 def decomposed(captions: DataFrame, c: str = "caption") -> DataFrame:
     """captions with decomposition by rules, cleaned; the model's place in runs without one."""
-    seen = once(captions, _kinds=facts.element_kinds(F.col(c)), _vague=facts.any_vague(F.col(c)))
-    raw = once(seen, _raw=facts.rule_decomposition(F.col(c), F.col("_kinds"), F.col("_vague")))
-    return once(raw, decomposition=facts.normalise_decomposition(F.col("_raw"))).drop("_raw", "_kinds", "_vague")
+    seen = once(captions, _signs=facts.element_signs(F.col(c)))
+    raw = once(seen, _raw=facts.rule_decomposition(F.col(c), F.col("_signs")))
+    return once(raw, decomposition=facts.normalise_decomposition(F.col("_raw"))).drop("_raw", "_signs")
 
 
 def selectable(decomposed_: DataFrame, c: str = "caption") -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.plan import once
+from ..functions.plan import once, spread
 from ..operators import facts
 from ..plans import curation
 from .registry import table
@@ -50,7 +50,7 @@ CAPS = r"""caps AS (
 
 def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, text, id, caption."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
     ls, n = F.split("text", "\n", -1), F.col("doc_id")
     marked = lambda x: x.rlike("[0-9:]")
     element = lambda x: F.struct(F.when(x.contains("$$$"), "mark").when(marked(x), "text").otherwise("obj").alias("type"), F.when(marked(x), x).alias("text"), x.alias("desc"))

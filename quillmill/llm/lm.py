@@ -11,7 +11,8 @@ joined back to the blocks that asked. A block then looks up its documents' n-gra
 shuffled once, n-grams once per block, and counts once back; what moves grows in proportion to the corpus.
 
 Defined results: a null or empty text, or one without words, has no words and score 0; repeated rows count and are
-scored each; an empty table gives an empty result; extra columns are ignored; a null doc_id is scored like any other.
+scored each; an empty table gives an empty result; extra columns are ignored; a null doc_id is scored like any other, and rows
+of one id, or of none, are dealt by their texts; a very long text is a row like others, held by its task in words of 8 bytes.
 """
 
 from __future__ import annotations
@@ -81,7 +82,7 @@ def scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, min_count: int =
     blocks = max(1, -(-size // BLOCK_BYTES))
     parts = partitions(docs.sparkSession, size / 6 * order / PART_ENTRIES)
     spread = min(blocks, partitions(docs.sparkSession))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(blocks))).repartition(spread, "block")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(blocks))).repartition(spread, "block")
 
     def entries(frame: pd.DataFrame) -> tuple[list[list[np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
         """n-grams by document; all distinct ones by part and value, how often, and where each part ends."""

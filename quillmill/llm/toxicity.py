@@ -204,6 +204,16 @@ def runs(codes: np.ndarray, length: int) -> np.ndarray:
     return np.where(whole, number, -1)
 
 
+def found_in(number: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where number has one of wanted, which are in order, and the place of each there."""
+    if not len(wanted):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.searchsorted(wanted, number)
+    at[at == len(wanted)] = 0
+    hit = np.flatnonzero(wanted[at] == number)
+    return hit, at[hit]
+
+
 def counted_runs(docs: DataFrame, among: np.ndarray | None = None) -> DataFrame:
     """(run long, n long): in how many rows of docs each run stands; of those among so many, if given."""
     held = docs.sparkSession.sparkContext.broadcast(among)
@@ -215,7 +225,7 @@ def counted_runs(docs: DataFrame, among: np.ndarray | None = None) -> DataFrame:
             for x in rows:
                 codes = sentences([x])[0]
                 found = np.unique(np.concatenate([runs(codes, n) for n in LENGTHS]))
-                seen.append(found if wanted is None else found[np.isin(found, wanted)])
+                seen.append(found if wanted is None else found[found_in(found, wanted)[0]])
             number, n = np.unique(np.concatenate(seen), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(n.astype(np.int64))], names=["run", "n"])
 
@@ -234,9 +244,8 @@ def run_hits(docs: DataFrame, among: np.ndarray) -> DataFrame:
                 codes, place, seen = sentences([x])[0], [], []
                 padded = np.concatenate([np.zeros(SIDE, np.uint8), codes, np.zeros(LENGTHS[-1] + SIDE, np.uint8)])
                 for n in LENGTHS:
-                    number = runs(codes, n)
-                    at = np.flatnonzero(np.isin(number, wanted))
-                    place += np.searchsorted(wanted, number[at]).tolist()
+                    at, of = found_in(runs(codes, n), wanted)
+                    place += of.tolist()
                     seen += [xxhash.xxh64_intdigest(padded[p : p + n + 2 * SIDE].tobytes()) - (1 << 63) for p in at.tolist()]
                 places.append(place)
                 around.append(seen)
@@ -403,7 +412,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean: in
                 codes = sentences([x])[0]
                 inside = np.zeros(len(codes) + 2, np.int64)
                 for n in LENGTHS:
-                    at = np.flatnonzero(np.isin(runs(codes, n), telling))
+                    at, _ = found_in(runs(codes, n), telling)
                     np.add.at(inside, at + 1, 1)
                     np.add.at(inside, at + 1 + n, -1)
                 change = np.flatnonzero(np.diff((np.cumsum(inside) > 0).astype(np.int8), prepend=0))  # in pairs: where a stretch begins and ends, a letter late

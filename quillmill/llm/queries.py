@@ -38,15 +38,13 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audits the WARC files of the pages against a second copy in which some records have rotted and some are lost."""
+    """Audits the WARC files of the pages against a second copy, indexed from its own bytes, in which some records have rotted and some are lost, so that those after them have moved."""
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     luck = F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 2)
-    record, rotten = fixity.warc_record(F.col("url"), F.col("html")), fixity.warc_record(F.col("url"), F.concat(F.lit("#"), F.expr("substring(html, 2)")))
-    pages = pages.withColumn("rotten", F.when(luck < "03", F.sha2(rotten, 256)))
-    first = fixity.warc_index(pages, F.floor(F.col("page_id") / 2000).cast("string"), ["page_id"], record)
-    second = first.where(luck != "ff").withColumn("digest", F.coalesce("rotten", "digest"))
-    found = fixity.audit(first, second)
-    return found.join(first.select("file", "offset", "page_id"), ["file", "offset"], "left").select(F.col("file").cast("long").alias("warc_file"), "offset", "length", "page_id", "status")
+    rotten = F.when(luck < "03", F.concat(F.lit("#"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
+    index = lambda copy: fixity.warc_index(copy, F.floor(F.col("page_id") / 2000), ["page_id"], fixity.warc_record(F.col("url"), F.col("html")), F.col("page_id"))
+    found = fixity.audit(index(pages), index(pages.where(luck != "ff").withColumn("html", rotten)))
+    return found.select(F.col("file").cast("long").alias("warc_file"), "offset", "length", F.col("name").cast("long").alias("page_id"), "status")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

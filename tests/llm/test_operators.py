@@ -530,6 +530,26 @@ def test_fixity_locates_damage(spark):
     assert fixity.audit(spark.createDataFrame(rows[:5], schema), none).count() == 5
 
 
+def test_fixity_sees_through_moves(spark):
+    """Lost, longer and added records move all after them; repeated names and places; clashing and null columns."""
+    rng = random.Random(18)
+    pages = [(i, f"http://x/{i % 50}", "body " * rng.randrange(1, 60)) for i in range(400)] + [(400, None, None), (401, "u", None)]
+    lost, grown, added, swapped = {7, 200, 399}, {100, 250}, [(500, "new", "n"), (501, "new", "n")], {30}
+    other = [(i, u, (h or "") + "!" * 500 if i in grown else "B" + (h or "")[1:] if i in swapped else h) for i, u, h in pages if i not in lost] + added
+    schema = "page_id long, url string, html string, file string, length int, digest string, offset string, name string"
+    table = lambda rows: spark.createDataFrame([(*r, "f", 1, None, "o", None) for r in rows], schema)
+    index = lambda rows: fixity.warc_index(table(rows), F.floor(F.col("page_id") / 150), ["page_id"], fixity.warc_record(F.col("url"), F.col("html")), F.col("page_id"))
+    got = fixity.audit(index(pages), index(other), leaf_bytes=1024, fanout=3).collect()
+    want = {(i, "missing") for i in lost} | {(i, "changed") for i in grown | swapped} | {(i, "surplus") for i, *_ in added}
+    assert Counter((int(r["name"]), r["status"]) for r in got) == Counter(want)
+    at = {r["name"]: (r["offset"], r["length"]) for r in index(pages).collect()}
+    assert all((r["offset"], r["length"]) == at[r["name"]] for r in got if r["status"] != "surplus")
+    twice = [("f", 0, 5, "a", "n"), ("f", 5, 5, "a", "n"), ("f", 10, 5, "b", "n"), ("f", 10, 5, None, None)]
+    copies = spark.createDataFrame(twice, "file string, offset long, length long, digest string, name string")
+    assert fixity.audit(copies, copies).count() == 0
+    assert [(r["status"], r["digest_a"]) for r in fixity.audit(copies, copies.where("offset <> 5")).collect()] == [("missing", "a")]
+
+
 # --- 8
 
 

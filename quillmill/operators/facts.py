@@ -142,7 +142,7 @@ def selection_input(caption: Column, d: Column) -> Column:
 def numbered_names(names: Column) -> Column:
     """Names, the n-th of equal ones with ' [n]' after it from the second on."""
     nth = lambda x, i: F.size(F.filter(F.slice(names, F.lit(1), i + 1), lambda y: y == x))
-    return F.transform(names, lambda x, i: F.when(nth(x, i) > 1, F.concat(x, F.lit(" ["), nth(x, i).cast("string"), F.lit("]"))).otherwise(x))
+    return F.transform(names, lambda x, i: bound(nth(x, i), lambda n: F.when(n > 1, F.concat(x, F.lit(" ["), n.cast("string"), F.lit("]"))).otherwise(x)))
 
 
 # --- a rule-based decomposer, for runs without a model

@@ -122,6 +122,18 @@ def write_config(spark: SparkSession, config: dict, path: str) -> str:
     return text
 
 
+#: Paths that scratch() gave out in this process.
+_GIVEN: list[str] = []
+
+
+def sweep(spark: SparkSession) -> int:
+    """Removes what was written to scratch paths in this process, for the end of a job: results that are read from them must have been written elsewhere. The number of paths."""
+    n = len(_GIVEN)
+    while _GIVEN:
+        store.remove(spark, _GIVEN.pop())
+    return n
+
+
 def scratch(spark: SparkSession) -> str:
     """A new path in the folder that spark.checkpoint.dir names; in a temporary one only where it is unset and all of Spark is one local process, as in tests."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -129,7 +141,8 @@ def scratch(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-scratch-")
-    return f"{folder.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    _GIVEN.append(f"{folder.rstrip('/')}/scratch-{uuid.uuid4().hex}")
+    return _GIVEN[-1]
 
 
 def write_report(report: DataFrame, path: str) -> str:

@@ -129,8 +129,40 @@ def test_guarded_writes(spark, tmp_path):
     with pytest.raises(ValueError, match="too many"):
         files.write_guarded(rows, path, count, lambda c: "too many" if c["n"] > 1 else None)
     assert [r["k"] for r in spark.read.parquet(path).collect()] == [2] and store.names(spark, str(tmp_path)) == ["out"]
-    left = spark.createDataFrame([("train", '{"id": 1}')], "split string, t string")
-    assert store.names(spark, str(tmp_path / "none")) == [] and left.count() == 1
+    assert store.names(spark, str(tmp_path / "none")) == []
+
+
+def test_scratch_is_swept(spark):
+    files.sweep(spark)
+    held = [scorers.held(spark.range(n)) for n in (2, 3)]
+    assert [d.count() for d in held] == [2, 3]
+    folders = [d.inputFiles()[0].rpartition("/")[0] for d in held]
+    assert files.sweep(spark) == 2 and not any(store.exists(spark, f) for f in folders) and files.sweep(spark) == 0
+
+
+def test_small_tools(spark):
+    from quillmill.functions import text
+    from quillmill.operators import facts
+
+    assert spark.range(1).select(text.shortened(F.lit("日本語x"), 3)).first()[0] == "日本語"
+    assert [chat.accumulation_steps(*x) for x in ((32, 2, 4), (33, 2, 4), (1, 8, 8))] == [4, 5, 1]
+    names = spark.createDataFrame([(["a", "b", "a", "a", None, "b"],)], "x array<string>").select(facts.numbered_names(F.col("x"))).first()[0]
+    assert names == ["a", "b", "a [2]", "a [3]", None, "b [2]"]
+    words = {"Two MEN stand": True, "women": True, "the_man": False, "amen": False, "man2": False, "(Người)": True, "": False}
+    df = spark.createDataFrame([(w,) for w in words], "t string")
+    got = {r["t"]: r["y"] for r in df.select("t", facts.has_word(facts.parted(F.col("t")), facts.PERSON_WORDS).alias("y")).collect()}
+    assert got == words == {r["t"]: r["y"] for r in df.select("t", F.col("t").rlike(facts.whole_words(facts.PERSON_WORDS)).alias("y")).collect()}
+
+
+def test_first_words_are_the_first_of_all(spark):
+    from quillmill.functions.text import words
+    from quillmill.operators.facts import first_words
+
+    rng = random.Random(3)
+    rows = ["".join(rng.choice(["a", "bc", " ", "  ", "\t", "\u00a0", "\u3000", "\n"]) for _ in range(rng.randrange(14))) for _ in range(200)]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    for n in (1, 3, 6):
+        assert all(r["x"] == r["y"] for r in df.select(first_words(F.col("t"), n).alias("x"), F.slice(words(F.col("t")), 1, n).alias("y")).collect())
 
 
 def test_matched_and_kept_in_one_pass(spark, tmp_path):

@@ -9,7 +9,7 @@ from quillmill.queries import QUERIES, SQL
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: One query for each way of making rows; the driver holds all of them.
-SOME = ["audit_rollup", "percentiles_by_lang", "caption_validate", "canonical_json", "level_unpivot", "kept_levels", "gate_decision", "group_split", "term_coverage_cube", "label_mask", "strided_shard", "running_best", "jsonl_bad_line", "document_folder", "topic_file", "label_errors", "encode_rows", "correct_and_judge", "prediction_records", "matched_targets", "decomposition_validate", "orphan_elements"]
+SOME = ["audit_rollup", "percentiles_by_lang", "caption_validate", "canonical_json", "level_unpivot", "kept_levels", "gate_decision", "group_split", "term_coverage_cube", "label_mask", "strided_shard", "running_best", "jsonl_bad_line", "document_folder", "topic_file", "label_errors", "encode_rows", "correct_and_judge", "prediction_records", "matched_targets", "decomposition_validate", "orphan_elements", "keyed_results", "keyed_todo", "stream_resume", "ordered_predictions", "finalised_labels", "null_paths", "stripped_leaves", "canonical_fingerprint", "best_partial", "prompt_files"]
 
 
 def plain(value):

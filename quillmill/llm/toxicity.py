@@ -286,13 +286,14 @@ def telling_runs(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int,
     among, t, c = among[some], t[some], c[some]
     if not len(among):
         return among
-    hits = run_hits(toxic, among).collect()
-    pairs = np.array(sorted({p for r in hits for p in zip(r["run"], r["around"], strict=True)}), np.int64)
-    unlike = np.bincount(pairs[:, 0], minlength=len(among))
+    hits = run_hits(toxic, among).toArrow()
+    run, around = (hits.column(c).combine_chunks() for c in ("run", "around"))
+    row = np.repeat(np.arange(len(hits)), pc.list_value_length(run).to_numpy())
+    run, around = run.flatten().to_numpy(), around.flatten().to_numpy()
+    unlike = np.bincount(np.unique(np.stack([run, around], 1), axis=0)[:, 0], minlength=len(among))
     live = gains(np.minimum(t, 4 * unlike), c) > 0
     holds = np.zeros((len(hits), len(among)), bool)
-    for i, r in enumerate(hits):
-        holds[i, r["run"]] = True
+    holds[row, run] = True
     left, chosen = np.full(len(hits), times), []
     while True:
         gain = np.where(live, gains(holds[left > 0].sum(0).astype(float), c), 0)
@@ -307,15 +308,16 @@ def telling_runs(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int,
 def features(windows: list[bytes]) -> np.ndarray:
     """Subsequence numbers of each window, -1 where there is none; in the order of window_weights()."""
     x = np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WINDOW).astype(np.int64)
-    out = []
+    out = np.empty((len(x), STARTS * len(COMBOS)), np.int32)
     for s in range(STARTS):
-        for offsets, _ in COMBOS:
+        for k, (offsets, _) in enumerate(COMBOS):
             index, ok = x[:, s], x[:, s] > 0
             for o in offsets:
                 ok = ok & (x[:, s + o] > 0)
                 index = index * CODES + x[:, s + o]
-            out.append(np.where(ok, index, -1))
-    return np.stack(out, 1)
+            out[:, s * len(COMBOS) + k] = np.where(ok, index, -1)
+    return out
+
 
 def window_weights() -> np.ndarray:
     return np.tile(np.array([w for _, w in COMBOS]), STARTS)
@@ -329,8 +331,7 @@ def kernel(x: np.ndarray, vocabulary: np.ndarray, landmarks: np.ndarray) -> np.n
 
 
 def svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Squared-hinge linear machine by Newton steps; the last coefficient is the bias."""
-    z = np.hstack([z, np.ones((len(z), 1), z.dtype)])
+    """Squared-hinge linear machine by Newton steps; the last column of z is all ones, and its coefficient the bias."""
     w = np.zeros(z.shape[1])
 
     def curvature(act: np.ndarray) -> np.ndarray:
@@ -368,10 +369,13 @@ def machine(positive: list[bytes], negative: list[bytes]) -> tuple[np.ndarray, f
         ok = row >= 0
         np.add.at(phi[:, k], np.searchsorted(vocabulary, row[ok]), window_weights()[ok])
     phi /= np.sqrt((phi**2).sum(0)).mean()
-    s, u = np.linalg.eigh(phi.T.astype(float) @ phi)
+    s, u = np.linalg.eigh((phi.T @ phi).astype(float))
     keep = s > s.max() * 1e-4
     root = u[:, keep] / np.sqrt(s[keep])
-    w = svm(kernel(x, vocabulary, phi) @ root.astype(np.float32), y, np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum())) * 1000)
+    z = np.ones((len(x), root.shape[1] + 1), np.float32)
+    for at in range(0, len(x), 2048):
+        z[at : at + 2048, :-1] = kernel(x[at : at + 2048], vocabulary, phi) @ root
+    w = svm(z, y, np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum())) * 1000)
     weights = np.zeros(CODES**ORDER, np.float32)
     weights[vocabulary] = phi @ (root @ w[:-1])
     return weights, float(w[-1])

@@ -342,11 +342,15 @@ def svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -
             out += (part * weight[act[at : at + 2048], None]).T @ part
         return out
 
-    loss = lambda w: ridge / 2 * w @ w + weight @ np.maximum(0, 1 - y * (z @ w)) ** 2 / 2
+    # Products go by a few rows at a time too: z is of 32 bits, and whole it would be copied to 64 for each.
+    parts = range(0, len(z), 2048)
+    times = lambda w: np.concatenate([z[at : at + 2048] @ w for at in parts])
+    turned = lambda v: sum((v[at : at + 2048] @ z[at : at + 2048] for at in parts), np.zeros(len(w)))
+    loss = lambda w: ridge / 2 * w @ w + weight @ np.maximum(0, 1 - y * times(w)) ** 2 / 2
     for _ in range(30):
-        miss = np.maximum(0, 1 - y * (z @ w))
+        miss = np.maximum(0, 1 - y * times(w))
         act = np.flatnonzero(miss > 0)
-        grad = ridge * w - z.T @ (weight * y * miss)
+        grad = ridge * w - turned(weight * y * miss)
         step = np.linalg.solve(curvature(act), grad)
         size, now = 1.0, loss(w)
         while size > 1e-3 and loss(w - size * step) > now:

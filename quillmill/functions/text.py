@@ -28,7 +28,7 @@ def fold_accents(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """White-space-separated words; the white space is Unicode's."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), "(?U)\\s+"), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), "(?U)\\s+"), "")
 
 
 def word_count(text: Column) -> Column:

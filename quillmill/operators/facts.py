@@ -49,15 +49,18 @@ def normalise_decomposition(d: Column) -> Column:
 
 def ranked_errors(items: Column, name: Column) -> Column:
     """What is wrong with a ranked list: empty, without a rank 0, or with a fact without text."""
-    n = F.coalesce(F.size(items), F.lit(-1))
-    return F.when(n <= 0, F.array(F.concat(name, F.lit(" is empty")))).otherwise(
-        F.array_compact(
-            F.array(
-                F.when(~F.coalesce(F.exists(items, lambda f: f["rank"] == 0), F.lit(False)), F.concat(name, F.lit(" has no rank 0"))),
-                F.when(F.exists(items, lambda f: F.trim(F.coalesce(f["text"], F.lit(""))) == ""), F.concat(name, F.lit(" has a fact without text"))),
+
+    def found(xs: Column) -> Column:
+        return F.when(F.coalesce(F.size(xs), F.lit(-1)) <= 0, F.array(F.concat(name, F.lit(" is empty")))).otherwise(
+            F.array_compact(
+                F.array(
+                    F.when(~F.coalesce(F.exists(xs, lambda f: f["rank"] == 0), F.lit(False)), F.concat(name, F.lit(" has no rank 0"))),
+                    F.when(F.exists(xs, lambda f: F.trim(F.coalesce(f["text"], F.lit(""))) == ""), F.concat(name, F.lit(" has a fact without text"))),
+                )
             )
         )
-    )
+
+    return bound(items, found)
 
 
 def expected_style_fields(caption: Column) -> Column:
@@ -103,7 +106,7 @@ def validate_decomposition(d: Column, caption: Column) -> Column:
         ranked_errors(theme, F.lit("chu_de_chinh")),
         F.array_compact(F.array(F.when(F.size(theme) > MAX_THEME_FACTS, "chu_de_chinh has too many facts"), F.when(n_words > MAX_THEME_WORDS, "chu_de_chinh has too many words"))),
         F.flatten(F.transform(groups, group_errors)),
-        F.flatten(F.transform(ids, lambda i: ranked_errors(F.try_element_at(facts, i.cast("string")), F.concat(F.lit("facts."), i.cast("string"))))),
+        F.flatten(F.transform(ids, lambda i: ranked_errors(facts_at(facts, i), F.concat(F.lit("facts."), i.cast("string"))))),
         F.when(ground, ranked_errors(d["background_facts"], F.lit("background_facts"))).otherwise(_empty("string")),
         style,
     )
@@ -114,20 +117,34 @@ def texts(items: Column, kind: str = schemas.FACT) -> Column:
     return F.filter(F.transform(F.coalesce(items, _empty(kind)), lambda f: f["text"]), lambda t: F.coalesce(t, F.lit("")) != "")
 
 
+def facts_at(facts: Column, i: Column) -> Column:
+    """The facts of an element's id. They mostly stand at its place; only where they do not are the keys gone through."""
+    key = i.cast("string")
+    return F.when(F.get(F.map_keys(facts), i) == key, F.get(F.map_values(facts), i)).otherwise(F.try_element_at(facts, key))
+
+
+def _without(ids: Column, taken: Column) -> Column:
+    """ids, repeats included, that are not taken: by hash where none repeats."""
+
+    def left(xs: Column) -> Column:
+        return F.when(F.size(F.array_distinct(xs)) == F.size(xs), F.array_except(xs, taken)).otherwise(bound(taken, lambda t: F.filter(xs, lambda x: ~F.array_contains(t, x))))
+
+    return bound(ids, left)
+
+
 def selection_input(caption: Column, d: Column) -> Column:
     """Facts regrouped for choosing: by concept group, then every element that no group has as a group of its own, named by its first fact.
 
     Of groups with one name, the second and later get a number after it. Nothing is left out but elements without facts.
     """
-    of = lambda i: texts(F.try_element_at(d["facts"], i.cast("string")))
+    of = lambda i: texts(facts_at(d["facts"], i))
     some = lambda lists: F.filter(lists, lambda x: F.size(x) > 0)
     grouped = F.transform(d["concept_groups"], lambda g: F.struct(F.trim(g["name"]).alias("name"), F.coalesce(g["cultural"], F.lit(False)).alias("cultural"), F.coalesce(g["cardinality"], F.lit("vague")).alias("cardinality"), some(F.transform(g["member_ids"], of)).alias("elements")))
-    taken = F.flatten(F.transform(d["concept_groups"], lambda g: g["member_ids"]))
-    alone = some(F.transform(F.filter(elements(caption), lambda e: ~F.array_contains(taken, e["id"])), lambda e: of(e["id"])))
+    alone = some(F.transform(_without(F.transform(elements(caption), lambda e: e["id"]), F.flatten(F.transform(d["concept_groups"], lambda g: g["member_ids"]))), of))
     single = F.transform(alone, lambda f: F.struct(f[0].alias("name"), F.lit(False).alias("cultural"), F.lit("exact:1").alias("cardinality"), F.array(f).alias("elements")))
     raw = F.concat(F.coalesce(grouped, _empty("struct<name string, cultural boolean, cardinality string, elements array<array<string>>>")), single)
-    named = numbered_names(F.transform(raw, lambda g: g["name"]))
-    groups = F.zip_with(raw, named, lambda g, name: F.struct(name.alias("name"), g["cultural"].alias("cultural"), g["cardinality"].alias("cardinality"), count_fact(g["cardinality"]).alias("so_luong"), g["elements"].alias("elements")))
+    whole = lambda g, name: F.struct(name.alias("name"), g["cultural"].alias("cultural"), g["cardinality"].alias("cardinality"), count_fact(g["cardinality"]).alias("so_luong"), g["elements"].alias("elements"))
+    groups = bound(raw, lambda gs: F.zip_with(gs, numbered_names(F.transform(gs, lambda g: g["name"])), whole))
     style = F.filter(F.array(*(F.struct(F.lit(k).alias("field"), texts(F.try_element_at(d["style_facts"], F.lit(k)), schemas.THEME_FACT).alias("facts")) for k in STYLE_FIELDS)), lambda s: F.size(s["facts"]) > 0)
     return F.struct(
         F.coalesce(caption["high_level_description"], F.lit("")).alias("high_level_description"),
@@ -140,9 +157,15 @@ def selection_input(caption: Column, d: Column) -> Column:
 
 
 def numbered_names(names: Column) -> Column:
-    """Names, the n-th of equal ones with ' [n]' after it from the second on."""
-    nth = lambda x, i: F.size(F.filter(F.slice(names, F.lit(1), i + 1), lambda y: y == x))
-    return F.transform(names, lambda x, i: bound(nth(x, i), lambda n: F.when(n > 1, F.concat(x, F.lit(" ["), n.cast("string"), F.lit("]"))).otherwise(x)))
+    """Names, the n-th of equal ones with ' [n]' after it from the second on. Names that are all different are told so by hash and left as they are."""
+
+    def numbered(xs: Column) -> Column:
+        upto = lambda i: F.slice(xs, F.lit(1), i + 1)
+        nth = lambda x, i: i + 1 - F.size(F.array_remove(upto(i), x))
+        each = F.transform(xs, lambda x, i: bound(nth(x, i), lambda n: F.when(n > 1, F.concat(x, F.lit(" ["), n.cast("string"), F.lit("]"))).otherwise(x)))
+        return F.when(F.size(F.array_distinct(xs)) == F.size(xs), xs).otherwise(each)
+
+    return bound(names, numbered)
 
 
 # --- a rule-based decomposer, for runs without a model
@@ -170,20 +193,22 @@ def has_word(parts: Column, words_: str) -> Column:
 
 
 VAGUE_PHRASES = [w for w in VAGUE_WORDS.split("|") if " " in w]
+#: The word of each phrase that a text must have to hold it.
+VAGUE_HEADS = "|".join(max(p.split(), key=len) for p in VAGUE_PHRASES)
 NOTHING = "vật thể"
 GROUP_NAMES = {"main": "chủ thể chính", "people": "nhóm người", "others": "vật thể phụ", "backdrop": "cảnh nền"}
 
 
 def first_words(text: Column, n: int) -> Column:
     """The first words() of a text, which is cut no further than that: one piece before them may be empty, and what is left is the last."""
-    return F.slice(F.filter(F.split(F.coalesce(text, F.lit("")), "(?U)\\s+", n + 2), lambda w: w != ""), 1, n)
+    return F.slice(F.array_remove(F.split(F.coalesce(text, F.lit("")), "(?U)\\s+", n + 2), ""), 1, n)
 
 
 def head_noun(desc: Column) -> Column:
     """The first three words without an article, lower-cased, marks at the end off."""
     bare = F.regexp_replace(F.trim(desc), "(?i)^(a|an|the)\\s+", "")
     short = F.lower(F.regexp_replace(F.array_join(first_words(bare, 3), " "), "[,.]+$", ""))
-    return F.when(short == "", NOTHING).otherwise(short)
+    return bound(short, lambda s: F.when(s == "", NOTHING).otherwise(s))
 
 
 def rule_facts(desc: Column) -> Column:
@@ -196,11 +221,16 @@ def rule_facts(desc: Column) -> Column:
 
 
 def element_signs(caption: Column) -> Column:
-    """For each element its kind (people, backdrop or main) and whether its description is vague in number, by its words."""
+    """For each element its kind (people, backdrop or main) and whether its description is vague in number, by its words.
+
+    A description's words are held once against all lists; what they share with them, mostly nothing, is then told apart. A phrase is looked for only where its telling word is.
+    """
+    telling = F.array_distinct(F.array(*(F.lit(w) for w in f"{PERSON_WORDS}|{BACKDROP_WORDS}|{VAGUE_WORDS}|{VAGUE_HEADS}".split("|") if " " not in w)))
 
     def of(e: Column) -> Column:
-        vague = lambda ws: has_word(ws, VAGUE_WORDS) | (F.lower(e["desc"]).rlike("|".join(VAGUE_PHRASES)) & e["desc"].rlike(whole_words("|".join(VAGUE_PHRASES))))
-        return bound(parted(e["desc"]), lambda ws: F.struct(F.when(has_word(ws, PERSON_WORDS), "people").when(has_word(ws, BACKDROP_WORDS), "backdrop").otherwise("main").alias("kind"), F.coalesce(vague(ws), F.lit(False)).alias("vague")))
+        vague = lambda ws: has_word(ws, VAGUE_WORDS) | (has_word(ws, VAGUE_HEADS) & e["desc"].rlike(whole_words("|".join(VAGUE_PHRASES))))
+        told = lambda ws: F.struct(F.when(has_word(ws, PERSON_WORDS), "people").when(has_word(ws, BACKDROP_WORDS), "backdrop").otherwise("main").alias("kind"), F.coalesce(vague(ws), F.lit(False)).alias("vague"))
+        return bound(F.array_intersect(parted(e["desc"]), telling), lambda ws: F.when(F.size(ws) > 0, told(ws)).otherwise(F.struct(F.lit("main").alias("kind"), F.lit(False).alias("vague"))))
 
     return F.transform(elements(caption), of)
 
@@ -212,21 +242,27 @@ def rule_decomposition(caption: Column, signs: Column | None = None) -> Column:
     """
     es = elements(caption)
     signs = element_signs(caption) if signs is None else signs
-    vague = F.exists(signs, lambda x: x["vague"])
-    sorted_ = F.zip_with(es, signs, lambda e, x: F.struct(e["id"].alias("id"), x["kind"].alias("kind")))
-    of = lambda kind: F.transform(F.filter(sorted_, lambda x: x["kind"] == kind), lambda x: x["id"])
-    people, backdrop, other = of("people"), of("backdrop"), of("main")
     exact = lambda n: F.concat(F.lit("exact:"), n.cast("string"))
     group = lambda name, members, card: F.struct(F.lit(GROUP_NAMES[name]).alias("name"), members.alias("member_ids"), card.alias("cardinality"), F.lit(False).alias("cultural"))
-    found = F.array_compact(
-        F.array(
-            F.when(F.size(other) > 0, group("main", F.slice(other, 1, 3), exact(F.least(F.size(other), F.lit(3))))),
-            F.when(F.size(people) > 0, group("people", people, F.when(vague, "vague").otherwise(exact(F.size(people))))),
-            F.when(F.size(other) > 3, group("others", F.slice(other, F.lit(4), F.greatest(F.size(other), F.lit(1))), F.lit("vague"))),
-            F.when(F.size(backdrop) > 0, group("backdrop", backdrop, F.lit("vague"))),
+
+    def grouped(m: Column) -> Column:
+        people, backdrop, other = m["people"], m["backdrop"], m["main"]
+        return F.array_compact(
+            F.array(
+                F.when(F.size(other) > 0, group("main", F.slice(other, 1, 3), exact(F.least(F.size(other), F.lit(3))))),
+                F.when(F.size(people) > 0, group("people", people, F.when(m["vague"], "vague").otherwise(exact(F.size(people))))),
+                F.when(F.size(other) > 3, group("others", F.slice(other, F.lit(4), F.greatest(F.size(other), F.lit(1))), F.lit("vague"))),
+                F.when(F.size(backdrop) > 0, group("backdrop", backdrop, F.lit("vague"))),
+            )
         )
-    )
-    groups = F.when(F.size(found) > 0, found).otherwise(F.array(group("main", F.transform(es, lambda e: e["id"]), F.lit("vague"))))
+
+    def sorted_(xs: Column) -> Column:
+        of = lambda kind: F.transform(F.filter(xs, lambda x: x["kind"] == kind), lambda x: x["id"]).alias(kind)
+        return F.struct(of("people"), of("backdrop"), of("main"), F.exists(xs, lambda x: x["vague"]).alias("vague"))
+
+    signed = F.zip_with(es, signs, lambda e, x: F.struct(e["id"].alias("id"), x["kind"].alias("kind"), x["vague"].alias("vague")))
+    found = bound(bound(signed, sorted_), grouped)
+    groups = bound(found, lambda gs: F.when(F.size(gs) > 0, gs).otherwise(F.array(group("main", F.transform(es, lambda e: e["id"]), F.lit("vague")))))
     ground, style = caption["compositional_deconstruction"]["background"], caption["style_description"]
     parts = lambda v: F.transform(F.filter(F.transform(F.split(F.lower(F.coalesce(v, F.lit(""))), ","), lambda c: F.trim(c)), lambda p: p != ""), lambda p, i: F.struct(i.cast("int").alias("rank"), p.alias("text")))
     return F.struct(

@@ -141,7 +141,7 @@ def clean_ranked_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {CAPS} SELECT id, len(es) AS n_elements, coalesce(array_to_string(list_filter(list_transform(es, lambda e, i: CASE WHEN i % 3 <> 1 THEN (i - 1)::VARCHAR END), lambda x: x IS NOT NULL), ','), '') AS orphans FROM caps")
 def orphan_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elements that no group has, where the groups have every third."""
-    rows = captions(spark, sf_dir).select("id", caption.with_ids(cap()).alias("caption"))
+    rows = curation.numbered(captions(spark, sf_dir).select("id", "caption"))
     ids = F.transform(caption.elements(cap()), lambda e: e["id"])
     one = lambda i: F.array(F.struct(F.lit(0).alias("rank"), F.lit("subject").alias("kind"), F.concat(F.lit("e"), i.cast("string")).alias("text")))
     group = F.struct(F.lit("third").alias("name"), F.filter(ids, lambda i: i % 3 == 0).alias("member_ids"), F.lit("vague").alias("cardinality"), F.lit(False).alias("cultural"))
@@ -150,8 +150,8 @@ def orphan_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = {"chu_de_chinh": f"array<{schemas.THEME_FACT}>", "background_facts": f"array<{schemas.FACT}>", "style_facts": f"map<string, array<{schemas.THEME_FACT}>>"}
     for name, kind in kinds.items():
         d = d.withField(name, F.lit(None).cast(kind))
-    groups = facts.selection_input(cap(), d)["groups"]
-    alone = F.transform(F.filter(groups, lambda g: g["name"] != "third"), lambda g: F.substring(g["name"], 2, 9))
+    rows = once(once(rows, d=d), groups=facts.selection_input(cap(), F.col("d"))["groups"])
+    alone = F.transform(F.filter("groups", lambda g: g["name"] != "third"), lambda g: F.substring(g["name"], 2, 9))
     return rows.select("id", F.size(ids).alias("n_elements"), F.array_join(alone, ",").alias("orphans"))
 
 

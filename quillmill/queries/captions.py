@@ -210,8 +210,8 @@ def _blank(x: str) -> str:
 FROM caps""")
 def decomposition_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decompositions by rules with faults put in; captions without elements have no facts, and parts that are marks alone leave facts without text."""
-    rows = captions(spark, sf_dir).select("doc_id", "id", caption.with_ids(cap()).alias("caption"))
-    rows = once(rows, d=facts.rule_decomposition(cap()))
+    rows = curation.numbered(captions(spark, sf_dir).select("doc_id", "id", "caption"))
+    rows = once(once(rows, signs=facts.element_signs(cap())), d=facts.rule_decomposition(cap(), F.col("signs")))
     n, g = F.col("doc_id"), F.col("d.concept_groups")
     first = g[0].withField("cardinality", F.when(n % 5 == 0, "some").otherwise(g[0]["cardinality"])).withField("member_ids", F.when(n % 7 == 0, F.concat(g[0]["member_ids"], F.array(F.lit(9999)))).otherwise(g[0]["member_ids"]))
     bad = F.col("d").withField("concept_groups", F.concat(F.array(first), F.slice(g, F.lit(2), F.size(g)))).withField("chu_de_chinh", F.when(n % 3 == 0, F.array().cast(f"array<{schemas.THEME_FACT}>")).otherwise(F.col("d.chu_de_chinh")))

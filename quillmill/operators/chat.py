@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from ..sources.files import scratch, write_guarded
 
 IGNORED = -100
 PAD_TO = 8
+#: Characters that go to a tokenizer at once.
+PORTION = 200_000
 
 
 def message(role: str, content: Column) -> Column:
@@ -82,19 +85,36 @@ def _tokenizer(path: str):
 
 
 def token_ids(path: str) -> Callable[[Column], Column]:
-    """The ids of a tokenizer file, as an expression maker: whole Arrow batches go to the tokenizer, marks of its own are plain text and none are added."""
+    """The ids of a tokenizer file, as an expression maker: marks of its own are plain text and none are added. Texts go to the tokenizer by so many characters at once,
+    and only their ids are kept, so that memory follows neither how many rows an Arrow batch has nor what the tokenizer notes of each token."""
 
     @F.pandas_udf("array<int>")
     def run(texts: pd.Series) -> pd.Series:
         tokenizer = _tokenizer(path)
         tokenizer.encode_special_tokens = True
-        out, there = pd.Series([None] * len(texts), index=texts.index, dtype=object), texts.notna()
-        out[there] = pd.Series([as_ids(x) for x in tokenizer.encode_batch(texts[there].tolist(), add_special_tokens=False)], index=texts.index[there], dtype=object)
-        return out
+        out, there = [None] * len(texts), [i for i, known in enumerate(texts.notna()) if known]
+        held = texts.tolist()
+        for part in _portions(there, lambda i: len(held[i])):
+            for i, x in zip(part, tokenizer.encode_batch([held[i] for i in part], add_special_tokens=False), strict=True):
+                out[i] = np.array(x.ids, dtype=np.int32)
+        return pd.Series(out, index=texts.index, dtype=object)
 
     return run
 
 
+def _portions(items: list[int], size: Callable[[int], int]) -> Iterator[list[int]]:
+    """Items in their order, in lists of at most PORTION in size, or of one that is larger."""
+    part, total = [], 0
+    for i in items:
+        if part and total + size(i) > PORTION:
+            yield part
+            part, total = [], 0
+        part.append(i)
+        total += size(i)
+    if part:
+        yield part
+
+
 def masked(prefix: Column, full: Column) -> Column:
     """struct<input_ids, attention_mask, labels>: only what follows the prefix is learned. The full sequence must begin with the prefix."""
     n = F.size(prefix)

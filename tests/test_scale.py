@@ -22,3 +22,26 @@ def test_decomposition_validate_tells_an_element_once(spark, tmp_path):
     df = QUERIES["decomposition_validate"](spark, long_documents(spark, tmp_path, 5))
     assert df.first()["errors"] == ""
     assert df._jdf.queryExecution().optimizedPlan().toString().count("tourists") <= 2  # the lists of words stood in the plan for each use of an element's kind
+
+
+def test_token_ids_go_to_the_tokenizer_in_portions(spark, monkeypatch):
+    import pandas as pd
+
+    from quillmill.operators import chat
+
+    class Encoding:
+        def __init__(self, text):
+            self.ids = list(range(len(text) % 7))
+
+    class Tokenizer:
+        most = 0
+
+        def encode_batch(self, texts, add_special_tokens):
+            Tokenizer.most = max(Tokenizer.most, sum(map(len, texts)) if len(texts) > 1 else 0)
+            return [Encoding(t) for t in texts]
+
+    monkeypatch.setattr(chat, "_tokenizer", lambda path: Tokenizer())
+    texts = pd.Series(["x" * (i % 3000) if i % 5 else None for i in range(2000)] + ["y" * 500_000])
+    got = chat.token_ids("none").func(texts)
+    assert [None if x is None else list(x) for x in got] == [None if t is None else list(range(len(t) % 7)) for t in texts]
+    assert 0 < Tokenizer.most <= 200_000  # all texts of a batch went at once

@@ -222,7 +222,7 @@ def label_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{SELECTING}, {_LEVELS} SELECT id, detail_level, 'show ' || id AS user_prompt, 2 AS n_words, array_to_string(c, '|') AS checklist, len(g) AS n_groups, array_to_string((SELECT any_value(theme) FROM judged j WHERE j.id = levels.id), '|') AS required FROM levels WHERE length(id) % 3 <> 1 OR detail_level <> 'short'")
 def prompt_row_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompts joined with what they were written from; levels without a prompt are left out."""
-    subs = selection.assemble(evaluated(spark, sf_dir))
+    subs = scorers.held(selection.assemble(evaluated(spark, sf_dir)))  # read twice, chosen once
     said = F.concat(F.lit("show "), "id")
     written = subs.where((F.char_length("id") % 3 != 1) | (F.col("detail_level") != "short")).select("id", "detail_level", persona.persona(F.col("id")).alias("persona"), said.alias("user_prompt"), text.word_count(said).alias("n_words"))
     rows = curation.prompt_rows(subs, written)

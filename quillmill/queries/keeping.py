@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import walk
+from ..functions.plan import once
 from ..functions.text import word_count
 from ..operators import audit, chat, persona, prediction, selection, split
 from ..plans import curation, incremental, scorers
@@ -150,7 +151,7 @@ def writer_and_judge(spark: SparkSession, sf_dir: str) -> DataFrame:
     sub = F.struct(*(F.col(c) for c in subs.columns))
     asked = curation.write_messages(F.lit("Write."), persona.specification(sub, persona.persona(F.col("id"))))
     judge = curation.judge_messages(F.lit("Judge."), F.lit("show it"), F.lit(None).cast("struct<groups: array<string>>"), F.col("checklist"))
-    rows = subs.select("id", "detail_level", F.size("checklist").alias("n_facts"), asked.alias("w"), judge.alias("j"))
+    rows = once(subs, w=asked, j=judge).select("id", "detail_level", F.size("checklist").alias("n_facts"), "w", "j")
     user = lambda m: F.get(F.col(m), F.lit(1))["content"]
     level = F.get_json_object(user("w"), "$.detail_level")
     keys = F.array_join(F.array_except(F.json_object_keys(user("j")), F.array(F.lit("user_prompt"))), ",")

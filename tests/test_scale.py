@@ -45,3 +45,19 @@ def test_token_ids_go_to_the_tokenizer_in_portions(spark, monkeypatch):
     got = chat.token_ids("none").func(texts)
     assert [None if x is None else list(x) for x in got] == [None if t is None else list(range(len(t) % 7)) for t in texts]
     assert 0 < Tokenizer.most <= 200_000  # all texts of a batch went at once
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_prompt_row_merge_chooses_once(spark, tmp_path):
+    df = QUERIES["prompt_row_merge"](spark, long_documents(spark, tmp_path, 5))
+    assert df.count() > 0
+    assert "Generate" not in plan(df)  # both sides of the join chose facts anew
+
+
+def test_writer_and_judge_writes_each_message_once(spark, tmp_path):
+    df = QUERIES["writer_and_judge"](spark, long_documents(spark, tmp_path, 5))
+    assert {r["judged"] for r in df.collect()} == {"checklist"}
+    assert plan(df).count("Write.") == 1  # a message was written for each look at it

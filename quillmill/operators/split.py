@@ -65,11 +65,12 @@ def _nth(groups: DataFrame, n: int) -> str | None:
 
 def training_rows(passed: DataFrame, targets: DataFrame, subs: DataFrame, splits: DataFrame) -> DataFrame:
     """Passed rows with their target (by id), their sub_json (by id and level) and their split; status tells what a row lacks, the target first."""
-    t = targets.select("id", F.col("target_json"))
-    s = subs.select("id", "detail_level", F.struct("chu_de_chinh", "groups", "background", "style", "medium", "checklist").alias("sub_json"))
+    t = targets.select("id", "target_json", F.col("target_json").isNotNull().alias("_target"))
+    s = subs.select("id", "detail_level", F.struct("chu_de_chinh", "groups", "background", "style", "medium", "checklist").alias("sub_json"), F.lit(True).alias("_sub"))
     out = passed.join(t, "id", "left").join(s, ["id", "detail_level"], "left").join(splits, "id", "left")
-    status = F.when(F.col("target_json").isNull(), "no target").when(F.col("sub_json").isNull(), "no sub_json").otherwise("ok")
-    return out.withColumn("status", status).withColumnRenamed("detail_level", "mode")
+    # By marks of their own, so that what only counts rows moves no targets.
+    status = F.when(~F.coalesce("_target", F.lit(False)), "no target").when(F.col("_sub").isNull(), "no sub_json").otherwise("ok")
+    return out.withColumn("status", status).drop("_target", "_sub").withColumnRenamed("detail_level", "mode")
 
 
 def finalise(rows: DataFrame, target: str = "target_json") -> DataFrame:

@@ -61,3 +61,16 @@ def test_writer_and_judge_writes_each_message_once(spark, tmp_path):
     df = QUERIES["writer_and_judge"](spark, long_documents(spark, tmp_path, 5))
     assert {r["judged"] for r in df.collect()} == {"checklist"}
     assert plan(df).count("Write.") == 1  # a message was written for each look at it
+
+
+def test_status_of_training_rows_moves_no_target(spark):
+    from quillmill.operators import split
+
+    of = lambda ids, kind, more: spark.createDataFrame([(i, *more) for i in ids], kind)
+    passed, splits = of("abc", "id string, detail_level string", ("long",)), of("abc", "id string, split string", ("train",))
+    targets = spark.createDataFrame([("a", "said"), ("b", None)], "id string, target_json string")
+    parts = ", ".join(f"{c} string" for c in ("chu_de_chinh", "groups", "background", "style", "medium", "checklist"))
+    rows = split.training_rows(passed, targets, of("ab", f"id string, detail_level string, {parts}", ("long", *"xxxxxx")), splits)
+    assert {r["id"]: r["status"] for r in rows.collect()} == {"a": "ok", "b": "no target", "c": "no target"}
+    lines = [x for x in plan(rows.select("id", "status")).splitlines() if "isnotnull(" in x and "Join" not in x]
+    assert any("AS _target" in x for x in lines)  # told before the join; the target itself went through all joins

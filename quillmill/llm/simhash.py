@@ -26,6 +26,7 @@ from itertools import islice
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -229,12 +230,12 @@ def alike(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, similarity: floa
     return common >= similarity * (size[i] + size[j] - common) - 1e-9
 
 
-def bucket_links(held: DataFrame, sets: list[tuple[int, bytes]], similarity: float) -> DataFrame:
-    """(a long, b long): of the (node, root) with 32-bit words (tab, word) that meet on a variant within one flip, the pairs of unlike roots whose sets are at least so similar. sets: all nodes'
-    elements, of a bounded size, which go to every task: so the pairs are compared where they meet, and only links leave. A pair is compared in one of the buckets that it shares in a table."""
+def bucket_links(held: DataFrame, sets: tuple[np.ndarray, np.ndarray, np.ndarray], similarity: float) -> DataFrame:
+    """(a long, b long): of the (node, root) with 32-bit words (tab, word) that meet on a variant within one flip, the pairs of unlike roots whose sets are at least so similar. sets: packed_sets() of all
+    nodes, of a bounded size, which go to every task: so the pairs are compared where they meet, and only links leave. A pair is compared in one of the buckets that it shares in a table."""
     flips = masks(32, 2)[0].astype(np.uint32)
     parts = partitions(held.sparkSession, held.count() * len(flips) * 4 / PART_ROWS)
-    known = held.sparkSession.sparkContext.broadcast(dict(sets))
+    known = held.sparkSession.sparkContext.broadcast(sets)
 
     def spread(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -249,6 +250,7 @@ def bucket_links(held: DataFrame, sets: list[tuple[int, bytes]], similarity: flo
                 yield pd.DataFrame({"tab": tab, "part": full, **{c: [x[order[ends[p] : ends[p + 1]]].tobytes() for p in full] for c, x in columns.items()}})
 
     def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        nodes, ends_of, elements = known.value
         v, word, node, root = (np.frombuffer(b"".join(frame[c]), kind) for c, kind in (("variants", np.uint32), ("words", np.uint32), ("nodes", np.int64), ("roots", np.int64)))
         order = np.lexsort((node, v))
         v, word, node, root = v[order], word[order], node[order], root[order]
@@ -258,7 +260,7 @@ def bucket_links(held: DataFrame, sets: list[tuple[int, bytes]], similarity: flo
         found = [np.zeros((0, 2), np.int64)]
         for lo, hi in zip(first[mixed], ends[mixed], strict=True):
             w, r, where = word[lo:hi], root[lo:hi], v[lo]
-            sets = [np.frombuffer(known.value[n], np.uint64) for n in node[lo:hi].tolist()]
+            sets = [elements[ends_of[k] : ends_of[k + 1]] for k in np.searchsorted(nodes, node[lo:hi])]
             size = np.array([len(x) for x in sets])
             for at in range(0, hi - lo, 256):
                 i, j = np.nonzero((r[at : at + 256, None] != r[None, :]) & (np.arange(at, min(at + 256, hi - lo))[:, None] < np.arange(hi - lo)[None, :]))
@@ -389,6 +391,14 @@ def shingle_sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, hashes array<long>")
 
 
+def packed_sets(sets: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(nodes in order, ends, elements) of (node, hashes): the sets one behind another, 8 bytes an element; as rows of Python numbers they would take five times that."""
+    found = sets.select("node", "hashes").orderBy("node").toArrow()
+    hashes = found.column("hashes")
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(hashes).to_numpy())]).astype(np.int64)
+    return found.column("node").to_numpy(), ends, pc.list_flatten(hashes).to_numpy().view(np.uint64)
+
+
 def similar(pairs: DataFrame, similarity: float) -> DataFrame:
     """(a, b) of (a, b, a_set, b_set) whose sets' similarity is at least so much. The slack is for rounding alone: 0.8 * 10 is more than 8 in no way that counts."""
     common = F.size(F.array_intersect("a_set", "b_set"))
@@ -440,8 +450,7 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables
         needed = checkpointed(opened.select("node").distinct()).join(nodes.select("node", F.col("first"), "n"), "node")
         if 8 * (needed.agg(F.sum(F.col("n") + 4)).first()[0] or 0) > BROADCAST_BYTES:
             return None
-        sets = sets_of(needed.select("node", "first"))[0].collect()
-        return bucket_links(opened, [(r["node"], np.array(r["hashes"], np.int64).tobytes()) for r in sets], similarity)
+        return bucket_links(opened, packed_sets(sets_of(needed.select("node", "first"))[0]), similarity)
 
     found = linked(held, verified, close, inside)
     return rooted(prints.select(F.col("doc_id").alias("row_key"), "node"), found, "node", "root").select("row_key", "root").distinct()

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ASCII_SPACE, by_hash, checkpointed, slices, texts
@@ -385,6 +385,20 @@ def machine(positive: list[bytes], negative: list[bytes]) -> tuple[np.ndarray, f
     return weights, float(w[-1])
 
 
+def machine_by_task(spark: SparkSession, positive: list[bytes], negative: list[bytes]) -> tuple[np.ndarray, float]:
+    """machine() in a task of its own: of its matrices, which the sample bounds, the driver holds none and gets 4 bytes a subsequence."""
+    both, n = b"".join(positive + negative), len(positive)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            windows = [both[at : at + WINDOW] for at in range(0, len(both), WINDOW)]
+            weights, bias = machine(windows[:n], windows[n:])
+            yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([bias], pa.float64())], names=["weights", "bias"])
+
+    row = spark.range(1, numPartitions=1).mapInArrow(run, "weights binary, bias double").first()
+    return np.frombuffer(row["weights"], np.float32), row["bias"]
+
+
 def curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Logistic regression with a little ridge, by Newton steps; bias last."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -447,11 +461,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean: in
     positive = [bytes(r["window"]) for r in windows(toxic, insults).orderBy(F.desc("n"), "window").limit(max_windows // 4).collect()]
     negative = [bytes(r["window"]) for r in by_hash(windows(clean, ordinary), max_windows, "window").select("window").collect()]
     for _ in range(2):
-        weights, _ = machine(positive, negative)
+        weights, _ = machine_by_task(docs.sparkSession, positive, negative)
         tops = top_sentences(clean.select("doc_id", "text"), weights, windows=True)
         hard = tops.select(F.explode(F.arrays_zip(F.array("s1", "s2").alias("s"), "windows")).alias("x")).where("x.windows is not null").groupBy("x.windows").agg(F.max("x.s").alias("s")).orderBy(F.desc("s"), "windows").limit(max_windows // 4)
         negative += [bytes(r["windows"]) for r in hard.collect()]
-    weights, bias = machine(positive, negative)
+    weights, bias = machine_by_task(docs.sparkSession, positive, negative)
     seen = top_sentences(sample.select("doc_id", "text"), weights).join(F.broadcast(chosen), "doc_id").select("s1", "s2", "size", "toxic").collect()
     x = np.hstack([evidence(np.array([[r["s1"], r["s2"]] for r in seen], float), bias), -np.log1p([[r["size"]] for r in seen])])
     y = np.array([r["toxic"] for r in seen], float)

@@ -74,3 +74,48 @@ def test_status_of_training_rows_moves_no_target(spark):
     assert {r["id"]: r["status"] for r in rows.collect()} == {"a": "ok", "b": "no target", "c": "no target"}
     lines = [x for x in plan(rows.select("id", "status")).splitlines() if "isnotnull(" in x and "Join" not in x]
     assert any("AS _target" in x for x in lines)  # told before the join; the target itself went through all joins
+
+
+def test_the_driver_fits_no_machine(spark, monkeypatch):
+    """What the fit's matrices take stays out of the driver, beside which other stages run."""
+    import os
+
+    import numpy as np
+
+    from quillmill.llm import toxicity
+
+    rng = np.random.default_rng(7)
+    windows = [rng.integers(1, 27, toxicity.WINDOW, dtype=np.uint8).tobytes() for _ in range(40)]
+    weights, bias = toxicity.machine(windows[:15], windows[15:])
+    driver, machine = os.getpid(), toxicity.machine
+
+    def elsewhere(positive, negative):
+        assert os.getpid() != driver
+        return machine(positive, negative)
+
+    monkeypatch.setattr(toxicity, "machine", elsewhere)
+    got, at = toxicity.machine_by_task(spark, windows[:15], windows[15:])
+    assert np.array_equal(got, weights) and at == bias
+    # A fit comes to its end without one in the driver.
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    docs = [(i, f"ordinary words {word()} {'zorkblat' if i % 3 == 0 else word()} {word()} of a plain day.") for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in docs], "doc_id bigint, toxic int")
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id bigint, text string"), labels)
+    assert model is not None and np.isfinite(model[0]).all()
+
+
+def test_sets_come_packed(spark):
+    import numpy as np
+
+    from quillmill.llm import simhash
+
+    rows = [(7, [3, -1, 5]), (-2, []), (1, [9])]
+    nodes, ends, elements = simhash.packed_sets(spark.createDataFrame(rows, "node bigint, hashes array<bigint>").repartition(3))
+    assert nodes.tolist() == [-2, 1, 7] and ends.tolist() == [0, 0, 1, 4]
+    assert elements.dtype == np.uint64 and elements.view(np.int64).tolist() == [9, 3, -1, 5]
+    none = simhash.packed_sets(spark.createDataFrame([], "node bigint, hashes array<bigint>"))
+    assert [len(x) for x in none] == [0, 1, 0]
+    # Two texts whose sets are alike, met by a word, and one that is not.
+    held = spark.createDataFrame([(0, 5, 1, 1), (0, 5, 2, 2), (0, 5, 3, 3)], "tab int, word bigint, node bigint, root bigint")
+    sets = simhash.packed_sets(spark.createDataFrame([(1, list(range(10))), (2, list(range(9))), (3, list(range(50, 60)))], "node bigint, hashes array<bigint>"))
+    assert [tuple(r) for r in simhash.bucket_links(held, sets, 0.8).collect()] == [(1, 2)]

@@ -177,13 +177,34 @@ def worst(rows: list[bytes], weights: np.ndarray, windows: bool = False) -> tupl
     return tops, found
 
 
+def packed(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The subsequence numbers that have a weight, and the weights: as these stand in landmarks, some 0.5 MB travel where the table has 21."""
+    at = np.flatnonzero(weights).astype(np.int32)
+    return at, weights[at]
+
+
+def unpacked(at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    weights = np.zeros(CODES**ORDER, np.float32)
+    weights[at] = values
+    return weights
+
+
+def packed_model(model: tuple[np.ndarray, np.ndarray] | None) -> tuple | None:
+    return model and (packed(model[0]), model[1])
+
+
+def unpacked_model(model: tuple | None) -> tuple[np.ndarray, np.ndarray] | None:
+    return model and (unpacked(*model[0]), model[1])
+
+
 def top_sentences(docs: DataFrame, weights: np.ndarray, windows: bool = False) -> DataFrame:
     """(doc_id, s1, s2, size, windows): values of each row's two worst sentences, null where there is none, the bytes of its text, and these sentences' worst windows, if asked for."""
-    held = docs.sparkSession.sparkContext.broadcast(weights)
+    held = docs.sparkSession.sparkContext.broadcast(packed(weights))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = unpacked(*held.value)
         for ids, rows in slices(batches):
-            tops, found = worst(rows, held.value, windows)
+            tops, found = worst(rows, table, windows)
             columns = [pa.array(tops[:, k], pa.float64(), from_pandas=True) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *columns, pa.array(map(len, rows), pa.int64()), pa.array(found, pa.list_(pa.binary()))], names=["doc_id", "s1", "s2", "size", "windows"])
 
@@ -289,20 +310,31 @@ def telling_runs(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int,
     hits = run_hits(toxic, among).toArrow()
     run, around = (hits.column(c).combine_chunks() for c in ("run", "around"))
     row = np.repeat(np.arange(len(hits)), pc.list_value_length(run).to_numpy())
-    run, around = run.flatten().to_numpy(), around.flatten().to_numpy()
-    unlike = np.bincount(np.unique(np.stack([run, around], 1), axis=0)[:, 0], minlength=len(among))
+    run, around, n_rows = run.flatten().to_numpy(), around.flatten().to_numpy(), len(hits)
+    del hits
+    order = np.lexsort((around, run))
+    first = np.ones(len(order), bool)
+    first[1:] = (np.diff(run[order]) != 0) | (around[order][1:] != around[order][:-1])
+    unlike = np.bincount(run[order[first]], minlength=len(among))
+    del order, first, around
     live = gains(np.minimum(t, 4 * unlike), c) > 0
-    holds = np.zeros((len(hits), len(among)), bool)
-    holds[row, run] = True
-    left, chosen = np.full(len(hits), times), []
+    # Which row holds which run, as the pairs alone: by row, and the rows by run.
+    row, run = np.divmod(np.unique(row * len(among) + run), len(among))
+    row_ends, run_ends = (np.cumsum(np.bincount(x, minlength=n)) for x, n in ((row, n_rows), (run, len(among))))
+    rows_by_run = row[np.argsort(run, kind="stable")]
+    within = lambda x, ends, k: x[ends[k - 1] if k else 0 : ends[k]]
+    left, chosen, held = np.full(n_rows, times), [], np.bincount(run, minlength=len(among))
     while True:
-        gain = np.where(live, gains(holds[left > 0].sum(0).astype(float), c), 0)
+        gain = np.where(live, gains(held.astype(float), c), 0)
         k = int(np.argmax(gain))
         if not gain[k]:
             return among[sorted(chosen)]
         chosen.append(k)
         live[k] = False
-        left -= holds[:, k]
+        members = within(rows_by_run, run_ends, k)
+        left[members] -= 1
+        for r in members[left[members] == 0].tolist():
+            held[within(run, row_ends, r)] -= 1
 
 
 def features(windows: list[bytes]) -> np.ndarray:
@@ -386,17 +418,18 @@ def machine(positive: list[bytes], negative: list[bytes]) -> tuple[np.ndarray, f
 
 
 def machine_by_task(spark: SparkSession, positive: list[bytes], negative: list[bytes]) -> tuple[np.ndarray, float]:
-    """machine() in a task of its own: of its matrices, which the sample bounds, the driver holds none and gets 4 bytes a subsequence."""
+    """machine() in a task of its own: of its matrices, which the sample bounds, the driver holds none and gets 8 bytes for each subsequence that has a weight."""
     both, n = b"".join(positive + negative), len(positive)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _ in batches:
             windows = [both[at : at + WINDOW] for at in range(0, len(both), WINDOW)]
             weights, bias = machine(windows[:n], windows[n:])
-            yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([bias], pa.float64())], names=["weights", "bias"])
+            at, values = packed(weights)
+            yield pa.RecordBatch.from_arrays([pa.array([at.tobytes()], pa.binary()), pa.array([values.tobytes()], pa.binary()), pa.array([bias], pa.float64())], names=["at", "values", "bias"])
 
-    row = spark.range(1, numPartitions=1).mapInArrow(run, "weights binary, bias double").first()
-    return np.frombuffer(row["weights"], np.float32), row["bias"]
+    row = spark.range(1, numPartitions=1).mapInArrow(run, "at binary, values binary, bias double").first()
+    return unpacked(np.frombuffer(row["at"], np.int32), np.frombuffer(row["values"], np.float32)), row["bias"]
 
 
 def curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -496,11 +529,12 @@ def scores(rows: list[bytes], model: tuple[np.ndarray, np.ndarray] | None) -> np
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
     """(doc_id, score double): a row for each row of docs."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(packed_model(model))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = unpacked_model(held.value)
         for ids, rows in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(scores(rows, held.value))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(scores(rows, known))], names=["doc_id", "score"])
 
     return texts(docs).mapInArrow(run, "doc_id long, score double")
 
@@ -517,13 +551,14 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are not predicted toxic, with all their columns, which are filtered where they are scored. A row with a null doc_id is scored with the rest; repeated rows stay or go together."""
-    held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels.where(~held_out())))
+    held = docs.sparkSession.sparkContext.broadcast(packed_model(fit(docs, labels.where(~held_out()))))
     at = docs.columns.index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = unpacked_model(held.value)
         for batch in batches:
             text = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows), pc.fill_null(batch.column(at).cast(pa.large_string()), "")], names=["none", "text"])
-            clean = [x < 0.5 for _, rows in slices([text]) for x in scores(rows, held.value)]
+            clean = [x < 0.5 for _, rows in slices([text]) for x in scores(rows, known)]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -119,3 +119,58 @@ def test_sets_come_packed(spark):
     held = spark.createDataFrame([(0, 5, 1, 1), (0, 5, 2, 2), (0, 5, 3, 3)], "tab int, word bigint, node bigint, root bigint")
     sets = simhash.packed_sets(spark.createDataFrame([(1, list(range(10))), (2, list(range(9))), (3, list(range(50, 60)))], "node bigint, hashes array<bigint>"))
     assert [tuple(r) for r in simhash.bucket_links(held, sets, 0.8).collect()] == [(1, 2)]
+
+
+def test_the_machine_travels_without_its_zeros(spark, monkeypatch):
+    """Each machine went to the tasks and came to the driver as a table of 21 MB."""
+    import pickle
+
+    import numpy as np
+    from pyspark import SparkContext
+
+    from quillmill.llm import toxicity
+
+    weights = np.zeros(toxicity.CODES**toxicity.ORDER, np.float32)
+    weights[[5, 7_000, len(weights) - 1]] = 1.5, -2, 3
+    assert np.array_equal(toxicity.unpacked(*toxicity.packed(weights)), weights)
+    sizes, broadcast = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: (sizes.append(len(pickle.dumps(value))), broadcast(self, value))[1])
+    docs = spark.createDataFrame([(i, f"ordinary words of {'a zorkblat' if i % 3 == 0 else 'some'} kind, {'abcdefgh'[i % 8 :]} on day {i}.") for i in range(90)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id bigint, toxic int")
+    assert {r["doc_id"] for r in toxicity.toxicity(docs, labels).where("predicted = 1").collect()} == set(range(0, 90, 3))
+    assert toxicity.keep_clean(docs, labels).count() == 60
+    assert len(sizes) > 4 and max(sizes) < 1_000_000
+
+
+def test_telling_runs_are_chosen_as_from_a_full_table(spark):
+    """Runs are taken one by one, and rows that hold enough of them count no more."""
+    import numpy as np
+
+    from quillmill.llm import toxicity
+
+    rng = np.random.default_rng(3)
+    names = ["zorkblat", "quuxfrob", "plughity", "wibblest", "frobnice"]
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 7))
+    text = lambda k: f"{word()} {' '.join(f'{x} {word()}' for x in k)} {word()}."
+    frame = lambda rows: spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    toxic, clean = [text(rng.choice(names, rng.integers(1, 4))) for _ in range(60)], [text([word(), word()]) for _ in range(120)]
+    for times in (1, 3, 10):
+        got = toxicity.telling_runs(frame(toxic), frame(clean), 60, 121, times=times)
+        runs = lambda x: {r for n in toxicity.LENGTHS for r in toxicity.runs(toxicity.sentences([x.encode()])[0], n).tolist() if r >= 0}
+        holds, others = [runs(x) for x in toxic], [runs(x) for x in clean]
+        found, left = [], [times] * 60
+        while True:
+            live = {}
+            for r in sorted(set().union(*holds) - set(found)):
+                t, c = sum(r in h for h, n in zip(holds, left, strict=True) if n > 0), sum(r in o for o in others)
+                full = sum(r in h for h in holds)
+                gain = lambda t, c=c: t * np.log(t / (60 * max((t + c) / 181, 1 / 181))) + c * np.log(max(c, 1) / (121 * max((t + c) / 181, 1 / 181)))
+                if full >= 13 and t >= 3 and t / 60 > 20 * c / 121 and gain(t) > 14:
+                    live[r] = gain(t)
+            if not live:
+                break
+            best = max(live.values())
+            k = min(r for r in live if live[r] == best)
+            found.append(k)
+            left = [n - (k in h) for n, h in zip(left, holds, strict=True)]
+        assert got.tolist() == sorted(found)

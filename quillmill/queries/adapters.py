@@ -48,9 +48,10 @@ CAPS = r"""caps AS (
   FROM documents)"""
 
 
-def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, text, id, caption."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+def captions(spark: SparkSession, sf_dir: str, dealt: bool = True) -> DataFrame:
+    """doc_id, lang, source, text, id, caption. Dealt to all tasks, unless what follows is short for each row or moves it anyway."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    docs = spread(docs) if dealt else docs
     ls, n = F.split("text", "\n", -1), F.col("doc_id")
     marked = lambda x: x.rlike("[0-9:]")
     element = lambda x: F.struct(F.when(x.contains("$$$"), "mark").when(marked(x), "text").otherwise("obj").alias("type"), F.when(marked(x), x).alias("text"), x.alias("desc"))
@@ -183,7 +184,7 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A prompt a document: its words; with its level, and its labels where it has some."""
     from ..functions.text import words
 
-    rows = captions(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    rows = captions(spark, sf_dir, dealt=False).join(table(spark, sf_dir, "labels"), "doc_id", "left")
     level = F.get(F.array(F.lit("short"), F.lit("medium"), F.lit("long")), (F.col("doc_id") % 3).cast("int"))
     return rows.select("doc_id", "id", "lang", "source", level.alias("level"), F.array_join(words(F.col("text")), " ").alias("prompt"), "quality", "toxic")
 

@@ -96,7 +96,7 @@ def group_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _passed(spark, sf_dir).withColumnRenamed("level", "detail_level")
-    caps = captions(spark, sf_dir)
+    caps = captions(spark, sf_dir, dealt=False)
     targets = caps.where("doc_id % 29 <> 0").select("id", caption.with_ids(F.col("caption")).alias("target_json"))
     none = F.array().cast("array<string>")
     subs = caps.where("doc_id % 31 <> 0").select("id", F.get(F.array(F.lit("short"), F.lit("medium"), F.lit("long")), (F.col("doc_id") % 3).cast("int")).alias("detail_level"), none.alias("chu_de_chinh"), none.alias("groups"), none.alias("background"), none.alias("style"), F.lit("m").alias("medium"), F.array("lang").alias("checklist"))

@@ -174,3 +174,10 @@ def test_telling_runs_are_chosen_as_from_a_full_table(spark):
             found.append(k)
             left = [n - (k in h) for n, h in zip(left, holds, strict=True)]
         assert got.tolist() == sorted(found)
+
+
+def test_finalize_report_moves_no_document_that_it_joins_anyway(spark, tmp_path):
+    folder = long_documents(spark, tmp_path, 5)
+    spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    df = QUERIES["finalize_report"](spark, folder)
+    assert "Repartition" not in plan(df)  # each look at the documents dealt their texts to all tasks first

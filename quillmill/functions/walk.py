@@ -1,7 +1,8 @@
 """Walks through JSON of any depth as relations: a row for each value, level by level.
 
 A level's children come from one lateral join with variant_explode, in the JVM; only objects and arrays go on to the next level, and each level is written
-once to the shared folder, so nothing is parsed twice and there are as many jobs as levels. Keys of an object come in their sorted order, as VARIANT holds them.
+once to the shared folder, so nothing is parsed twice and there are as many jobs as levels. What lies in an object or array is written with it only at every HOPS-th level, from which
+the next HOPS are taken: so a text is not written once for each level above it. Keys of an object come in their sorted order, as VARIANT holds them.
 """
 
 from __future__ import annotations
@@ -15,6 +16,11 @@ from ..sources.files import scratch
 from .jsonx import DROPPED_KEYS
 
 
+#: Levels from one whose objects and arrays are written whole to the next such.
+HOPS = 4
+CONTAINERS = ("object", "array")
+
+
 def quoted(text: Column) -> Column:
     """A text as a JSON string."""
     both = F.to_json(F.array(text))
@@ -28,7 +34,7 @@ def _kind(value: Column) -> Column:
 
 @dataclass(frozen=True)
 class Walk:
-    """(key, parent, path, name, pos, kind, value) by level; the first level is the whole documents, whose path is empty."""
+    """(key, parent, path, name, pos, kind, value) by level; the first level is the whole documents, whose path is empty. An object's or array's value may be left out (null)."""
 
     key: str
     levels: list[DataFrame]
@@ -53,19 +59,22 @@ class Walk:
 
     def rebuilt(self) -> DataFrame:
         """(key, json): the documents put together again from the deepest level up, minified, keys sorted; what the walk left out is not in them."""
+        # A document's rows are dealt by its key once; objects and arrays are put together with what they hold where they lie, level by level.
+        spark = self.levels[0].sparkSession
+        dealt = lambda df: df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), self.key)
+        held = F.col("kind").isin(*CONTAINERS)
         below = None
         for level in reversed(self.levels):
-            whole = F.when(F.col("kind").isin("object", "array"), F.lit(None).cast("string")).otherwise(F.coalesce(F.to_json("value"), F.lit("null")))
-            rows = level.select(self.key, "parent", "path", "name", "pos", "kind", whole.alias("own"))
-            if below is None:
-                rows = rows.withColumn("inner", F.lit(None).cast("string"))
-            else:
+            values = dealt(level.where(~held).select(self.key, "parent", "name", "pos", F.coalesce(F.to_json("value"), F.lit("null")).alias("text")))
+            whole = dealt(level.where(held).select(self.key, "path", F.struct("parent", "name", "pos", "kind").alias("of"))).select(self.key, "path", "of", F.lit(None).cast("struct<pos int, part string>").alias("part"))
+            if below is not None:
                 part = F.when(F.col("name").isNotNull(), F.concat(quoted(F.col("name")), F.lit(":"), F.col("text"))).otherwise(F.col("text"))
-                inside = below.groupBy(self.key, F.col("parent").alias("path")).agg(F.array_join(F.array_sort(F.collect_list(F.struct("pos", part.alias("part"))))["part"], ",").alias("inner"))
-                rows = rows.join(inside, [self.key, "path"], "left")
-            inner = F.coalesce(F.col("inner"), F.lit(""))
-            text = F.when(F.col("kind") == "object", F.concat(F.lit("{"), inner, F.lit("}"))).when(F.col("kind") == "array", F.concat(F.lit("["), inner, F.lit("]"))).otherwise(F.col("own"))
-            below = rows.select(self.key, "parent", "name", "pos", text.alias("text"))
+                of = F.lit(None).cast(whole.schema["of"].dataType)
+                whole = whole.unionByName(below.select(self.key, F.col("parent").alias("path"), of.alias("of"), F.struct("pos", part.alias("part")).alias("part")))
+            inner = F.array_join(F.array_sort(F.collect_list("part"))["part"], ",")
+            put = whole.groupBy(self.key, "path").agg(F.any_value("of", True).alias("of"), inner.alias("inner"))
+            text = F.when(F.col("of.kind") == "object", F.concat(F.lit("{"), F.col("inner"), F.lit("}"))).otherwise(F.concat(F.lit("["), F.col("inner"), F.lit("]")))
+            below = values.unionByName(put.select(self.key, "of.parent", "of.name", "of.pos", text.alias("text")))
         return below.select(self.key, F.col("text").alias("json"))
 
 
@@ -77,12 +86,16 @@ def walk(rows: DataFrame, key: str, text: str, without: tuple[str, ...] = ()) ->
     levels = []
     while True:
         seen, folder = Observation(), scratch(spark)
-        told = level.withColumn("kind", _kind(F.col("value")))
-        told.observe(seen, F.count_if(F.col("kind").isin("object", "array")).alias("n")).write.parquet(folder)
+        whole = len(levels) % HOPS == 0
+        inside = F.col("kind").isin(*CONTAINERS)
+        told = level.withColumn("kind", _kind(F.col("value"))).observe(seen, F.count_if(inside).alias("n"))
+        (told if whole else told.withColumn("value", F.when(~inside, F.col("value")))).write.parquet(folder)
         levels.append(spark.read.parquet(folder))
         if not seen.get["n"]:
             return Walk(key, levels)
-        inner = levels[-1].where("kind in ('object', 'array')").select(F.col(key).alias("_k"), F.col("path").alias("parent"), F.col("value").alias("_v"))
+        # A value that is neither object nor array has nothing to explode.
+        above = levels[-1].where(inside) if whole else level
+        inner = above.select(F.col(key).alias("_k"), F.col("path").alias("parent"), F.col("value").alias("_v"))
         found = inner.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).drop("_v").withColumnRenamed("key", "name").withColumnRenamed("_k", key)
         path = F.when(F.col("name").isNull(), F.format_string("%s[%d]", "parent", "pos")).when(F.col("parent") == "", F.col("name")).otherwise(F.concat("parent", F.lit("."), "name"))
         level = found.where(~F.coalesce(F.col("name").isin(*without), F.lit(False)) if without else F.lit(True)).select(key, "parent", path.alias("path"), "name", "pos", "value")

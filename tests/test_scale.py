@@ -181,3 +181,18 @@ def test_finalize_report_moves_no_document_that_it_joins_anyway(spark, tmp_path)
     spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     df = QUERIES["finalize_report"](spark, folder)
     assert "Repartition" not in plan(df)  # each look at the documents dealt their texts to all tasks first
+
+
+def test_a_walk_moves_and_writes_a_text_but_once(spark):
+    from quillmill.functions import walk
+
+    rows = spark.createDataFrame([("a", '{"p": {"q": [{"r": {"s": [1, {"bbox": [2]}, {}, [], "two"]}}, null], "t": "three"}}'), ("b", "7"), ("c", "[]"), ("d", '{"bbox": 1}')], "key string, text string")
+    found = walk.walk(rows, "key", "text")
+    for n, level in enumerate(found.levels):
+        held = level.where("kind in ('object', 'array')")
+        assert held.where("value is not null").count() == (0 if n % walk.HOPS else held.count())  # each level held all that lay below it
+    assert len(found.levels) == 9 and {r["path"] for r in found.leaves().where("key = 'a'").collect()} == {"p.q[0].r.s[0]", "p.q[0].r.s[1].bbox[0]", "p.q[0].r.s[4]", "p.q[1]", "p.t"}
+    bare = walk.without_keys(rows, "key", "text")
+    assert {r["key"]: r["json"] for r in bare.collect()} == {"a": '{"p":{"q":[{"r":{"s":[1,{},{},[],"two"]}},null],"t":"three"}}', "b": "7", "c": "[]", "d": "{}"}
+    physical = bare._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in physical and physical.count("Exchange hashpartitioning") == physical.count("REPARTITION_BY_NUM")  # texts were dealt anew at each level

@@ -35,6 +35,11 @@ def word_count(text: Column) -> Column:
     return F.size(words(text))
 
 
+def total_words(items: Column) -> Column:
+    """Words of all texts of a list: those of the texts joined, cut in one go."""
+    return F.when(items.isNotNull(), word_count(F.array_join(items, " ")))
+
+
 def squeeze(text: Column) -> Column:
     """Words with one blank between."""
     return F.array_join(words(text), " ")

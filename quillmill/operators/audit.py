@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import percentiles
-from ..functions.text import word_count
+from ..functions.text import total_words, word_count
 from .caption import elements, measures
 
 
@@ -34,7 +34,7 @@ def roll_up(captions: DataFrame, caption: str = "caption", errors: str = "errors
 def level_summary(rows: DataFrame, level: str = "detail_level") -> DataFrame:
     """Per level: rows, and mean groups, facts and words of the checklist (2 decimals)."""
     facts = F.size("checklist")
-    total = F.aggregate("checklist", F.lit(0), lambda n, x: n + word_count(x))
+    total = total_words(F.col("checklist"))
     return rows.groupBy(level).agg(F.count("*").alias("n"), F.round(F.avg(F.size("groups")), 2).alias("mean_groups"), F.round(F.avg(facts), 2).alias("mean_facts"), F.round(F.avg(total), 2).alias("mean_words"))
 
 

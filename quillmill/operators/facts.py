@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,27 +27,31 @@ def _empty(kind: str) -> Column:
 
 def clean_ranked(items: Column, with_kind: bool = True) -> Column:
     """Facts with text, trimmed, ordered by rank (99 if there is none), equal ranks as they came, and ranked anew from 0."""
-    held = F.filter(F.coalesce(items, _empty(schemas.FACT if with_kind else schemas.THEME_FACT)), lambda f: F.trim(F.coalesce(f["text"], F.lit(""))) != "")
     kind = lambda f: F.when(f["kind"].isin(*KINDS), f["kind"]).otherwise("attribute")
-    keyed = F.transform(held, lambda f, i: F.struct(F.coalesce(f["rank"], F.lit(LAST_RANK)).alias("rank"), i.alias("place"), *([kind(f).alias("kind")] if with_kind else []), F.trim(f["text"]).alias("text")))
-    return F.transform(F.array_sort(keyed), lambda f, i: F.struct(i.cast("int").alias("rank"), *([f["kind"].alias("kind")] if with_kind else []), f["text"].alias("text")))
+    keyed = F.transform(F.coalesce(items, _empty(schemas.FACT if with_kind else schemas.THEME_FACT)), lambda f, i: F.struct(F.coalesce(f["rank"], F.lit(LAST_RANK)).alias("rank"), i.alias("place"), *([kind(f).alias("kind")] if with_kind else []), F.trim(f["text"]).alias("text")))
+    # sort_array compares natively, where array_sort goes through an expression for each pair.
+    return F.transform(F.sort_array(F.filter(keyed, lambda f: f["text"] != "")), lambda f, i: F.struct(i.cast("int").alias("rank"), *([f["kind"].alias("kind")] if with_kind else []), f["text"].alias("text")))
 
 
 def normalise_decomposition(d: Column) -> Column:
     """Names trimmed, members sorted, facts cleaned, style fields that are not decomposed left out, every present field's priority 1."""
     groups = F.transform(F.coalesce(d["concept_groups"], _empty(schemas.GROUP)), lambda g: F.struct(F.trim(F.coalesce(g["name"], F.lit(""))).alias("name"), F.array_sort(F.coalesce(g["member_ids"], _empty("int"))).alias("member_ids"), F.coalesce(g["cardinality"], F.lit("vague")).alias("cardinality"), F.coalesce(g["cultural"], F.lit(False)).alias("cultural")))
-    background = clean_ranked(d["background_facts"])
     style = F.map_filter(F.transform_values(d["style_facts"], lambda k, v: clean_ranked(v, False)), lambda k, v: k.isin(*STYLE_FIELDS))
-    present = F.concat(F.array(F.lit("elements")), F.when(F.size(background) > 0, F.array(F.lit("background"))).otherwise(_empty("string")), F.coalesce(F.map_keys(style), _empty("string")))
-    return F.struct(
-        clean_ranked(d["chu_de_chinh"], False).alias("chu_de_chinh"),
-        F.coalesce(d["khop_goi_y"], F.lit(False)).alias("khop_goi_y"),
-        groups.alias("concept_groups"),
-        F.transform_values(d["facts"], lambda k, v: clean_ranked(v)).alias("facts"),
-        background.alias("background_facts"),
-        style.alias("style_facts"),
-        F.map_from_arrays(present, F.transform(present, lambda _: F.lit(1))).alias("field_priority"),
-    )
+
+    def whole(x: Column) -> Column:
+        background, style_ = x["background"], x["style"]
+        present = F.concat(F.array(F.lit("elements")), F.when(F.size(background) > 0, F.array(F.lit("background"))).otherwise(_empty("string")), F.coalesce(F.map_keys(style_), _empty("string")))
+        return F.struct(
+            clean_ranked(d["chu_de_chinh"], False).alias("chu_de_chinh"),
+            F.coalesce(d["khop_goi_y"], F.lit(False)).alias("khop_goi_y"),
+            groups.alias("concept_groups"),
+            F.transform_values(d["facts"], lambda k, v: clean_ranked(v)).alias("facts"),
+            background.alias("background_facts"),
+            style_.alias("style_facts"),
+            bound(present, lambda names: F.map_from_arrays(names, F.transform(names, lambda _: F.lit(1)))).alias("field_priority"),
+        )
+
+    return bound(F.struct(clean_ranked(d["background_facts"]).alias("background"), style.alias("style")), whole)
 
 
 def ranked_errors(items: Column, name: Column) -> Column:
@@ -204,20 +211,58 @@ def first_words(text: Column, n: int) -> Column:
     return F.slice(F.array_remove(F.split(F.coalesce(text, F.lit("")), "(?U)\\s+", n + 2), ""), 1, n)
 
 
-def head_noun(desc: Column) -> Column:
-    """The first three words without an article, lower-cased, marks at the end off."""
-    bare = F.regexp_replace(F.trim(desc), "(?i)^(a|an|the)\\s+", "")
-    short = F.lower(F.regexp_replace(F.array_join(first_words(bare, 3), " "), "[,.]+$", ""))
+#: White space besides blanks, beyond ASCII.
+WIDE_SPACE = "[\\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
+
+
+def _any(checks: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, checks)
+
+
+def even(text: Column) -> Column:
+    """Whether single blanks are all the white space inside a text, so that its words can be cut without a pattern."""
+    other = _any(text.contains(x) for x in ("  ", "\t", "\n", "\x0b", "\x0c", "\r"))
+    return ~(other | ((F.octet_length(text) != F.char_length(text)) & text.rlike(WIDE_SPACE)))
+
+
+def leading(text: Column, n: int) -> Column:
+    """The first words of an even() text that does not begin with a blank."""
+    return F.rtrim(F.substring_index(text, " ", n))
+
+
+def head_noun(desc: Column, even_: Column | None = None) -> Column:
+    """The first three words without an article, lower-cased, marks at the end off. even_: even() of the text, where it is known."""
+    article = lambda x: F.regexp_replace(x, "(?i)^(a|an|the)\\s+", "")
+    # Of an even text, an article and three words are all that is looked at.
+    head = lambda x, e: F.when(e, leading(article(F.substring_index(F.trim(x), " ", 4)), 3)).otherwise(F.array_join(first_words(article(F.trim(x)), 3), " "))
+    short = F.lower(F.regexp_replace(bound(desc, lambda x: head(x, even(x))) if even_ is None else head(desc, even_), "[,.]+$", ""))
     return bound(short, lambda s: F.when(s == "", NOTHING).otherwise(s))
 
 
+def pieces(text: Column) -> Column:
+    """A text cut at commas, semicolons, ' with ' and ' featuring ', lower-cased and trimmed, without blank pieces.
+
+    Where only one of the two words stands, no match can overlap another, and commas take their place.
+    """
+    marked = F.replace(F.replace(F.replace(text, F.lit(" with "), F.lit(",")), F.lit(" featuring "), F.lit(",")), F.lit(";"), F.lit(","))
+    cut = F.when(text.contains(" featuring ") & text.contains(" with "), F.split(F.lower(F.regexp_replace(text, "[,;]| with | featuring ", ",")), ",")).otherwise(F.split(F.lower(marked), ","))
+    return F.filter(F.transform(cut, lambda c: F.trim(c)), lambda c: c != "")
+
+
 def rule_facts(desc: Column) -> Column:
     """A description cut at commas, semicolons and a few joining words: its head noun first, then the parts after the first."""
-    parts = F.filter(F.transform(F.split(F.coalesce(desc, F.lit("")), "[,;]| with | featuring "), lambda c: F.trim(c)), lambda c: c != "")
-    later = F.slice(parts, 2, MAX_FACTS - 1)
-    first = F.array(F.struct(F.lit(0).alias("rank"), F.lit("subject").alias("kind"), head_noun(F.coalesce(desc, F.lit(""))).alias("text")))
-    rest = F.transform(later, lambda c, i: F.struct((i + 1).cast("int").alias("rank"), F.when(has_word(parted(c), PLACE_WORDS), "position").otherwise("attribute").alias("kind"), F.lower(F.array_join(first_words(F.regexp_replace(c, "\\.+$", ""), MAX_FACT_WORDS), " ")).alias("text")))
-    return F.slice(F.concat(first, rest), 1, MAX_FACTS).cast(f"array<{schemas.FACT}>")
+
+    def of(text: Column) -> Column:
+        place = lambda c: _any(c.contains(w) for w in PLACE_WORDS.split("|")) & has_word(parted(c), PLACE_WORDS)
+        fact = lambda words_: lambda c, i: F.struct((i + 1).cast("int").alias("rank"), F.when(place(c), "position").otherwise("attribute").alias("kind"), words_(c).alias("text"))
+        undotted = lambda c: F.regexp_replace(c, "\\.+$", "")
+        quick = lambda c: leading(F.when(c.endswith("."), undotted(c)).otherwise(c), MAX_FACT_WORDS)
+        full = lambda c: F.array_join(first_words(undotted(c), MAX_FACT_WORDS), " ")
+        later = F.slice(pieces(text), 2, MAX_FACTS - 1)
+        first = lambda e: F.array(F.struct(F.lit(0).alias("rank"), F.lit("subject").alias("kind"), head_noun(text, e).alias("text")))
+        return bound(even(text), lambda e: F.concat(first(e), F.when(e, F.transform(later, fact(quick))).otherwise(F.transform(later, fact(full)))))
+
+    return bound(F.coalesce(desc, F.lit("")), of).cast(f"array<{schemas.FACT}>")
 
 
 def element_signs(caption: Column) -> Column:

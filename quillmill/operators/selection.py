@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.plan import bound, once
-from ..functions.text import is_plural, original_name, word_count
+from ..functions.text import is_plural, original_name, total_words
 from .facts import STYLE_FIELDS
 
 # Levels from little to much detail, hints of their length, and the words that are asked for and accepted.
@@ -135,10 +135,6 @@ def view(level: Column, groups: Column, sel_input: Column) -> Column:
     return F.struct(theme.alias("chu_de_chinh"), groups.alias("groups"), level["background"].alias("background"), style.alias("style"), medium.alias("medium"), F.array_distinct(everything).alias("checklist"))
 
 
-def total_words(items: Column) -> Column:
-    return F.aggregate(items, F.lit(0), lambda n, x: n + word_count(x))
-
-
 def short_ideas(level: Column, of: Column) -> Column:
     """Ideas beyond the subjects' own nouns: more groups, background, a medium, and facts that are not an element's first."""
     more = F.aggregate(level["groups"], F.lit(0), lambda n, g: n + F.size(_not(g["facts"], named(of, g["name"])["nouns"])))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import word_count
+from ..functions.text import total_words
 from ..operators import audit, persona, selection
 from .adapters import SELECTING, selectable, wc
 from .registry import query, table
@@ -55,7 +55,7 @@ _LEVELS = """levels AS (
 @query(f"{SELECTING}, {_LEVELS} SELECT id, detail_level, len(g) AS n_groups, array_to_string(c, '|') AS checklist, list_sum(list_transform(c, lambda x: {wc('x')}))::BIGINT AS words FROM levels")
 def level_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = selection.assemble(evaluated(spark, sf_dir))
-    return rows.select("id", "detail_level", F.size("groups").alias("n_groups"), F.array_join("checklist", "|").alias("checklist"), selection.total_words(F.col("checklist")).alias("words"))
+    return rows.select("id", "detail_level", F.size("groups").alias("n_groups"), F.array_join("checklist", "|").alias("checklist"), total_words(F.col("checklist")).alias("words"))
 
 
 @query(f"{SELECTING}, {_LEVELS} SELECT detail_level, count(*) AS n, round(avg(len(g)), 2) AS mean_groups, round(avg(len(c)), 2) AS mean_facts, round(avg(list_sum(list_transform(c, lambda x: {wc('x')}))), 2) AS mean_words FROM levels GROUP BY detail_level")
@@ -95,7 +95,7 @@ def writer_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = persona.content(sub)
     none = F.array().cast("array<string>")
     every = F.concat(F.coalesce(spec["chu_de_chinh"], none), F.flatten(F.transform(spec["groups"], lambda g: g["facts"])), F.coalesce(spec["boi_canh"], none), F.coalesce(spec["phong_cach"], none))
-    return rows.select("id", "detail_level", F.aggregate(F.array_distinct(every), F.lit(0).cast("long"), lambda n, x: n + word_count(x)).alias("spec_words"))
+    return rows.select("id", "detail_level", total_words(F.array_distinct(every)).cast("long").alias("spec_words"))
 
 
 @query("SELECT o_custkey, attempt, levels FROM (SELECT o_custkey, o_orderkey AS attempt, o_orderkey % 4 AS levels, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 4 DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1")

@@ -2,6 +2,8 @@
 
 import time
 
+from pyspark.sql import functions as F
+
 from quillmill.queries import QUERIES
 
 
@@ -196,3 +198,26 @@ def test_a_walk_moves_and_writes_a_text_but_once(spark):
     assert {r["key"]: r["json"] for r in bare.collect()} == {"a": '{"p":{"q":[{"r":{"s":[1,{},{},[],"two"]}},null],"t":"three"}}', "b": "7", "c": "[]", "d": "{}"}
     physical = bare._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in physical and physical.count("Exchange hashpartitioning") == physical.count("REPARTITION_BY_NUM")  # texts were dealt anew at each level
+
+
+def test_cleaning_a_decomposition_ranks_each_list_once(spark):
+    from quillmill import schemas
+    from quillmill.operators import facts
+
+    row = ([(None, " b "), (0, "a"), (1, " ")], None, None, {"0": [(2, "color", "y"), (1, "odd", "x")]}, [(3, None, "far"), (3, None, "near"), (0, None, None)], {"photo": [(5, "wide")], "medium": [(0, "no")]})
+    df = spark.createDataFrame([(row,)], f"d {schemas.DECOMPOSITION}").select(facts.normalise_decomposition(F.col("d")).alias("d"))
+    d = df.first()["d"].asDict(recursive=True)
+    texts = lambda xs: [(x["rank"], x["text"]) for x in xs]
+    assert (texts(d["chu_de_chinh"]), texts(d["facts"]["0"]), texts(d["background_facts"]), texts(d["style_facts"]["photo"])) == ([(0, "a"), (1, "b")], [(0, "x"), (1, "y")], [(0, "far"), (1, "near")], [(0, "wide")])
+    assert [x["kind"] for x in d["facts"]["0"]] == ["attribute", "color"] and d["field_priority"] == {"elements": 1, "background": 1, "photo": 1}
+    assert plan(df).count("sort_array") == 4  # the background and the style were ranked three times, each pair compared by an expression
+
+
+def test_even_texts_are_cut_as_patterns_cut_them(spark):
+    from quillmill.operators import facts
+
+    wanted = {"The red  Lamp , lit . , a b c d e f g.. with LEFT side": ["red lamp ", "lit", "a b c d e f", "left side"], "An old lamp lit; blue. featuring two tops": ["old lamp lit;", "blue", "two tops"], "a with featuring b, On Top": ["with featuring b", "featuring b", "on top"], "x\u00a0y, z\tw  v": ["x y, z", "z w v"], "": [facts.NOTHING], "the": ["the"]}
+    rows = spark.createDataFrame([(t,) for t in wanted], "t string").select("t", facts.rule_facts(F.col("t")).alias("f"), facts.even(F.col("t")).alias("e")).collect()
+    assert {r["t"]: [f["text"] for f in r["f"]] for r in rows} == wanted
+    assert {r["t"]: [f["kind"] for f in r["f"]] for r in rows}["a with featuring b, On Top"] == ["subject", "attribute", "position"]
+    assert [r["t"] for r in rows if not r["e"]] == ["The red  Lamp , lit . , a b c d e f g.. with LEFT side", "x\u00a0y, z\tw  v"]

@@ -12,7 +12,8 @@ if one did. So all that met on a variant with a near member are linked through t
 star, never all its pairs, and holds at most 1 + 64 + 992 distinct fingerprints whatever the data. Exact copies
 share a fingerprint and are one node. Components are found on Spark, from the stars.
 
-Variants travel as packed arrays, ten bytes each at 64 bits, one binary row per batch and part.
+Variants travel as packed arrays, one binary row per batch and part: which flip each is, and the fingerprint it is of, once for all of its
+variants in the row where there are two or more on average. So one takes two to ten bytes at 64 bits.
 
 Defined results: a null or empty text, or one without words, has fingerprint zero and links like any other; rows
 repeated under one doc_id give a row each; an empty table gives an empty result; extra columns are ignored.
@@ -112,6 +113,29 @@ def masks(bits: int, radius: int = 3) -> tuple[np.ndarray, int]:
     return np.array([0, *one, *two], np.uint64), bits + 1
 
 
+def packed_variants(tab: int, parts: int, flips: np.ndarray, at: np.ndarray, code: np.ndarray, **columns: np.ndarray) -> pd.DataFrame:
+    """A row for each part of a table that variants fall in. at, code: for each variant the place of its word in the columns, and its flip; columns: the words and what travels with them."""
+    out = columns["words"][at] ^ flips[code]
+    part = ((_mixed(out.astype(np.uint64), tab + 1) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(part * len(columns["words"]) + at, kind="stable")
+    part, at, code = part[order], at[order], code[order]
+    ends = np.searchsorted(part, np.arange(parts + 1))
+    full = np.flatnonzero(np.diff(ends))
+    once = len(flips) >= 2 * parts  # a word stands once in a row, with the number of its variants there
+    first = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (at[1:] != at[:-1])])) if once else np.arange(len(at))
+    counts = np.diff(np.append(first, len(at))).astype(code.dtype) if once else code[:0]
+    starts, held = np.searchsorted(first, ends), {c: x[at[first]] for c, x in columns.items()} | {"counts": counts}
+    return pd.DataFrame({"tab": tab, "part": full, "codes": [code[ends[p] : ends[p + 1]].tobytes() for p in full], **{c: [x[starts[p] : starts[p + 1]].tobytes() for p in full] for c, x in held.items()}})
+
+
+def unpacked_variants(frame: pd.DataFrame, flips: np.ndarray, code: type, **columns: type) -> list[np.ndarray]:
+    """The variants of packed_variants() rows, their flips, and their columns, the words first, a value for each variant."""
+    joined = lambda c, kind: np.frombuffer(b"".join(frame[c]), kind)
+    codes, counts = joined("codes", code), joined("counts", code)
+    held = [np.repeat(x, counts) if len(counts) else x for x in (joined(c, kind) for c, kind in columns.items())]
+    return [held[0] ^ flips[codes], codes, *held]
+
+
 def ball_links(prints: DataFrame, bits: int = 64, radius: int = 3) -> DataFrame:
     """(tab int, a long, b long, crowd boolean): a star for each variant on which distinct prints (tab int, fp long) of a table met; crowd says that more than these two met on one.
 
@@ -132,21 +156,15 @@ def ball_links(prints: DataFrame, bits: int = 64, radius: int = 3) -> DataFrame:
         for frame in frames:
             for tab, group in frame.groupby("tab"):
                 values = group["fp"].to_numpy(np.int64).view(np.uint64).astype(kind)
-                for at in range(0, len(values), BATCH):
-                    v = values[at : at + BATCH]
-                    odd = v[np.bitwise_count(v) % 2 == 1]
-                    out = np.concatenate([(v[:, None] ^ flips[:near]).ravel(), (odd[:, None] ^ flips[near:]).ravel()])
+                for start in range(0, len(values), BATCH):
+                    v = values[start : start + BATCH]
+                    odd = np.flatnonzero(np.bitwise_count(v) % 2 == 1)
+                    at = np.concatenate([np.repeat(np.arange(len(v)), near), np.repeat(odd, len(flips) - near)])
                     code = np.concatenate([np.tile(np.arange(near, dtype=small), len(v)), np.tile(np.arange(near, len(flips), dtype=small), len(odd))])
-                    part = ((_mixed(out.astype(np.uint64), tab + 1) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
-                    order = np.argsort(part, kind="stable")
-                    ends = np.searchsorted(part[order], np.arange(parts + 1))
-                    out, code = out[order], code[order]
-                    full = np.flatnonzero(np.diff(ends))
-                    yield pd.DataFrame({"tab": tab, "part": full, "variants": [out[ends[p] : ends[p + 1]].tobytes() for p in full], "codes": [code[ends[p] : ends[p + 1]].tobytes() for p in full]})
+                    yield packed_variants(tab, parts, flips, at, code, words=v)
 
     def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        v = np.frombuffer(b"".join(frame["variants"]), kind)
-        code = np.frombuffer(b"".join(frame["codes"]), small)
+        v, code, _ = unpacked_variants(frame, flips, small, words=kind)
         order = np.argsort(v)
         v = v[order]
         same = np.concatenate([[False], v[1:] == v[:-1], [False]])
@@ -166,33 +184,41 @@ def ball_links(prints: DataFrame, bits: int = 64, radius: int = 3) -> DataFrame:
         new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)]
         return pd.DataFrame({"tab": int(key[0]), "a": a[new].view(np.int64), "b": b[new].view(np.int64), "crowd": crowd[new]})
 
-    spreading = dealt.mapInPandas(spread, "tab int, part int, variants binary, codes binary")
+    spreading = dealt.mapInPandas(spread, "tab int, part int, codes binary, words binary, counts binary")
     return spreading.repartition(parts * max(1, tabs), "tab", "part").groupBy("tab", "part").applyInPandas(meet, "tab int, a long, b long, crowd boolean").groupBy("tab", "a", "b").agg(F.max("crowd").alias("crowd"))
 
 
+#: What every_variant() gives.
+PACKED = "tab int, part int, codes binary, words binary, nodes binary, roots binary, counts binary"
+
+
+def parts_of(held: DataFrame, variants: int) -> tuple[int, int]:
+    """Parts of each table, and tables, of (tab, ...) with so many variants a row: as many parts in all as the session shuffles into, or more if the data ask for it, so that a task writes few rows for each table."""
+    rows, tabs = held.agg(F.count("*"), F.count_distinct("tab")).first()
+    return partitions(held.sparkSession, rows * variants * 4 / PART_ROWS) // max(1, tabs) + 1, max(1, tabs)
+
+
+def every_variant(tab: int, parts: int, flips: np.ndarray, rows: pd.DataFrame) -> pd.DataFrame:
+    """packed_variants() of all flips of a table's (word, node, root)."""
+    at, code = np.repeat(np.arange(len(rows)), len(flips)), np.tile(np.arange(len(flips), dtype=np.uint8), len(rows))
+    return packed_variants(tab, parts, flips, at, code, words=rows["word"].to_numpy(np.int64).astype(np.uint32), nodes=rows["node"].to_numpy(np.int64), roots=rows["root"].to_numpy(np.int64))
+
+
 def bucket_pairs(held: DataFrame, low: int, high: int) -> DataFrame:
     """(a long, b long): of the (node, root) with 32-bit words (tab, word) that meet on a variant within one flip, the pairs of unlike roots that hold
     one of the bucket's members from place low to below high, in order of node; a row of nulls says that buckets have pairs of unlike roots beyond."""
     flips, near = masks(32, 2)
     flips = flips.astype(np.uint32)
-    parts = partitions(held.sparkSession, held.count() * near * 4 / PART_ROWS)
+    parts, tabs = parts_of(held, near)
 
     def spread(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for tab, group in frame.groupby("tab"):
-                for at in range(0, len(group), BATCH):
-                    rows = group.iloc[at : at + BATCH]
-                    out = (rows["word"].to_numpy(np.int64).astype(np.uint32)[:, None] ^ flips).ravel()
-                    node, root = (np.repeat(rows[c].to_numpy(np.int64), near) for c in ("node", "root"))
-                    part = ((_mixed(out.astype(np.uint64), tab + 1) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
-                    order = np.argsort(part, kind="stable")
-                    ends = np.searchsorted(part[order], np.arange(parts + 1))
-                    full = np.flatnonzero(np.diff(ends))
-                    packed = {name: [x[order[ends[p] : ends[p + 1]]].tobytes() for p in full] for name, x in (("variants", out), ("nodes", node), ("roots", root))}
-                    yield pd.DataFrame({"tab": tab, "part": full, **packed})
+                for start in range(0, len(group), BATCH):
+                    yield every_variant(tab, parts, flips, group.iloc[start : start + BATCH])
 
     def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        v, node, root = (np.frombuffer(b"".join(frame[c]), kind) for c, kind in (("variants", np.uint32), ("nodes", np.int64), ("roots", np.int64)))
+        v, _, _, node, root = unpacked_variants(frame, flips, np.uint8, words=np.uint32, nodes=np.int64, roots=np.int64)
         order = np.lexsort((node, v))
         v, node, root = v[order], node[order], root[order]
         first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
@@ -213,8 +239,8 @@ def bucket_pairs(held: DataFrame, low: int, high: int) -> DataFrame:
         beyond = len(live) and (np.minimum.reduceat(root[live], cuts) != np.maximum.reduceat(root[live], cuts)).any()
         return pd.concat([pairs, pd.DataFrame({"a": [None], "b": [None]}, dtype="Int64")]) if beyond else pairs
 
-    spreading = held.select("tab", "word", "node", "root").mapInPandas(spread, "tab int, part int, variants binary, nodes binary, roots binary")
-    return spreading.repartition(parts, "tab", "part").groupBy("tab", "part").applyInPandas(meet, "a long, b long").distinct()
+    spreading = held.select("tab", "word", "node", "root").mapInPandas(spread, PACKED)
+    return spreading.repartition(parts * tabs, "tab", "part").groupBy("tab", "part").applyInPandas(meet, "a long, b long").distinct()
 
 
 def alike(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, similarity: float, columns: int = 8192) -> np.ndarray:
@@ -234,24 +260,17 @@ def bucket_links(held: DataFrame, sets: tuple[np.ndarray, np.ndarray, np.ndarray
     """(a long, b long): of the (node, root) with 32-bit words (tab, word) that meet on a variant within one flip, the pairs of unlike roots whose sets are at least so similar. sets: packed_sets() of all
     nodes, of a bounded size, which go to every task: so the pairs are compared where they meet, and only links leave. A pair is compared in one of the buckets that it shares in a table."""
     flips = masks(32, 2)[0].astype(np.uint32)
-    parts = partitions(held.sparkSession, held.count() * len(flips) * 4 / PART_ROWS)
+    parts, tabs = parts_of(held, len(flips))
     known = held.sparkSession.sparkContext.broadcast(sets)
 
     def spread(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for tab, rows in frame.groupby("tab"):
-                word = rows["word"].to_numpy(np.int64).astype(np.uint32)
-                out = (word[:, None] ^ flips).ravel()
-                part = ((_mixed(out.astype(np.uint64), tab + 1) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
-                order = np.argsort(part, kind="stable")
-                ends = np.searchsorted(part[order], np.arange(parts + 1))
-                full = np.flatnonzero(np.diff(ends))
-                columns = {"variants": out, "words": np.repeat(word, len(flips)), **{f"{c}s": np.repeat(rows[c].to_numpy(np.int64), len(flips)) for c in ("node", "root")}}
-                yield pd.DataFrame({"tab": tab, "part": full, **{c: [x[order[ends[p] : ends[p + 1]]].tobytes() for p in full] for c, x in columns.items()}})
+                yield every_variant(tab, parts, flips, rows)
 
     def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         nodes, ends_of, elements = known.value
-        v, word, node, root = (np.frombuffer(b"".join(frame[c]), kind) for c, kind in (("variants", np.uint32), ("words", np.uint32), ("nodes", np.int64), ("roots", np.int64)))
+        v, _, word, node, root = unpacked_variants(frame, flips, np.uint8, words=np.uint32, nodes=np.int64, roots=np.int64)
         order = np.lexsort((node, v))
         v, word, node, root = v[order], word[order], node[order], root[order]
         first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
@@ -276,8 +295,8 @@ def bucket_links(held: DataFrame, sets: tuple[np.ndarray, np.ndarray, np.ndarray
                     found.append(np.stack([node[lo:hi][i[ok]], node[lo:hi][j[ok]]], 1))
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
 
-    spreading = held.select("tab", "word", "node", "root").mapInPandas(spread, "tab int, part int, variants binary, words binary, nodes binary, roots binary")
-    return spreading.repartition(parts, "tab", "part").groupBy("tab", "part").applyInPandas(meet, "a long, b long").distinct()
+    spreading = held.select("tab", "word", "node", "root").mapInPandas(spread, PACKED)
+    return spreading.repartition(parts * tabs, "tab", "part").groupBy("tab", "part").applyInPandas(meet, "a long, b long").distinct()
 
 
 def rooted(df: DataFrame, found: DataFrame, node: str, root: str) -> DataFrame:

@@ -221,3 +221,25 @@ def test_even_texts_are_cut_as_patterns_cut_them(spark):
     assert {r["t"]: [f["text"] for f in r["f"]] for r in rows} == wanted
     assert {r["t"]: [f["kind"] for f in r["f"]] for r in rows}["a with featuring b, On Top"] == ["subject", "attribute", "position"]
     assert [r["t"] for r in rows if not r["e"]] == ["The red  Lamp , lit . , a b c d e f g.. with LEFT side", "x\u00a0y, z\tw  v"]
+
+
+def test_variants_travel_with_their_word_once_and_in_few_rows(spark):
+    import numpy as np
+    import pandas as pd
+
+    from quillmill.llm import simhash
+
+    held = spark.createDataFrame([(i % 28, i, i, i) for i in range(2800)], "tab int, word long, node long, root long")
+    assert simhash.parts_of(held, 33) == (1, 28)  # each task wrote a row for each part of the session in each table: tables times too many
+    rng, flips = np.random.default_rng(3), simhash.masks(32, 2)[0].astype(np.uint32)
+    rows = pd.DataFrame({"word": rng.integers(0, 1 << 32, 500), "node": rng.integers(-9, 9, 500), "root": rng.integers(-9, 9, 500)})
+    rows.loc[1] = rows.loc[0]
+    want = sorted((int(w) ^ int(f), w, n, r) for w, n, r in rows.itertuples(index=False) for f in flips)
+    for parts in (1, 8, 16, 17, 400):
+        packed = simhash.every_variant(5, parts, flips, rows)
+        got = [simhash.unpacked_variants(packed.iloc[[i]], flips, np.uint8, words=np.uint32, nodes=np.int64, roots=np.int64) for i in range(len(packed))]
+        assert sorted((int(a), int(b), int(c), int(d)) for v, _, w, n, r in got for a, b, c, d in zip(v, w, n, r, strict=True)) == want
+        seen = [set(v.tolist()) for v, *_ in got]
+        assert sum(map(len, seen)) == len(set().union(*seen)) and len(packed) <= parts  # a variant is in one part
+        size = sum(len(x) for c in ("codes", "words", "nodes", "roots", "counts") for x in packed[c])
+        assert size < len(want) * (7 if parts <= 8 else 22)  # 24 bytes for each before

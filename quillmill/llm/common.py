@@ -80,8 +80,9 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates the large-star and small-star steps: each node's larger neighbours, then its smaller ones, are hung
     on the smallest. Both keep connectivity and need no more than a minimum per node and one join, so a hub's
     edges can be split among tasks. A constant number of rows (a count and a checksum) comes to the driver.
+    A round's edges are written as a table: a checkpoint computes its last stage twice, and is read in as many tasks again.
     """
-    edges = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -89,7 +90,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        edges = checkpointed(small.where("u <> v").distinct())
+        edges = written(small.where("u <> v").distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break

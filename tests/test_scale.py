@@ -243,3 +243,15 @@ def test_variants_travel_with_their_word_once_and_in_few_rows(spark):
         assert sum(map(len, seen)) == len(set().union(*seen)) and len(packed) <= parts  # a variant is in one part
         size = sum(len(x) for c in ("codes", "words", "nodes", "roots", "counts") for x in packed[c])
         assert size < len(want) * (7 if parts <= 8 else 22)  # 24 bytes for each before
+
+
+def test_components_compute_a_round_once(spark, monkeypatch):
+    from quillmill.llm import common
+
+    def twice(df):
+        raise AssertionError("a checkpoint computes its last stage twice")
+
+    monkeypatch.setattr(common, "checkpointed", twice)
+    of = lambda rows: {tuple(r) for r in common.components(spark.createDataFrame(rows, "a long, b long")).collect()}
+    assert of([(i, i + 1) for i in range(9)] + [(20, 22), (22, 21), (30, 30)]) == {(i, 0) for i in range(10)} | {(i, 20) for i in (20, 21, 22)}
+    assert of([]) == set()
